@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee import contracts as C
-from marquee.operators.cdc import drop_tombstones, latest_by_key
+from marquee.operators.cdc import drop_tombstones, keys_present, latest_by_key
 from marquee.operators.quality import Rule, gate, passes_all
 
 
@@ -74,13 +74,24 @@ def clean_bookings(
 
     The status is checked as landed (``normalize_first=False``), so a padded
     lower-case status is quarantined and the normalisation only shapes the
-    valid rows.
+    valid rows. Rows without a booking_id skip the dedup and go straight to
+    quarantine, so the valid side keeps the dedup's hash partitioning on
+    booking_id for the joins that follow.
     """
-    live = drop_tombstones(latest_bookings(bronze))
-    if normalize_first:
-        live = _normalise(live, "booking_status")
-    valid, quarantined = gate(live, BOOKING_RULES, null_safe=null_safe)
-    return _normalise(valid, "booking_status"), quarantined
+    keys = C.KEYS["bookings"]
+    present = keys_present(keys)
+
+    def checked(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
+        live = drop_tombstones(frame)
+        if normalize_first:
+            live = _normalise(live, "booking_status")
+        return gate(live, BOOKING_RULES, null_safe=null_safe)
+
+    valid, quarantined = checked(
+        latest_by_key(bronze, keys, C.version_order("bookings"), null_keys="drop")
+    )
+    _, unkeyed = checked(bronze.filter(~present))
+    return _normalise(valid, "booking_status"), quarantined.unionByName(unkeyed)
 
 
 def clean_payments(bronze: DataFrame) -> DataFrame:
