@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.operators import scd2
+from marquee.operators.quality import expect
 from marquee.plans import facts, marts, silver
 from marquee.sources import conform
 from marquee.sources.landing import bronze as add_bronze_metadata
@@ -22,6 +23,9 @@ INGESTED_AT = "2024-06-01 00:00:00"
 DIM_AS_OF = "2024-06-01 00:00:00"
 MERGE_AS_OF = "2024-07-01 00:00:00"
 
+ENTITIES = ("users", "venues", "movies", "shows", "bookings", "payments", "seat_holds", "promotions",
+            "promotion_redemptions")
+
 # fixed values: SCD2 key and tracked columns per dimension
 DIMENSIONS = {
     "dim_venue": ("venues", "venue_id", ["capacity", "venue_name"]),
@@ -30,6 +34,19 @@ DIMENSIONS = {
 }
 
 
+LAYER_TABLES = (
+    [("bronze", f"bronze_{e}") for e in ENTITIES]
+    + [("silver", t) for t in (
+        "silver_users", "silver_venues", "silver_movies", "silver_shows", "silver_bookings", "quarantine_bookings",
+        "silver_payments", "silver_seat_holds", "quarantine_seat_holds", "silver_promotions",
+        "quarantine_promotions", "silver_promotion_redemptions")]
+    + [("gold", t) for t in (
+        "dim_venue", "dim_show", "dim_user", "fact_bookings", "fact_payments", "gold_daily_revenue",
+        "fact_seat_occupancy", "fact_promotion_redemptions", "gold_promotion_performance",
+        "gold_user_booking_summary")]
+)
+
+
 class Tables:
     def __init__(
         self,
@@ -59,6 +76,20 @@ class Tables:
         return self._bronze[entity]
 
     # --- silver ---------------------------------------------------------
+    def before_expectations(self, table: str) -> DataFrame:
+        """A silver table as its build function returns it, before the
+        table's declared expectations drop rows."""
+        built = {
+            "silver_bookings": lambda: self._bookings[0],
+            "silver_payments": lambda: silver.clean_payments(self.bronze("payments")),
+            "silver_seat_holds": lambda: self._seat_holds[0],
+            "silver_promotion_redemptions": lambda: silver.clean_redemptions(self.bronze("promotion_redemptions")),
+        }
+        return built[table]()
+
+    def _expected(self, table: str) -> DataFrame:
+        return expect(self.before_expectations(table), silver.EXPECTATIONS[table])
+
     @cached_property
     def latest_bookings(self) -> DataFrame:
         return silver.latest_bookings(self.bronze("bookings"))
@@ -69,7 +100,7 @@ class Tables:
 
     @cached_property
     def silver_bookings(self) -> DataFrame:
-        return self._bookings[0]
+        return self._expected("silver_bookings")
 
     @cached_property
     def quarantine_bookings(self) -> DataFrame:
@@ -77,7 +108,7 @@ class Tables:
 
     @cached_property
     def silver_payments(self) -> DataFrame:
-        return silver.clean_payments(self.bronze("payments"))
+        return self._expected("silver_payments")
 
     def silver_dimension(self, entity: str) -> DataFrame:
         return silver.clean_dimension(self.bronze(entity), entity)
@@ -104,7 +135,7 @@ class Tables:
 
     @cached_property
     def silver_seat_holds(self) -> DataFrame:
-        return self._seat_holds[0]
+        return self._expected("silver_seat_holds")
 
     @cached_property
     def quarantine_seat_holds(self) -> DataFrame:
@@ -124,7 +155,7 @@ class Tables:
 
     @cached_property
     def silver_promotion_redemptions(self) -> DataFrame:
-        return silver.clean_redemptions(self.bronze("promotion_redemptions"))
+        return self._expected("silver_promotion_redemptions")
 
     # --- dimensions -----------------------------------------------------
     @cached_property

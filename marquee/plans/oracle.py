@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from marquee import contracts as C
 from marquee.plans import silver as S
-from marquee.plans.catalog import DIM_AS_OF, INGESTED_AT, MERGE_AS_OF
+from marquee.plans.catalog import DIM_AS_OF, INGESTED_AT, LAYER_TABLES, MERGE_AS_OF
 from marquee.sources.conform import BASE_TS
 
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -309,36 +309,15 @@ def _masked(privileged: bool) -> str:
 
 
 # --- reports -----------------------------------------------------------------------
-# fixed values: the declared expectations of the silver tables
-EXPECTATIONS = {
-    "silver_bookings": {"valid_booking_id": "booking_id IS NOT NULL", "valid_amount": "total_amount >= 0"},
-    "silver_payments": {"valid_booking_ref": "booking_id IS NOT NULL"},
-    "silver_seat_holds": {"valid_show_and_seat": "show_id IS NOT NULL AND seat_no IS NOT NULL"},
-    "silver_promotion_redemptions": {"valid_refs": "promotion_id IS NOT NULL AND booking_id IS NOT NULL"},
-}
-
-LAYER_TABLES = (
-    [("bronze", f"bronze_{e}") for e in C.CONTRACTS]
-    + [("silver", t) for t in (
-        "silver_users", "silver_venues", "silver_movies", "silver_shows", "silver_bookings", "quarantine_bookings",
-        "silver_payments", "silver_seat_holds", "quarantine_seat_holds", "silver_promotions",
-        "quarantine_promotions", "silver_promotion_redemptions")]
-    + [("gold", t) for t in (
-        "dim_venue", "dim_show", "dim_user", "fact_bookings", "fact_payments", "gold_daily_revenue",
-        "fact_seat_occupancy", "fact_promotion_redemptions", "gold_promotion_performance",
-        "gold_user_booking_summary")]
-)
-
-
 def _expectation_report() -> str:
     parts = []
-    for table, exps in EXPECTATIONS.items():
+    for table, exps in S.EXPECTATIONS.items():
         for name, sql in exps.items():
             ok = f"coalesce(({sql}), false)"
             parts.append(f"SELECT '{table}' AS table_name, '{name}' AS expectation, "
                          f"count(*) FILTER (WHERE {ok}) AS passed_records, "
                          f"count(*) FILTER (WHERE NOT {ok}) AS failed_records FROM {table}")
-    return with_ctes("\nUNION ALL\n".join(parts), *EXPECTATIONS)
+    return with_ctes("\nUNION ALL\n".join(parts), *S.EXPECTATIONS)
 
 
 def _layer_row_counts() -> str:

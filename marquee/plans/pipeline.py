@@ -7,14 +7,17 @@ every table, and lineage stays one layer deep.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from marquee.operators import scd2
-from marquee.plans.catalog import DIM_AS_OF, DIMENSIONS, MERGE_AS_OF, Tables
+from marquee.plans.catalog import DIM_AS_OF, DIMENSIONS, ENTITIES, LAYER_TABLES, MERGE_AS_OF, Tables
 from marquee.session import run_folder
 from marquee.sources.snapshots import SnapshotStore
 
 
+DIM_PARTITIONS = {"is_current": "boolean"}
+
+
 def upsert_scd2_dim(
     store: SnapshotStore,
     table: str,
@@ -23,16 +26,21 @@ def upsert_scd2_dim(
     tracked: list[str],
     as_of: str,
     on_missing: str = "keep",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Bootstrap the dimension when no version exists, else SCD2-merge the
-    new snapshot into the latest version; publish and read the result back."""
-    current = store.read(table)
+    new snapshot into the latest version; publish and read the result back.
+
+    Versions are partitioned by ``is_current``: the merge reads only the open
+    partition for its join and copies the closed one without a shuffle.
+    """
+    current = store.read(table, partition_types=DIM_PARTITIONS)
     if current is None:
         result = scd2.bootstrap(silver_df, as_of)
     else:
         result = scd2.merge(current, silver_df, key, tracked, as_of, on_missing)
-    version = store.write(result, table)
-    return store.read(table, version)
+    version = store.write(result, table, partition_by=list(DIM_PARTITIONS), observation=observation)
+    return store.read(table, version, partition_types=DIM_PARTITIONS)
 
 
 def incremental_dim_venue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,36 +52,47 @@ def incremental_dim_venue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_scd2_dim(store, "dim_venue", tables.venues_next_snapshot, key, tracked, MERGE_AS_OF)
 
 
-def run_layers(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, int]:
-    """Full bronze -> silver -> gold build with every table published once.
+def run_layers(
+    spark: SparkSession, sf_dir: str, root: str | None = None, ingested_at: str | None = None
+) -> dict[str, tuple[str, int, int]]:
+    """Full bronze -> silver -> gold build; every table is published once and
+    the next layer is built from what was read back.
 
-    Returns the version of each published table.
+    Row counts are observed while each table is written (no second pass).
+    Returns ``{table: (layer, version, rows)}``.
     """
     store = SnapshotStore(spark, root or run_folder(spark, "lakehouse"))
-    built = Tables(spark, sf_dir, ingested_at=None)
-    versions: dict[str, int] = {}
+    layers = dict((name, layer) for layer, name in LAYER_TABLES)
+    report: dict[str, tuple[str, int, int]] = {}
 
     def publish(name: str, df: DataFrame) -> DataFrame:
-        versions[name] = store.write(df, name)
-        return store.read(name, versions[name])
+        obs = Observation(name)
+        version = store.write(df, name, observation=obs)
+        report[name] = (layers[name], version, obs.get["rows"])
+        return store.read(name, version)
+
+    landed = Tables(spark, sf_dir, ingested_at=ingested_at)
+    bronze = {e: publish(f"bronze_{e}", landed.bronze(e)) for e in ENTITIES}
 
-    bronze = {e: publish(f"bronze_{e}", built.bronze(e)) for e in
-              ("users", "venues", "movies", "shows", "bookings", "payments", "seat_holds", "promotions",
-               "promotion_redemptions")}
     layer = Tables(spark, bronze_frames=bronze)
-    silver_names = [
-        "silver_users", "silver_venues", "silver_movies", "silver_shows", "silver_bookings", "quarantine_bookings",
-        "silver_payments", "silver_seat_holds", "quarantine_seat_holds", "silver_promotions",
-        "quarantine_promotions", "silver_promotion_redemptions",
-    ]
-    silver = {n: publish(n, getattr(layer, n)) for n in silver_names}
+    silver = {n: publish(n, getattr(layer, n)) for _, n in LAYER_TABLES if _ == "silver"}
+
     dims = {}
     for name, (entity, key, tracked) in DIMENSIONS.items():
-        dims[name] = upsert_scd2_dim(store, name, silver[f"silver_{entity}"], key, tracked, DIM_AS_OF)
-        versions[name] = store.latest_version(name)
+        obs = Observation(name)
+        dims[name] = upsert_scd2_dim(store, name, silver[f"silver_{entity}"], key, tracked, DIM_AS_OF,
+                                     observation=obs)
+        report[name] = (layers[name], store.latest_version(name), obs.get["rows"])
 
     gold = Tables(spark, prebuilt={**silver, **dims})
-    for name in ("fact_bookings", "fact_payments", "gold_daily_revenue", "fact_seat_occupancy",
-                 "fact_promotion_redemptions", "gold_promotion_performance", "gold_user_booking_summary"):
-        gold.__dict__[name] = publish(name, getattr(gold, name))
-    return versions
+    for _, name in LAYER_TABLES:
+        if _ == "gold" and name not in dims:
+            gold.__dict__[name] = publish(name, getattr(gold, name))
+    return report
+
+
+def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the layered build and report the rows written per table."""
+    report = run_layers(spark, sf_dir)
+    data = [(layer, name, rows) for name, (layer, _, rows) in report.items()]
+    return spark.createDataFrame(data, "layer string, table_name string, row_count bigint")

@@ -6,16 +6,16 @@ layer, so its work grows with them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.functions.masking import mask_email, mask_phone
 from marquee.operators.quality import expectation_metrics
-from marquee.plans import marts, pipeline
-from marquee.plans.catalog import INGESTED_AT, Tables
-from marquee.plans.oracle import EXPECTATIONS, LAYER_TABLES
+from marquee.plans import marts, pipeline, silver
+from marquee.plans.catalog import INGESTED_AT, LAYER_TABLES, Tables
+from marquee.plans.views import create_user_view, user_view
 from marquee.session import run_folder
 from marquee.sources import conform
 from marquee.sources.landing import bronze, read_json, write_json
@@ -39,19 +39,11 @@ def bronze_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze(read_json(spark, f"{landing}/*.json", "bookings"), "bookings", INGESTED_AT)
 
 
-def user_view(dim_user: DataFrame, privileged: bool = False) -> DataFrame:
-    """The published user view: PII masked unless the caller is privileged;
-    the name is never exposed."""
-    email = F.col("email") if privileged else mask_email("email")
-    phone = F.col("phone") if privileged else mask_phone("phone")
-    return dim_user.select(
-        "user_id", email.alias("email"), phone.alias("phone"), "city", "signup_date",
-        "effective_start", "effective_end", "is_current",
-    )
-
-
 def dim_user_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return user_view(Tables(spark, sf_dir).dim_user, privileged=False)
+    """Through the SQL view: dim_user registered by name, masked view on top."""
+    source = f"dim_user_{uuid.uuid4().hex[:8]}"
+    Tables(spark, sf_dir).dim_user.createOrReplaceTempView(source)
+    return create_user_view(spark, source, f"{source}_masked", privileged=False)
 
 
 def dim_user_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +52,8 @@ def dim_user_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def expectation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    frames = [expectation_metrics(getattr(t, table), table, exps) for table, exps in EXPECTATIONS.items()]
+    frames = [expectation_metrics(t.before_expectations(table), table, exps)
+              for table, exps in silver.EXPECTATIONS.items()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -68,6 +61,9 @@ def expectation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table of every layer, as one job over the lazily built tables
+    (shared exchanges are reused inside the plan). ``pipeline.run_layers``
+    gives the same report from the rows observed while publishing."""
     t = Tables(spark, sf_dir)
 
     def table(name: str) -> DataFrame:
