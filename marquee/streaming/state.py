@@ -1,11 +1,19 @@
 """Latest state per key, maintained from a stream with ``foreachBatch``.
 
 Window dedup is not allowed on a streaming frame, so each micro-batch is
-merged into a state table by hand: the batch's valid rows are hashed into a
-fixed number of buckets, only the buckets the batch touches are read from
-the state, unioned with the batch, reduced to the newest row per key and
-written back with dynamic partition overwrite. The cost of a batch follows
-the batch, not the size of the state.
+merged into a state table by hand:
+
+1. the batch's valid rows are reduced to the newest row per key (a hot key
+   is collapsed map-side by the partial window limit);
+2. keys are hashed into a fixed number of buckets; only the buckets the
+   batch touches are read from the state (partition pruning);
+3. state rows and batch rows of those buckets (at most two rows per key) are
+   repartitioned by bucket and reduced again, so each bucket is one task
+   and one file;
+4. the touched buckets are rewritten with dynamic partition overwrite.
+
+The cost of a batch follows the batch, not the size of the state. Size
+``buckets`` so that one bucket of the state is a few hundred MB.
 
 Re-running a batch (after a failure) gives the same state: the newest row
 per key of (state + batch) does not change when the batch is already in it.
@@ -58,17 +66,20 @@ class LatestStateSink:
         valid, quarantined = gate(batch, self.rules)
         quarantined.write.mode("overwrite").parquet(f"{self.quarantine_dir}/batch={batch_id}")
 
-        valid = valid.filter(F.col(self.keys[0]).isNotNull()).withColumn(BUCKET, self._bucket()).persist()
+        batch_latest = latest_by_key(valid, self.keys, self.order_cols, null_keys="drop")
+        batch_latest = batch_latest.withColumn(BUCKET, self._bucket()).persist()
         try:
             # at most `buckets` small ints reach the driver
-            touched = sorted(r[0] for r in valid.select(BUCKET).distinct().collect())
+            touched = sorted(r[0] for r in batch_latest.select(BUCKET).distinct().collect())
             if not touched:
                 return
-            merged = valid
+            merged = batch_latest
             state = self._state()
             if state is not None:
                 merged = state.filter(F.col(BUCKET).isin(touched)).unionByName(merged)
-            newest = latest_by_key(merged, self.keys, self.order_cols, null_keys="drop")
+            newest = latest_by_key(
+                merged.repartition(F.col(BUCKET)), [BUCKET, *self.keys], self.order_cols, null_keys="drop"
+            )
             # the state folder is read above and overwritten below: cut the
             # lineage with a reliable checkpoint in the shared checkpoint dir
             newest = newest.checkpoint(eager=True)
@@ -79,7 +90,7 @@ class LatestStateSink:
                 .parquet(self.state_dir)
             )
         finally:
-            valid.unpersist()
+            batch_latest.unpersist()
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.state_dir).drop(BUCKET)

@@ -89,3 +89,30 @@ def test_layered_run_counts_equal_lazy_counts(spark):
     written = {r.table_name: r.row_count for r in written_counts(spark, SF).collect()}
     lazy = {r.table_name: r.row_count for r in lazy_counts(spark, SF).collect()}
     assert written == lazy and len(written) == 31
+
+
+def test_state_sink_batch_replay_is_idempotent(spark):
+    from marquee import contracts as C
+    from marquee.plans import silver
+    from marquee.streaming.state import LatestStateSink
+
+    root = run_folder(spark, "test-sink")
+    sink = LatestStateSink(spark, f"{root}/state", f"{root}/q", C.KEYS["seat_holds"],
+                           C.version_order("seat_holds"), silver.SEAT_HOLD_RULES, buckets=4)
+    b0 = rows(spark, "seat_holds", [
+        dict(hold_id=1, show_id=1, seat_no="A1", hold_status="HELD", updated_at=ts("2026-01-01T00:00:00")),
+        dict(hold_id=2, show_id=1, seat_no="A1", hold_status="BOOKED", updated_at=ts("2026-01-01T00:01:00")),
+        dict(hold_id=3, show_id=2, seat_no="B1", hold_status="HELD", updated_at=ts("2026-01-01T00:00:00")),
+        dict(hold_id=4, show_id=None, seat_no="B2", hold_status="HELD", updated_at=ts("2026-01-01T00:00:00")),
+    ])
+    b1 = rows(spark, "seat_holds", [
+        dict(hold_id=5, show_id=1, seat_no="A1", hold_status="RELEASED", updated_at=ts("2026-01-01T00:00:30")),
+        dict(hold_id=6, show_id=2, seat_no="B1", hold_status="EXPIRED", updated_at=ts("2026-01-02T00:00:00")),
+    ])
+    sink(b0, 0)
+    sink(b1, 1)
+    first = _sorted(sink.read(), ["show_id", "seat_no", "hold_status"])
+    sink(b1, 1)  # replayed after a failure
+    assert _sorted(sink.read(), ["show_id", "seat_no", "hold_status"]) == first
+    assert first == [(1, "A1", "BOOKED"), (2, "B1", "EXPIRED")]
+    assert sink.read_quarantine().count() == 1
