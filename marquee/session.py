@@ -42,6 +42,34 @@ def build_session(
     return spark
 
 
+def scale_conf(
+    largest_shuffle_bytes: int,
+    input_bytes_per_task: int = 256 << 20,
+    shuffle_bytes_per_task: int = 256 << 20,
+    executor_cores: int | None = None,
+) -> dict[str, str]:
+    """Partition sizing for a run over large inputs.
+
+    Scan splits of ``input_bytes_per_task`` and post-shuffle partitions of
+    ``shuffle_bytes_per_task`` keep a task's working set well inside an
+    executor's share of memory (sorts and hash tables spill beyond it). The
+    initial shuffle partition count is sized for the largest shuffle of the
+    run; AQE coalesces small shuffles down to the advisory size and splits
+    skewed partitions of sort-merge joins.
+    """
+    partitions = max(200, -(-largest_shuffle_bytes // shuffle_bytes_per_task))
+    conf = {
+        "spark.sql.files.maxPartitionBytes": str(input_bytes_per_task),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_bytes_per_task),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_bytes_per_task),
+    }
+    if executor_cores:
+        conf["spark.executor.cores"] = str(executor_cores)
+    return conf
+
+
 def shared_root(spark: SparkSession) -> str:
     """Base folder for snapshots, landing files and stream checkpoints.
 

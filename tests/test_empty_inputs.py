@@ -24,3 +24,11 @@ def test_scd2_merge_with_empty_snapshot_keeps_everything(spark):
     closed = scd2.merge(dim, rows(spark, "venues", []), "venue_id", ["capacity"], "2026-02-01 00:00:00",
                         on_missing="close")
     assert closed.filter("is_current").count() == 0 and closed.count() == 2
+
+
+def test_scale_conf_sizes_partitions_from_the_largest_shuffle():
+    from marquee.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40))  # 100 TiB through the largest shuffle
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
