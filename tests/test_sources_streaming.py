@@ -116,3 +116,18 @@ def test_state_sink_batch_replay_is_idempotent(spark):
     assert _sorted(sink.read(), ["show_id", "seat_no", "hold_status"]) == first
     assert first == [(1, "A1", "BOOKED"), (2, "B1", "EXPIRED")]
     assert sink.read_quarantine().count() == 1
+
+
+def test_second_run_without_new_data_changes_no_dimension(spark):
+    from marquee.plans.pipeline import DIM_PARTITIONS, run_layers
+
+    root = run_folder(spark, "test-two-runs")
+    first = run_layers(spark, SF, root)
+    second = run_layers(spark, SF, root)
+    assert first == {k: (layer, v - 1, n) for k, (layer, v, n) in second.items()}  # same rows, next version
+    store = SnapshotStore(spark, root)
+    for dim in ("dim_venue", "dim_show", "dim_user"):
+        v1 = store.read(dim, 1, partition_types=DIM_PARTITIONS)
+        v2 = store.read(dim, 2, partition_types=DIM_PARTITIONS)
+        cols = [c for c in v1.columns if c != "_ingested_at"]
+        assert _sorted(v1, cols) == _sorted(v2, cols)
