@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from marquee import contracts as C
 from marquee.operators.cdc import drop_tombstones, keys_present, latest_by_key
-from marquee.operators.quality import Rule, gate, passes_all
+from marquee.operators.quality import FAILURES, Rule, gate, passes_all
+from marquee.sources.landing import CORRUPT
 
 
 def _present(col: str) -> str:
@@ -67,6 +68,32 @@ EXPECTATIONS = {
 }
 
 
+PARSE_FAILURE = "record_parsed"
+
+
+def split_parsed(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Separate malformed landed lines (``_corrupt_record`` set) from parsed
+    rows. A malformed line is not a version of any key: it goes straight to
+    quarantine and never takes part in a dedup."""
+    if CORRUPT not in df.columns:
+        return df, None
+    malformed = df.filter(F.col(CORRUPT).isNotNull()).withColumn(FAILURES, F.lit(PARSE_FAILURE))
+    return df.filter(F.col(CORRUPT).isNull()), malformed
+
+
+def _with_malformed(
+    valid: DataFrame, quarantined: DataFrame, malformed: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    if malformed is None:
+        return valid, quarantined
+    return valid.drop(CORRUPT), quarantined.unionByName(malformed)
+
+
+def _parsed_only(df: DataFrame) -> DataFrame:
+    parsed, malformed = split_parsed(df)
+    return parsed if malformed is None else parsed.drop(CORRUPT)
+
+
 def _normalise(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.upper(F.trim(F.col(col))))
 
@@ -89,6 +116,7 @@ def clean_bookings(
     """
     keys = C.KEYS["bookings"]
     present = keys_present(keys)
+    bronze, malformed = split_parsed(bronze)
 
     def checked(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
         live = drop_tombstones(frame)
@@ -100,24 +128,25 @@ def clean_bookings(
         latest_by_key(bronze, keys, C.version_order("bookings"), null_keys="drop")
     )
     _, unkeyed = checked(bronze.filter(~present))
-    return _normalise(valid, "booking_status"), quarantined.unionByName(unkeyed)
+    return _with_malformed(_normalise(valid, "booking_status"), quarantined.unionByName(unkeyed), malformed)
 
 
 def clean_payments(bronze: DataFrame) -> DataFrame:
     """Dedup on payment_id -> drop bad references and amounts -> normalise status."""
-    latest = latest_by_key(bronze, C.KEYS["payments"], C.version_order("payments"), null_keys="drop")
+    latest = latest_by_key(_parsed_only(bronze), C.KEYS["payments"], C.version_order("payments"), null_keys="drop")
     return _normalise(latest.filter(passes_all(PAYMENT_RULES)), "payment_status")
 
 
 def clean_dimension(bronze: DataFrame, entity: str) -> DataFrame:
     """Drop NULL keys, then keep the newest version per key."""
-    return latest_by_key(bronze, C.KEYS[entity], C.version_order(entity), null_keys="drop")
+    return latest_by_key(_parsed_only(bronze), C.KEYS[entity], C.version_order(entity), null_keys="drop")
 
 
 def clean_seat_holds(bronze: DataFrame, null_safe: bool = True) -> tuple[DataFrame, DataFrame]:
     """Gate -> latest state per (show_id, seat_no) among the valid events."""
-    valid, quarantined = gate(bronze, SEAT_HOLD_RULES, null_safe=null_safe)
-    return latest_seat_state(valid), quarantined
+    parsed, malformed = split_parsed(bronze)
+    valid, quarantined = gate(parsed, SEAT_HOLD_RULES, null_safe=null_safe)
+    return _with_malformed(latest_seat_state(valid), quarantined, malformed)
 
 
 def latest_seat_state(valid_holds: DataFrame) -> DataFrame:
@@ -126,14 +155,15 @@ def latest_seat_state(valid_holds: DataFrame) -> DataFrame:
 
 def clean_promotions(bronze: DataFrame, null_safe: bool = True) -> tuple[DataFrame, DataFrame]:
     """Gate -> newest valid version per promotion_id."""
-    valid, quarantined = gate(bronze, PROMOTION_RULES, null_safe=null_safe)
+    parsed, malformed = split_parsed(bronze)
+    valid, quarantined = gate(parsed, PROMOTION_RULES, null_safe=null_safe)
     latest = latest_by_key(valid, C.KEYS["promotions"], C.version_order("promotions"), null_keys="drop")
-    return latest, quarantined
+    return _with_malformed(latest, quarantined, malformed)
 
 
 def clean_redemptions(bronze: DataFrame) -> DataFrame:
     """Dedup on redemption_id -> drop bad references and discounts."""
     latest = latest_by_key(
-        bronze, C.KEYS["promotion_redemptions"], C.version_order("promotion_redemptions"), null_keys="drop"
+        _parsed_only(bronze), C.KEYS["promotion_redemptions"], C.version_order("promotion_redemptions"), null_keys="drop"
     )
     return latest.filter(passes_all(REDEMPTION_RULES))

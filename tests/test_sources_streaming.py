@@ -131,3 +131,19 @@ def test_second_run_without_new_data_changes_no_dimension(spark):
         v2 = store.read(dim, 2, partition_types=DIM_PARTITIONS)
         cols = [c for c in v1.columns if c != "_ingested_at"]
         assert _sorted(v1, cols) == _sorted(v2, cols)
+
+
+def test_malformed_lines_are_quarantined_not_deduped(spark):
+    from marquee.plans import silver
+
+    folder = tempfile.mkdtemp(prefix="marquee-json-")
+    with open(os.path.join(folder, "batch.json"), "w") as fh:
+        fh.write('{"hold_id": 1, "show_id": 2, "seat_no": "A1", "hold_status": "HELD", '
+                 '"updated_at": "2026-01-01T00:00:00.000000"}\n')
+        fh.write('{"hold_id": 2, "show_id": 2, "seat_no": "A1", "hold_status": "RELEA\n')
+    df = read_json(spark, folder, "seat_holds", keep_corrupt=True)
+    latest, quarantined = silver.clean_seat_holds(df)
+    assert [r.hold_status for r in latest.collect()] == ["HELD"]
+    assert CORRUPT not in latest.columns
+    q = quarantined.collect()
+    assert len(q) == 1 and q[0]._dq_failures == "record_parsed" and q[0][CORRUPT].startswith('{"hold_id": 2')
