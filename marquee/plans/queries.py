@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators.quality import expectation_metrics
 from marquee.plans import marts, pipeline, silver
-from marquee.plans.catalog import INGESTED_AT, LAYER_TABLES, Tables
+from marquee.plans.catalog import INGESTED_AT, Tables
 from marquee.plans.views import create_user_view, user_view
 from marquee.session import run_folder
 from marquee.sources import conform
@@ -60,27 +60,6 @@ def expectation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per table of every layer, as one job over the lazily built tables
-    (shared exchanges are reused inside the plan). ``pipeline.run_layers``
-    gives the same report from the rows observed while publishing."""
-    t = Tables(spark, sf_dir)
-
-    def table(name: str) -> DataFrame:
-        return t.bronze(name.removeprefix("bronze_")) if name.startswith("bronze_") else getattr(t, name)
-
-    frames = [
-        table(name).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"
-        )
-        for layer, name in LAYER_TABLES
-    ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def scd2_merge_venue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Tables(spark, sf_dir).scd2_merge_venue()
 
@@ -117,7 +96,7 @@ QUERIES: dict[str, Query] = {
         "gold_daily_revenue", "gold_promotion_performance", "gold_user_booking_summary",
     )},
     "expectation_report": expectation_report,
-    "layer_row_counts": layer_row_counts,
+    "layer_row_counts": pipeline.layer_row_counts,
     "scd2_merge_venue": scd2_merge_venue,
     "incremental_dim_venue": pipeline.incremental_dim_venue,
     "dim_venue_history": dim_venue_history,

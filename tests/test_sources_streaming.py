@@ -82,15 +82,6 @@ def test_stream_bronze_equals_batch_bronze(spark):
     assert _sorted(bronze, batch.columns) == _sorted(batch, batch.columns)
 
 
-def test_layered_run_counts_equal_lazy_counts(spark):
-    from marquee.plans.pipeline import layer_row_counts as written_counts
-    from marquee.plans.queries import layer_row_counts as lazy_counts
-
-    written = {r.table_name: r.row_count for r in written_counts(spark, SF).collect()}
-    lazy = {r.table_name: r.row_count for r in lazy_counts(spark, SF).collect()}
-    assert written == lazy and len(written) == 31
-
-
 def test_state_sink_batch_replay_is_idempotent(spark):
     from marquee import contracts as C
     from marquee.plans import silver
