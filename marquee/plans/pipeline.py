@@ -10,8 +10,10 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.operators import scd2
+from marquee.operators.quality import FAILURES
 from marquee.plans.catalog import DIM_AS_OF, DIMENSIONS, ENTITIES, LAYER_TABLES, MERGE_AS_OF, Tables
 from marquee.session import run_folder
 from marquee.sources.snapshots import SnapshotStore
@@ -63,6 +65,29 @@ def incremental_dim_venue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_scd2_dim(store, "dim_venue", tables.venues_next_snapshot, key, tracked, MERGE_AS_OF)
 
 
+VALID_FLAG = "_dq_valid"
+CHECKED_PARTITIONS = {VALID_FLAG: "boolean"}
+
+# gated domains: one written table holds both outcomes of the gate
+GATED = {
+    "checked_bookings": ("silver_bookings", "quarantine_bookings"),
+    "checked_seat_holds": ("silver_seat_holds", "quarantine_seat_holds"),
+    "checked_promotions": ("silver_promotions", "quarantine_promotions"),
+}
+
+
+def checked_table(valid: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """Valid and quarantined rows of one gate as a single frame flagged by
+    ``_dq_valid``. Both sides share the same dedup exchange, which Spark
+    computes once for the union (exchange reuse), so the domain's input is
+    read and shuffled once instead of once per output table."""
+    return (
+        valid.withColumn(FAILURES, F.lit(None).cast("string"))
+        .unionByName(quarantined, allowMissingColumns=True)
+        .withColumn(VALID_FLAG, F.col(FAILURES).isNull())
+    )
+
+
 class _LayerWriter:
     """Stages tables concurrently, observes their row counts while writing,
     and commits a whole layer at once."""
@@ -71,20 +96,31 @@ class _LayerWriter:
         self.store = store
         self.pending: dict[str, int] = {}
         self.rows: dict[str, int] = {}
-        self.partitions: dict[str, dict[str, str]] = {}
-
-    def stage(self, frames: dict[str, DataFrame], partitions: dict[str, str] | None = None) -> dict[str, DataFrame]:
-        def one(name: str) -> tuple[str, int, int]:
+        self.valid_rows: dict[str, int] = {}
+
+    def stage(
+        self, frames: dict[str, DataFrame], partitions: dict[str, dict[str, str]] | None = None
+    ) -> dict[str, DataFrame]:
+        partitions = partitions or {}
+
+        def one(name: str) -> tuple[str, int, int, int | None]:
+            parts = partitions.get(name, {})
+            metrics = [F.count(F.lit(1)).alias("rows")]
+            if VALID_FLAG in parts:
+                metrics.append(F.count_if(F.col(VALID_FLAG)).alias("valid"))
             obs = Observation(name)
-            version = self.store.stage(frames[name], name, list(partitions or {}), obs)
-            return name, version, obs.get["rows"]
+            version = self.store.stage(frames[name].observe(obs, *metrics), name, list(parts))
+            got = obs.get
+            return name, version, got["rows"], got.get("valid")
 
         with ThreadPoolExecutor(max_workers=max(1, min(PARALLEL_TABLES, len(frames)))) as pool:
             done = list(pool.map(one, frames))
         out = {}
-        for name, version, rows in done:
+        for name, version, rows, valid in done:
             self.pending[name], self.rows[name] = version, rows
-            out[name] = self.store.read(name, version, partition_types=partitions)
+            if valid is not None:
+                self.valid_rows[name] = valid
+            out[name] = self.store.read(name, version, partition_types=partitions.get(name))
         return out
 
     def commit(self) -> dict[str, int]:
@@ -101,27 +137,37 @@ def run_layers(
     Each table is written once and the next layer is built from what was
     read back, so lineage stays one layer deep and a lost executor re-runs
     only tasks of the layer being built. The tables of a layer are built
-    concurrently and published by one commit. Dimensions bootstrap on the
-    first run and SCD2-merge on later runs against the same ``root``.
-    Returns ``{table: (layer, version, rows)}``.
+    concurrently and published by one commit; a gated domain's valid and
+    quarantined rows are one table partitioned by ``_dq_valid``. Dimensions
+    bootstrap on the first run and SCD2-merge on later runs against the same
+    ``root``. Returns ``{table: (layer, version, rows)}``.
     """
     store = SnapshotStore(spark, root) if root else SnapshotStore(spark, run_folder(spark, "lakehouse"), fresh=True)
     layers = {name: layer for layer, name in LAYER_TABLES}
     writer = _LayerWriter(store)
     versions: dict[str, int] = {}
+    report: dict[str, tuple[str, int, int]] = {}
 
     landed = Tables(spark, sf_dir, ingested_at=ingested_at)
     bronze = writer.stage({f"bronze_{e}": landed.bronze(e) for e in ENTITIES})
     versions.update(writer.commit())
 
     layer = Tables(spark, bronze_frames={e: bronze[f"bronze_{e}"] for e in ENTITIES})
-    silver = writer.stage({n: getattr(layer, n) for lay, n in LAYER_TABLES if lay == "silver"})
+    gated_names = {n for pair in GATED.values() for n in pair}
+    frames = {n: getattr(layer, n) for lay, n in LAYER_TABLES if lay == "silver" and n not in gated_names}
+    frames.update({checked: checked_table(getattr(layer, v), getattr(layer, q)) for checked, (v, q) in GATED.items()})
+    written = writer.stage(frames, partitions={checked: CHECKED_PARTITIONS for checked in GATED})
+    silver = {n: written[n] for n in frames if n not in GATED}
+    for checked, (valid_name, quarantine_name) in GATED.items():
+        both = written[checked]
+        silver[valid_name] = both.filter(F.col(VALID_FLAG)).drop(VALID_FLAG, FAILURES)
+        silver[quarantine_name] = both.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG)
     versions.update(writer.commit())
 
     dims = writer.stage(
         {name: next_dim_version(store, name, silver[f"silver_{entity}"], key, tracked, DIM_AS_OF)
          for name, (entity, key, tracked) in DIMENSIONS.items()},
-        partitions=DIM_PARTITIONS,
+        partitions={name: DIM_PARTITIONS for name in DIMENSIONS},
     )
     gold = Tables(spark, prebuilt={**silver, **dims})
     for wave in (("fact_bookings", "fact_seat_occupancy"),
@@ -129,7 +175,16 @@ def run_layers(
                  ("gold_promotion_performance",)):
         gold.__dict__.update(writer.stage({name: getattr(gold, name) for name in wave}))
     versions.update(writer.commit())
-    return {name: (layers[name], versions[name], writer.rows[name]) for name in versions}
+
+    for name, version in versions.items():
+        if name in GATED:
+            valid_name, quarantine_name = GATED[name]
+            valid = writer.valid_rows[name]
+            report[valid_name] = (layers[valid_name], version, valid)
+            report[quarantine_name] = (layers[quarantine_name], version, writer.rows[name] - valid)
+        else:
+            report[name] = (layers[name], version, writer.rows[name])
+    return report
 
 
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
