@@ -10,7 +10,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marquee.operators.quality import expectation_metrics
 from marquee.plans import marts, pipeline, silver
