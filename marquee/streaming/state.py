@@ -24,9 +24,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marquee.operators.cdc import latest_by_key
 from marquee.operators.quality import Rule, gate
@@ -56,11 +56,11 @@ class LatestStateSink:
     def _bucket(self):
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
-    def _state(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.state_dir)
-        except AnalysisException:
-            return None
+    def _state(self, schema: StructType) -> DataFrame:
+        # an empty state is created on first use ("ignore" is a no-op once it
+        # exists), so the first batch reads an empty table instead of failing
+        self.spark.createDataFrame([], schema).write.mode("ignore").partitionBy(BUCKET).parquet(self.state_dir)
+        return self.spark.read.schema(schema).parquet(self.state_dir)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         valid, quarantined = gate(batch, self.rules)
@@ -73,10 +73,8 @@ class LatestStateSink:
             touched = sorted(r[0] for r in batch_latest.select(BUCKET).distinct().collect())
             if not touched:
                 return
-            merged = batch_latest
-            state = self._state()
-            if state is not None:
-                merged = state.filter(F.col(BUCKET).isin(touched)).unionByName(merged)
+            state = self._state(batch_latest.schema)
+            merged = state.filter(F.col(BUCKET).isin(touched)).unionByName(batch_latest)
             newest = latest_by_key(
                 merged.repartition(F.col(BUCKET)), [BUCKET, *self.keys], self.order_cols, null_keys="drop"
             )

@@ -48,8 +48,27 @@ def test_drop_tombstones_treats_null_as_live(spark):
     assert sorted(r.k for r in drop_tombstones(df).collect()) == [2, 3]
 
 
-def test_dedup_plan_limits_before_the_shuffle(spark, capsys):
+def test_dedup_plan_reduces_before_the_shuffle(spark, capsys):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
     latest_by_key(df, ["k"], ["v"]).explain()
     plan = capsys.readouterr().out
+    assert "partial_max" in plan  # one row per key and map task crosses the exchange
+    latest_by_key(df, ["k"], ["v"], method="window").explain()
+    plan = capsys.readouterr().out
     assert plan.count("WindowGroupLimit") == 2  # partial before, final after the exchange
+
+
+def test_window_and_aggregate_methods_agree(spark):
+    df = spark.createDataFrame(
+        [(1, None, "a"), (1, 2, "b"), (1, 2, "c"), (2, None, "x"), (2, None, "y"), (None, 5, "n")],
+        "k long, t int, v string",
+    )
+    for null_keys in ("bypass", "drop", "group"):
+        a = latest_by_key(df, ["k"], ["t"], null_keys=null_keys, method="aggregate")
+        w = latest_by_key(df, ["k"], ["t"], null_keys=null_keys, method="window")
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, w.collect()), key=str)
+
+
+def test_unorderable_columns_fall_back_to_the_window(spark):
+    df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"b": 2})], "k long, t int, m map<string,int>")
+    assert [r.m for r in latest_by_key(df, ["k"], ["t"]).collect()] == [{"b": 2}]

@@ -29,8 +29,8 @@ def test_payments_join_reuses_the_booking_partitioning(tables, capsys):
 
 def test_dedups_limit_before_the_shuffle(tables, capsys):
     plan = _plan(tables.fact_promotion_redemptions, capsys)
-    assert plan.count("WindowGroupLimit") >= 2 * 3  # redemptions, bookings, shows: partial + final each
-    assert "Partial" in plan and "Final" in plan
+    # redemptions, bookings, promotions and shows: a partial max(struct) below each dedup exchange
+    assert plan.count("partial_max(struct(") >= 4
 
 
 def test_occupancy_counts_without_distinct(tables, capsys):

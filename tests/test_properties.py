@@ -19,10 +19,11 @@ def _desc_nulls_last(v):
 
 
 @SETTINGS
-@given(version_rows)
-def test_latest_by_key_matches_model(spark, data):
+@given(version_rows, st.sampled_from(["aggregate", "window"]))
+def test_latest_by_key_matches_model(spark, data, method):
     df = spark.createDataFrame(data, "k int, t int, v int")
-    got = sorted(map(tuple, latest_by_key(df, ["k"], ["t", "v"], null_keys="bypass").collect()), key=str)
+    got = sorted(map(tuple, latest_by_key(df, ["k"], ["t", "v"], null_keys="bypass", method=method).collect()),
+                 key=str)
     best = {}
     for k, t, v in data:
         if k is None:
