@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def keys_present(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return F.expr(" AND ".join(f"{_q(k)} IS NOT NULL" for k in keys))
 
 
 def _orderable(dtype: DataType) -> bool:
@@ -57,8 +59,8 @@ def latest_by_key(
     def by_aggregate(frame: DataFrame) -> DataFrame:
         # struct comparison is field by field with NULL lowest, so max() is
         # "newest first, NULLs last" on the order columns
-        newest = F.max(F.struct(*[F.col(c) for c in [*order_cols, *rest]])).alias("_v")
-        return frame.groupBy(*keys).agg(newest).select(*keys, "_v.*").select(*cols)
+        newest = F.expr(f"max(struct({', '.join(_q(c) for c in [*order_cols, *rest])}))").alias("_v")
+        return frame.groupBy(*keys).agg(newest).selectExpr(*[_q(c) if c in keys else f"_v.{_q(c)}" for c in cols])
 
     def by_window(frame: DataFrame) -> DataFrame:
         types = {f.name: f.dataType for f in frame.schema.fields}

@@ -23,12 +23,25 @@ class Rule:
         return F.expr(self.predicate) if isinstance(self.predicate, str) else self.predicate
 
 
+def _sql_rules(rules: Sequence[Rule]) -> bool:
+    return all(isinstance(r.predicate, str) for r in rules)
+
+
+def _name_literal(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def failed_rules(rules: Sequence[Rule]) -> Column:
     """array<string> of the rules a row fails, in rule order.
 
     A NULL predicate counts as a failure, so every row lands in exactly one of
-    valid / quarantined.
+    valid / quarantined. Rules given as SQL text become one expression.
     """
+    if _sql_rules(rules):
+        cases = ", ".join(
+            f"CASE WHEN NOT coalesce(({r.predicate}), false) THEN {_name_literal(r.name)} END" for r in rules
+        )
+        return F.expr(f"array_compact(array({cases}))")
     return F.array_compact(
         F.array(*[F.when(~F.coalesce(r.column(), F.lit(False)), F.lit(r.name)) for r in rules])
     )
@@ -36,6 +49,8 @@ def failed_rules(rules: Sequence[Rule]) -> Column:
 
 def passes_all(rules: Sequence[Rule]) -> Column:
     """True when every rule holds; a NULL predicate counts as a failure."""
+    if _sql_rules(rules):
+        return F.expr(" AND ".join(f"coalesce(({r.predicate}), false)" for r in rules))
     return reduce(lambda a, b: a & b, [F.coalesce(r.column(), F.lit(False)) for r in rules])
 
 

@@ -64,11 +64,12 @@ class Tables:
         self.ingested_at = ingested_at
         self.as_of = as_of
         self._bronze = dict(bronze_frames or {})
+        self._sources = conform.Sources(spark, sf_dir) if sf_dir else None
         self.__dict__.update(prebuilt or {})
 
     # --- bronze ---------------------------------------------------------
     def landed(self, entity: str) -> DataFrame:
-        return conform.landed(self.spark, self.sf_dir, entity)
+        return conform.landed(self.spark, self.sf_dir, entity, self._sources)
 
     def bronze(self, entity: str) -> DataFrame:
         if entity not in self._bronze:
@@ -181,7 +182,7 @@ class Tables:
     # --- facts and marts ------------------------------------------------
     @cached_property
     def fact_bookings(self) -> DataFrame:
-        return facts.fact_bookings(self.silver_bookings, self.dim_show, self.dim_venue)
+        return facts.fact_bookings(self.silver_bookings, self.dim_show)
 
     @cached_property
     def fact_payments(self) -> DataFrame:

@@ -3,258 +3,225 @@
 The test tables hold no NULLs and no dirty values, so the dirty cases the
 pipeline must handle (NULL keys and references, negative amounts, unknown or
 NULL statuses, tombstones, duplicate versions) are derived by fixed rules.
-The same rules are written as SQL in ``marquee.plans.oracle``; the two are
-compared query by query.
+The same rules are written in DuckDB SQL in ``marquee.plans.oracle``; the two
+are compared query by query.
 
-Every entity comes out in its contract's column order and types.
+Each entity is one projection per source (``selectExpr``), cast to its
+contract, in the contract's column order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from marquee import contracts as C
 
 BASE_TS = "2024-01-01 00:00:00"
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def _ts(value: str) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
-
-
-def _conform(df: DataFrame, entity: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in C.CONTRACTS[entity].fields])
-
-
-def _null(type_name: str) -> Column:
-    return F.lit(None).cast(type_name)
-
-
-def _str(col: str | Column) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("string")
-
-
-def _line_key() -> Column:
-    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
-
-
-def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_shipdate",
-    )
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    ln, disc, flag, price = F.col("l_linenumber"), F.col("l_discount"), F.col("l_returnflag"), F.col("l_extendedprice")
-    status = (
-        F.when((ln == 7) & (flag == "N"), F.lit("UNKNOWN"))
-        .when((ln == 6) & (disc == 0.1), _null("string"))
-        .when(flag == "A", F.lit("CONFIRMED"))
-        .when(flag == "R", F.lit("CANCELLED"))
-        .when(flag == "N", F.lit("PENDING"))
-    )
-    rows = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        _line_key().alias("booking_id"),
-        F.when((ln == 2) & (flag == "A") & (disc == 0), _null("bigint")).otherwise(F.col("o_custkey")).alias("user_id"),
-        F.col("l_partkey").alias("show_id"),
-        F.col("l_quantity").cast("int").alias("num_seats"),
-        F.when((ln == 1) & (disc == 0), -price).otherwise(price).alias("total_amount"),
-        status.alias("booking_status"),
-        F.col("o_orderdate").alias("booking_time"),
-        F.col("l_shipdate").alias("updated_at"),
-        F.when(F.col("l_tax") == 0.08, _null("boolean")).otherwise(F.col("l_tax") == 0).alias("is_deleted"),
-    )
-    return _conform(rows, "bookings")
-
-
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "F")
-    ln, disc, price = F.col("l_linenumber"), F.col("l_discount"), F.col("l_extendedprice")
-    method = F.when(ln % 3 == 0, F.lit("CARD")).when(ln % 3 == 1, F.lit("UPI")).otherwise(F.lit("WALLET"))
-    rows = li.select(
-        _line_key().alias("payment_id"),
-        F.when((ln == 3) & (disc == 0.05), _null("bigint")).otherwise(_line_key()).alias("booking_id"),
-        F.when((ln == 4) & (disc == 0), -price).otherwise(price).alias("amount"),
-        method.alias("payment_method"),
-        F.when(F.col("l_returnflag") == "R", F.lit(" refunded")).otherwise(F.lit("Success ")).alias("payment_status"),
-        F.col("l_shipdate").alias("payment_time"),
-        F.col("l_shipdate").alias("updated_at"),
-    )
-    return _conform(rows, "payments")
-
-
-def _email(key: Column) -> Column:
-    text = _str(key)
-    return F.when(key % 97 == 0, F.concat(F.lit("user"), text, F.lit(".example.com"))).otherwise(
-        F.concat(F.lit("user"), text, F.lit("@example.com"))
-    )
-
-
-def _phone(key: Column) -> Column:
-    return F.when(key % 89 == 0, _str(key % 100)).otherwise(
-        F.concat(F.lit("+91"), F.lpad(_str(key), 10, "0"))
-    )
-
-
-def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    key = F.col("c_custkey")
-
-    def customer_rows(frame: DataFrame, user_id: Column, city: Column, updated: Column) -> DataFrame:
-        return frame.select(
-            user_id.alias("user_id"),
-            F.col("c_name").alias("name"),
-            _email(key).alias("email"),
-            _phone(key).alias("phone"),
-            city.alias("city"),
-            F.timestamp_add("DAY", key % 365, _ts("2023-01-01 00:00:00")).alias("signup_date"),
-            updated.alias("updated_at"),
-        )
-
-    city = F.concat(F.lit("City-"), _str(F.col("c_nationkey")))
-    moved = F.concat(F.lit("City-"), _str((F.col("c_nationkey") + 1) % 25))
-    first = customer_rows(cust, key, city, _ts(BASE_TS))
-    newer = customer_rows(cust.filter(key % 10 == 0), key, moved, _ts("2024-01-02 00:00:00"))
-    no_key = customer_rows(cust.filter(key == 1), _null("bigint"), city, _ts("2024-01-03 00:00:00"))
-
-    nkey = F.col("n_nationkey").cast("bigint") + 900000
-    never_booked = _read(spark, sf_dir, "nation").select(
-        nkey.alias("user_id"),
-        F.col("n_name").alias("name"),
-        _email(nkey).alias("email"),
-        _phone(nkey).alias("phone"),
-        F.col("n_name").alias("city"),
-        _ts("2023-01-01 00:00:00").alias("signup_date"),
-        _ts(BASE_TS).alias("updated_at"),
-    )
-    return _conform(first.unionByName(newer).unionByName(no_key).unionByName(never_booked), "users")
-
-
-def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    key = F.col("s_suppkey")
-
-    def venue_rows(frame: DataFrame, venue_id: Column, name: Column, updated: Column) -> DataFrame:
-        return frame.select(
-            venue_id.alias("venue_id"),
-            name.alias("venue_name"),
-            F.concat(F.lit("City-"), _str(F.col("s_nationkey"))).alias("city"),
-            F.concat(F.lit("State-"), _str(F.col("s_nationkey") % 5)).alias("state"),
-            (F.lit(120) + (key % 4) * 60).alias("capacity"),
-            updated.alias("updated_at"),
-        )
-
-    first = venue_rows(sup, key, F.col("s_name"), _ts(BASE_TS))
-    renamed = venue_rows(
-        sup.filter(key % 10 == 0), key, F.concat(F.col("s_name"), F.lit(" (renovated)")), _ts("2024-01-02 00:00:00")
-    )
-    no_key = venue_rows(sup.filter(key == 1), _null("bigint"), F.col("s_name"), _ts("2024-01-03 00:00:00"))
-    return _conform(first.unionByName(renamed).unionByName(no_key), "venues")
-
-
-def shows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _read(spark, sf_dir, "part").filter(F.col("p_partkey") % 50 != 7)
-    key = F.col("p_partkey")
-
-    def show_rows(frame: DataFrame, show_id: Column, price: Column, updated: Column) -> DataFrame:
-        return frame.select(
-            show_id.alias("show_id"),
-            F.col("p_brand").alias("movie_id"),
-            (key % 110).alias("venue_id"),
-            (F.col("p_size") % 10 + 1).alias("screen_no"),
-            F.timestamp_add("HOUR", key % 720, _ts("2024-02-01 10:00:00")).alias("show_time"),
-            price.alias("base_price"),
-            updated.alias("updated_at"),
-        )
-
-    first = show_rows(part, key, F.col("p_retailprice"), _ts(BASE_TS))
-    repriced = show_rows(part.filter(key % 10 == 0), key, F.col("p_retailprice") + 10.0, _ts("2024-01-02 00:00:00"))
-    no_key = show_rows(part.filter(key == 1), _null("bigint"), F.col("p_retailprice"), _ts("2024-01-03 00:00:00"))
-    return _conform(first.unionByName(repriced).unionByName(no_key), "shows")
-
-
-def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _read(spark, sf_dir, "part")
-    key = F.col("p_partkey")
-    language = (
-        F.when(key % 4 == 0, F.lit("EN")).when(key % 4 == 1, F.lit("HI")).when(key % 4 == 2, F.lit("TA")).otherwise(F.lit("TE"))
-    )
-    rows = part.select(
-        F.col("p_brand").alias("movie_id"),
-        F.col("p_name").alias("title"),
-        F.col("p_type").alias("genre"),
-        language.alias("language"),
-        (F.col("p_size") + 90).alias("duration_min"),
-        F.timestamp_add("DAY", -F.col("p_size"), _ts("2023-06-01 00:00:00")).alias("release_date"),
-        F.timestamp_add("MINUTE", key, _ts(BASE_TS)).alias("updated_at"),
-    )
-    return _conform(rows, "movies")
-
-
-def seat_holds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    kind = F.col("event_type")
-    status = (
-        F.when(kind == "view", F.lit("HELD"))
-        .when(kind == "purchase", F.lit("BOOKED"))
-        .when(kind == "click", F.lit("RELEASED"))
-        .when(kind == "signup", F.lit("EXPIRED"))
-        .when((kind == "error") & (F.col("event_id") % 2 == 0), F.lit("UNKNOWN"))
-    )
-    rows = ev.select(
-        F.col("event_id").alias("hold_id"),
-        F.col("user_id").alias("show_id"),
-        F.get_json_object("props", "$.k").alias("seat_no"),
-        (F.col("event_id") % 1000).alias("user_id"),
-        status.alias("hold_status"),
-        F.col("ts").alias("held_at"),
-        F.col("ts").alias("updated_at"),
-    )
-    return _conform(rows, "seat_holds")
-
-
-def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    key = F.col("s_suppkey")
-    kind = F.when(key % 5 == 0, F.lit("MYSTERY")).when(key % 5 <= 2, F.lit("FLAT")).otherwise(F.lit("PERCENT"))
-    status = (
-        F.when(key % 7 == 0, _null("string"))
-        .when(key % 7 == 1, F.lit("DISABLED"))
-        .when(key % 7 == 2, F.lit("EXPIRED"))
-        .otherwise(F.lit("ACTIVE"))
-    )
-    rows = sup.select(
-        F.col("s_nationkey").alias("promotion_id"),
-        F.col("s_name").alias("code"),
-        kind.alias("discount_type"),
-        F.col("s_acctbal").alias("discount_value"),
-        F.timestamp_add("DAY", key % 30, _ts(BASE_TS)).alias("valid_from"),
-        F.timestamp_add("DAY", key % 30 + 60, _ts(BASE_TS)).alias("valid_to"),
-        status.alias("status"),
-        F.timestamp_add("MINUTE", key, _ts(BASE_TS)).alias("updated_at"),
-    )
-    return _conform(rows, "promotions")
-
-
-def promotion_redemptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").filter(F.col("l_discount") > 0)
-    ln, disc, price = F.col("l_linenumber"), F.col("l_discount"), F.col("l_extendedprice")
-    share = (price.cast("decimal(18,2)") * disc.cast("decimal(4,2)")).cast("decimal(18,2)").cast("double")
-    discount = F.when(disc == 0.1, price * 2).when(disc == 0.09, F.lit(-1.0)).otherwise(share)
-    rows = li.select(
-        _line_key().alias("redemption_id"),
-        F.when((ln == 5) & (disc == 0.03), _null("bigint")).otherwise(F.col("l_suppkey") % 25).alias("promotion_id"),
-        _line_key().alias("booking_id"),
-        discount.alias("discount_amount"),
-        F.col("l_shipdate").alias("redeemed_at"),
-        F.col("l_shipdate").alias("updated_at"),
-    )
-    return _conform(rows, "promotion_redemptions")
+class Sources:
+    """The test tables of one folder. Each is opened once (file listing and
+    footer read happen on the driver), however many entities derive from it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
+
+    def __call__(self, table: str) -> DataFrame:
+        if table not in self._frames:
+            self._frames[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._frames[table]
+
+
+def _ts(value: str) -> str:
+    return f"TIMESTAMP_NTZ '{value}'"
+
+
+def _project(df: DataFrame, entity: str, exprs: dict[str, str]) -> DataFrame:
+    """One projection: every contract field from its SQL expression, cast to
+    the contract type."""
+    fields = C.CONTRACTS[entity].fields
+    return df.selectExpr(*[f"CAST({exprs[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields])
+
+
+def _union(*frames: DataFrame) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+LINE_KEY = "l_orderkey * 10 + l_linenumber"
+
+
+def bookings(src: Sources) -> DataFrame:
+    rows = src("lineitem").join(src("orders"), src("lineitem").l_orderkey == src("orders").o_orderkey)
+    return _project(rows, "bookings", {
+        "booking_id": LINE_KEY,
+        "user_id": "CASE WHEN l_linenumber = 2 AND l_returnflag = 'A' AND l_discount = 0 THEN NULL ELSE o_custkey END",
+        "show_id": "l_partkey",
+        "num_seats": "l_quantity",
+        "total_amount": "CASE WHEN l_linenumber = 1 AND l_discount = 0 THEN -l_extendedprice ELSE l_extendedprice END",
+        "booking_status": """CASE WHEN l_linenumber = 7 AND l_returnflag = 'N' THEN 'UNKNOWN'
+            WHEN l_linenumber = 6 AND l_discount = 0.1 THEN NULL
+            WHEN l_returnflag = 'A' THEN 'CONFIRMED'
+            WHEN l_returnflag = 'R' THEN 'CANCELLED'
+            WHEN l_returnflag = 'N' THEN 'PENDING' END""",
+        "booking_time": "o_orderdate",
+        "updated_at": "l_shipdate",
+        "is_deleted": "CASE WHEN l_tax = 0.08 THEN NULL ELSE l_tax = 0 END",
+    })
+
+
+def payments(src: Sources) -> DataFrame:
+    return _project(src("lineitem").filter("l_linestatus = 'F'"), "payments", {
+        "payment_id": LINE_KEY,
+        "booking_id": f"CASE WHEN l_linenumber = 3 AND l_discount = 0.05 THEN NULL ELSE {LINE_KEY} END",
+        "amount": "CASE WHEN l_linenumber = 4 AND l_discount = 0 THEN -l_extendedprice ELSE l_extendedprice END",
+        "payment_method": "CASE l_linenumber % 3 WHEN 0 THEN 'CARD' WHEN 1 THEN 'UPI' ELSE 'WALLET' END",
+        "payment_status": "CASE WHEN l_returnflag = 'R' THEN ' refunded' ELSE 'Success ' END",
+        "payment_time": "l_shipdate",
+        "updated_at": "l_shipdate",
+    })
+
+
+def _email(key: str) -> str:
+    return (f"CASE WHEN {key} % 97 = 0 THEN concat('user', CAST({key} AS STRING), '.example.com') "
+            f"ELSE concat('user', CAST({key} AS STRING), '@example.com') END")
+
+
+def _phone(key: str) -> str:
+    return (f"CASE WHEN {key} % 89 = 0 THEN CAST({key} % 100 AS STRING) "
+            f"ELSE concat('+91', lpad(CAST({key} AS STRING), 10, '0')) END")
+
+
+def users(src: Sources) -> DataFrame:
+    cust = src("customer")
+
+    def customer_rows(where: str, user_id: str, city: str, updated: str) -> DataFrame:
+        return _project(cust.filter(where), "users", {
+            "user_id": user_id,
+            "name": "c_name",
+            "email": _email("c_custkey"),
+            "phone": _phone("c_custkey"),
+            "city": city,
+            "signup_date": f"timestampadd(DAY, c_custkey % 365, {_ts('2023-01-01 00:00:00')})",
+            "updated_at": _ts(updated),
+        })
+
+    city = "concat('City-', CAST(c_nationkey AS STRING))"
+    key = "(CAST(n_nationkey AS BIGINT) + 900000)"
+    never_booked = _project(src("nation"), "users", {
+        "user_id": key,
+        "name": "n_name",
+        "email": _email(key),
+        "phone": _phone(key),
+        "city": "n_name",
+        "signup_date": _ts("2023-01-01 00:00:00"),
+        "updated_at": _ts(BASE_TS),
+    })
+    return _union(
+        customer_rows("true", "c_custkey", city, BASE_TS),
+        customer_rows("c_custkey % 10 = 0", "c_custkey",
+                      "concat('City-', CAST((c_nationkey + 1) % 25 AS STRING))", "2024-01-02 00:00:00"),
+        customer_rows("c_custkey = 1", "NULL", city, "2024-01-03 00:00:00"),
+        never_booked,
+    )
+
+
+def venues(src: Sources) -> DataFrame:
+    sup = src("supplier")
+
+    def venue_rows(where: str, venue_id: str, name: str, updated: str) -> DataFrame:
+        return _project(sup.filter(where), "venues", {
+            "venue_id": venue_id,
+            "venue_name": name,
+            "city": "concat('City-', CAST(s_nationkey AS STRING))",
+            "state": "concat('State-', CAST(s_nationkey % 5 AS STRING))",
+            "capacity": "120 + (s_suppkey % 4) * 60",
+            "updated_at": _ts(updated),
+        })
+
+    return _union(
+        venue_rows("true", "s_suppkey", "s_name", BASE_TS),
+        venue_rows("s_suppkey % 10 = 0", "s_suppkey", "concat(s_name, ' (renovated)')", "2024-01-02 00:00:00"),
+        venue_rows("s_suppkey = 1", "NULL", "s_name", "2024-01-03 00:00:00"),
+    )
+
+
+def shows(src: Sources) -> DataFrame:
+    part = src("part").filter("p_partkey % 50 <> 7")
+
+    def show_rows(where: str, show_id: str, price: str, updated: str) -> DataFrame:
+        return _project(part.filter(where), "shows", {
+            "show_id": show_id,
+            "movie_id": "p_brand",
+            "venue_id": "p_partkey % 110",
+            "screen_no": "p_size % 10 + 1",
+            "show_time": f"timestampadd(HOUR, p_partkey % 720, {_ts('2024-02-01 10:00:00')})",
+            "base_price": price,
+            "updated_at": _ts(updated),
+        })
+
+    return _union(
+        show_rows("true", "p_partkey", "p_retailprice", BASE_TS),
+        show_rows("p_partkey % 10 = 0", "p_partkey", "p_retailprice + 10.0D", "2024-01-02 00:00:00"),
+        show_rows("p_partkey = 1", "NULL", "p_retailprice", "2024-01-03 00:00:00"),
+    )
+
+
+def movies(src: Sources) -> DataFrame:
+    return _project(src("part"), "movies", {
+        "movie_id": "p_brand",
+        "title": "p_name",
+        "genre": "p_type",
+        "language": "CASE p_partkey % 4 WHEN 0 THEN 'EN' WHEN 1 THEN 'HI' WHEN 2 THEN 'TA' ELSE 'TE' END",
+        "duration_min": "p_size + 90",
+        "release_date": f"timestampadd(DAY, -p_size, {_ts('2023-06-01 00:00:00')})",
+        "updated_at": f"timestampadd(MINUTE, p_partkey, {_ts(BASE_TS)})",
+    })
+
+
+def seat_holds(src: Sources) -> DataFrame:
+    return _project(src("events"), "seat_holds", {
+        "hold_id": "event_id",
+        "show_id": "user_id",
+        "seat_no": "get_json_object(props, '$.k')",
+        "user_id": "event_id % 1000",
+        "hold_status": """CASE event_type WHEN 'view' THEN 'HELD' WHEN 'purchase' THEN 'BOOKED'
+            WHEN 'click' THEN 'RELEASED' WHEN 'signup' THEN 'EXPIRED'
+            WHEN 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'UNKNOWN' END END""",
+        "held_at": "ts",
+        "updated_at": "ts",
+    })
+
+
+def promotions(src: Sources) -> DataFrame:
+    return _project(src("supplier"), "promotions", {
+        "promotion_id": "s_nationkey",
+        "code": "s_name",
+        "discount_type": "CASE WHEN s_suppkey % 5 = 0 THEN 'MYSTERY' WHEN s_suppkey % 5 <= 2 THEN 'FLAT' ELSE 'PERCENT' END",
+        "discount_value": "s_acctbal",
+        "valid_from": f"timestampadd(DAY, s_suppkey % 30, {_ts(BASE_TS)})",
+        "valid_to": f"timestampadd(DAY, s_suppkey % 30 + 60, {_ts(BASE_TS)})",
+        "status": """CASE s_suppkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'DISABLED' WHEN 2 THEN 'EXPIRED'
+            ELSE 'ACTIVE' END""",
+        "updated_at": f"timestampadd(MINUTE, s_suppkey, {_ts(BASE_TS)})",
+    })
+
+
+def promotion_redemptions(src: Sources) -> DataFrame:
+    share = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2))"
+    return _project(src("lineitem").filter("l_discount > 0"), "promotion_redemptions", {
+        "redemption_id": LINE_KEY,
+        "promotion_id": "CASE WHEN l_linenumber = 5 AND l_discount = 0.03 THEN NULL ELSE l_suppkey % 25 END",
+        "booking_id": LINE_KEY,
+        "discount_amount": f"""CASE WHEN l_discount = 0.1 THEN l_extendedprice * 2
+            WHEN l_discount = 0.09 THEN -1.0D ELSE CAST({share} AS DOUBLE) END""",
+        "redeemed_at": "l_shipdate",
+        "updated_at": "l_shipdate",
+    })
 
 
 ENTITIES = {
@@ -270,16 +237,18 @@ ENTITIES = {
 }
 
 
-def landed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return ENTITIES[entity](spark, sf_dir)
+def landed(spark: SparkSession, sf_dir: str, entity: str, src: Sources | None = None) -> DataFrame:
+    return ENTITIES[entity](src or Sources(spark, sf_dir))
 
 
 def venues_next_snapshot(silver_venues: DataFrame) -> DataFrame:
     """Second full venue snapshot for the SCD2 merge: some venues gone,
     some with +60 capacity, some new ids."""
-    key = F.col("venue_id")
-    kept = silver_venues.filter(key % 17 != 3).withColumn(
-        "capacity", F.when(key % 10 == 0, F.col("capacity") + 60).otherwise(F.col("capacity"))
-    )
-    added = silver_venues.filter(key % 25 == 0).withColumn("venue_id", key + 100000)
+    kept = silver_venues.filter("venue_id % 17 <> 3").selectExpr(*[
+        "CASE WHEN venue_id % 10 = 0 THEN capacity + 60 ELSE capacity END AS capacity" if c == "capacity" else c
+        for c in silver_venues.columns
+    ])
+    added = silver_venues.filter("venue_id % 25 = 0").selectExpr(*[
+        "venue_id + 100000 AS venue_id" if c == "venue_id" else c for c in silver_venues.columns
+    ])
     return kept.unionByName(added)
