@@ -7,7 +7,9 @@ every table, and lineage stays one layer deep.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from marquee.sources.snapshots import SnapshotStore
 DIM_PARTITIONS = {"is_current": "boolean"}
 
 # independent tables of one layer are built as concurrent Spark jobs
-PARALLEL_TABLES = 4
+PARALLEL_TABLES = 8
 
 
 def next_dim_version(
@@ -99,8 +101,12 @@ class _LayerWriter:
         self.valid_rows: dict[str, int] = {}
 
     def stage(
-        self, frames: dict[str, DataFrame], partitions: dict[str, dict[str, str]] | None = None
+        self,
+        frames: dict[str, Callable[[], DataFrame]],
+        partitions: dict[str, dict[str, str]] | None = None,
     ) -> dict[str, DataFrame]:
+        """``frames`` maps each table to a function building its plan; plans are
+        built in the worker threads, so building one overlaps running another."""
         partitions = partitions or {}
 
         def one(name: str) -> tuple[str, int, int, int | None]:
@@ -109,7 +115,7 @@ class _LayerWriter:
             if VALID_FLAG in parts:
                 metrics.append(F.count_if(F.col(VALID_FLAG)).alias("valid"))
             obs = Observation(name)
-            version = self.store.stage(frames[name].observe(obs, *metrics), name, list(parts))
+            version = self.store.stage(frames[name]().observe(obs, *metrics), name, list(parts))
             got = obs.get
             return name, version, got["rows"], got.get("valid")
 
@@ -149,13 +155,14 @@ def run_layers(
     report: dict[str, tuple[str, int, int]] = {}
 
     landed = Tables(spark, sf_dir, ingested_at=ingested_at)
-    bronze = writer.stage({f"bronze_{e}": landed.bronze(e) for e in ENTITIES})
+    bronze = writer.stage({f"bronze_{e}": partial(landed.bronze, e) for e in ENTITIES})
     versions.update(writer.commit())
 
     layer = Tables(spark, bronze_frames={e: bronze[f"bronze_{e}"] for e in ENTITIES})
     gated_names = {n for pair in GATED.values() for n in pair}
-    frames = {n: getattr(layer, n) for lay, n in LAYER_TABLES if lay == "silver" and n not in gated_names}
-    frames.update({checked: checked_table(getattr(layer, v), getattr(layer, q)) for checked, (v, q) in GATED.items()})
+    frames = {n: partial(getattr, layer, n) for lay, n in LAYER_TABLES if lay == "silver" and n not in gated_names}
+    frames.update({checked: partial(lambda v, q: checked_table(getattr(layer, v), getattr(layer, q)), v, q)
+                   for checked, (v, q) in GATED.items()})
     written = writer.stage(frames, partitions={checked: CHECKED_PARTITIONS for checked in GATED})
     silver = {n: written[n] for n in frames if n not in GATED}
     for checked, (valid_name, quarantine_name) in GATED.items():
@@ -165,7 +172,7 @@ def run_layers(
     versions.update(writer.commit())
 
     dims = writer.stage(
-        {name: next_dim_version(store, name, silver[f"silver_{entity}"], key, tracked, DIM_AS_OF)
+        {name: partial(next_dim_version, store, name, silver[f"silver_{entity}"], key, tracked, DIM_AS_OF)
          for name, (entity, key, tracked) in DIMENSIONS.items()},
         partitions={name: DIM_PARTITIONS for name in DIMENSIONS},
     )
@@ -173,7 +180,7 @@ def run_layers(
     for wave in (("fact_bookings", "fact_seat_occupancy"),
                  ("fact_payments", "gold_daily_revenue", "fact_promotion_redemptions", "gold_user_booking_summary"),
                  ("gold_promotion_performance",)):
-        gold.__dict__.update(writer.stage({name: getattr(gold, name) for name in wave}))
+        gold.__dict__.update(writer.stage({name: partial(getattr, gold, name) for name in wave}))
     versions.update(writer.commit())
 
     for name, version in versions.items():
