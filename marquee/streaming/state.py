@@ -4,7 +4,7 @@ Window dedup is not allowed on a streaming frame, so each micro-batch is
 merged into a state table by hand:
 
 1. the batch's valid rows are reduced to the newest row per key (a hot key
-   is collapsed map-side by the partial window limit);
+   is collapsed map-side by the partial aggregation);
 2. keys are hashed into a fixed number of buckets; only the buckets the
    batch touches are read from the state (partition pruning);
 3. state rows and batch rows of those buckets (at most two rows per key) are
