@@ -104,10 +104,12 @@ class _LayerWriter:
         self,
         frames: dict[str, Callable[[], DataFrame]],
         partitions: dict[str, dict[str, str]] | None = None,
+        buckets: dict[str, tuple[int, list[str]]] | None = None,
     ) -> dict[str, DataFrame]:
         """``frames`` maps each table to a function building its plan; plans are
         built in the worker threads, so building one overlaps running another."""
         partitions = partitions or {}
+        buckets = buckets or {}
 
         def one(name: str) -> tuple[str, int, int, int | None]:
             parts = partitions.get(name, {})
@@ -115,7 +117,8 @@ class _LayerWriter:
             if VALID_FLAG in parts:
                 metrics.append(F.count_if(F.col(VALID_FLAG)).alias("valid"))
             obs = Observation(name)
-            version = self.store.stage(frames[name]().observe(obs, *metrics), name, list(parts))
+            version = self.store.stage(frames[name]().observe(obs, *metrics), name, list(parts),
+                                       bucket_by=buckets.get(name))
             got = obs.get
             return name, version, got["rows"], got.get("valid")
 
@@ -177,10 +180,13 @@ def run_layers(
         partitions={name: DIM_PARTITIONS for name in DIMENSIONS},
     )
     gold = Tables(spark, prebuilt={**silver, **dims})
+    # fact_bookings is joined on booking_id by the payment and redemption facts:
+    # bucketing it once spares both joins a shuffle of the largest fact
+    fact_buckets = {"fact_bookings": (int(spark.conf.get("spark.sql.shuffle.partitions")), ["booking_id"])}
     for wave in (("fact_bookings", "fact_seat_occupancy"),
                  ("fact_payments", "gold_daily_revenue", "fact_promotion_redemptions", "gold_user_booking_summary"),
                  ("gold_promotion_performance",)):
-        gold.__dict__.update(writer.stage({name: partial(getattr, gold, name) for name in wave}))
+        gold.__dict__.update(writer.stage({name: partial(getattr, gold, name) for name in wave}, buckets=fact_buckets))
     versions.update(writer.commit())
 
     for name, version in versions.items():

@@ -12,7 +12,10 @@ contract, in the contract's column order.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee import contracts as C
 
@@ -27,11 +30,13 @@ class Sources:
         self.spark = spark
         self.sf_dir = sf_dir
         self._frames: dict[str, DataFrame] = {}
+        self._lock = threading.Lock()  # plans may be built from several threads
 
     def __call__(self, table: str) -> DataFrame:
-        if table not in self._frames:
-            self._frames[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
-        return self._frames[table]
+        with self._lock:
+            if table not in self._frames:
+                self._frames[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+            return self._frames[table]
 
 
 def _ts(value: str) -> str:
@@ -56,7 +61,7 @@ LINE_KEY = "l_orderkey * 10 + l_linenumber"
 
 
 def bookings(src: Sources) -> DataFrame:
-    rows = src("lineitem").join(src("orders"), src("lineitem").l_orderkey == src("orders").o_orderkey)
+    rows = src("lineitem").join(src("orders"), F.expr("l_orderkey = o_orderkey"))
     return _project(rows, "bookings", {
         "booking_id": LINE_KEY,
         "user_id": "CASE WHEN l_linenumber = 2 AND l_returnflag = 'A' AND l_discount = 0 THEN NULL ELSE o_custkey END",
