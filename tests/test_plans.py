@@ -61,14 +61,14 @@ def test_bucketed_fact_spares_the_join_a_shuffle(spark, tables, capsys):
     fact = store.read("fact_bookings", store.stage(tables.fact_bookings, "fact_bookings", bucket_by=(8, ["booking_id"])))
     pays = store.read("silver_payments", store.stage(tables.silver_payments, "silver_payments"))
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    saved = {k: spark.conf.get(k) for k in keys}
+    saved = {k: spark.conf.get(k, None) for k in keys}
     try:
         for k in keys:
             spark.conf.set(k, "-1")  # as when the fact is too large to broadcast
         plan = _plan(facts.fact_payments(pays, fact), capsys)
     finally:
         for k, v in saved.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "Bucketed: true" in plan
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1  # the payments side only
     assert fact.count() == tables.fact_bookings.count()
