@@ -139,7 +139,11 @@ class _LayerWriter:
 
 
 def run_layers(
-    spark: SparkSession, sf_dir: str, root: str | None = None, ingested_at: str | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    root: str | None = None,
+    ingested_at: str | None = None,
+    as_of: str = DIM_AS_OF,
 ) -> dict[str, tuple[str, int, int]]:
     """Full bronze -> silver -> gold build into a snapshot store.
 
@@ -149,7 +153,8 @@ def run_layers(
     concurrently and published by one commit; a gated domain's valid and
     quarantined rows are one table partitioned by ``_dq_valid``. Dimensions
     bootstrap on the first run and SCD2-merge on later runs against the same
-    ``root``. Returns ``{table: (layer, version, rows)}``.
+    ``root``; ``as_of`` is the run's change time (pass a later one per run).
+    Returns ``{table: (layer, version, rows)}``.
     """
     store = SnapshotStore(spark, root) if root else SnapshotStore(spark, run_folder(spark, "lakehouse"), fresh=True)
     layers = {name: layer for layer, name in LAYER_TABLES}
@@ -175,7 +180,7 @@ def run_layers(
     versions.update(writer.commit())
 
     dims = writer.stage(
-        {name: partial(next_dim_version, store, name, silver[f"silver_{entity}"], key, tracked, DIM_AS_OF)
+        {name: partial(next_dim_version, store, name, silver[f"silver_{entity}"], key, tracked, as_of)
          for name, (entity, key, tracked) in DIMENSIONS.items()},
         partitions={name: DIM_PARTITIONS for name in DIMENSIONS},
     )

@@ -114,7 +114,7 @@ def test_second_run_without_new_data_changes_no_dimension(spark):
 
     root = run_folder(spark, "test-two-runs")
     first = run_layers(spark, SF, root)
-    second = run_layers(spark, SF, root)
+    second = run_layers(spark, SF, root, as_of="2024-07-01 00:00:00")
     assert first == {k: (layer, v - 1, n) for k, (layer, v, n) in second.items()}  # same rows, next version
     store = SnapshotStore(spark, root)
     for dim in ("dim_venue", "dim_show", "dim_user"):
