@@ -13,7 +13,8 @@ merged into a state table by hand:
 4. the touched buckets are rewritten with dynamic partition overwrite.
 
 The cost of a batch follows the batch, not the size of the state. Size
-``buckets`` so that one bucket of the state is a few hundred MB.
+``buckets`` so that one bucket of the state is a few hundred MB; the default
+follows the session's shuffle partition count.
 
 Re-running a batch (after a failure) gives the same state: the newest row
 per key of (state + batch) does not change when the batch is already in it.
@@ -43,15 +44,18 @@ class LatestStateSink:
         keys: Sequence[str],
         order_cols: Sequence[str],
         rules: Sequence[Rule],
-        buckets: int = 64,
+        buckets: int | None = None,
     ) -> None:
+        """``buckets`` defaults to ``spark.sql.shuffle.partitions``: the state is
+        partitioned like any other shuffle of the session (see
+        ``session.scale_conf``)."""
         self.spark = spark
         self.state_dir = state_dir
         self.quarantine_dir = quarantine_dir
         self.keys = list(keys)
         self.order_cols = list(order_cols)
         self.rules = list(rules)
-        self.buckets = buckets
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def _bucket(self):
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
