@@ -1,2 +1,2 @@
-"""Table builders (silver, facts, marts), the table catalog, the pipeline
+"""Table builders (silver, facts, marts), the table catalog, the layered
 runs and the registered queries with their SQL oracles."""

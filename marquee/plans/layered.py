@@ -1,4 +1,4 @@
-"""Pipeline runs: the incremental SCD2 upsert and a full layered build.
+"""Layered runs: the incremental SCD2 upsert and a full bronze -> silver -> gold build.
 
 Each layer is written as a snapshot and the next layer is built from what
 was read back, so a run never re-derives bronze from the landing files for

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.operators.quality import expectation_metrics
-from marquee.plans import marts, pipeline, silver
+from marquee.plans import layered, marts, silver
 from marquee.plans.catalog import INGESTED_AT, Tables
 from marquee.plans.views import create_user_view, user_view
 from marquee.session import run_folder
@@ -64,7 +64,7 @@ def scd2_merge_venue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_venue_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.venue_history(pipeline.incremental_dim_venue(spark, sf_dir))
+    return marts.venue_history(layered.incremental_dim_venue(spark, sf_dir))
 
 
 def _top(report: Callable[[DataFrame], DataFrame], table: str) -> Query:
@@ -95,9 +95,9 @@ QUERIES: dict[str, Query] = {
         "gold_daily_revenue", "gold_promotion_performance", "gold_user_booking_summary",
     )},
     "expectation_report": expectation_report,
-    "layer_row_counts": pipeline.layer_row_counts,
+    "layer_row_counts": layered.layer_row_counts,
     "scd2_merge_venue": scd2_merge_venue,
-    "incremental_dim_venue": pipeline.incremental_dim_venue,
+    "incremental_dim_venue": layered.incremental_dim_venue,
     "dim_venue_history": dim_venue_history,
     "top_shows_by_occupancy": _top(marts.top_shows_by_occupancy, "fact_seat_occupancy"),
     "top_promotions": _top(marts.top_promotions, "gold_promotion_performance"),

@@ -1,7 +1,7 @@
 """Session defaults and the shared scratch location.
 
 Nothing here is required by the operators: they only take DataFrames. The
-builder is what tests, the bench and the pipeline script use.
+builder is what tests, the bench and the scripts use.
 """
 
 from __future__ import annotations

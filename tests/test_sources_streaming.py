@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows, ts
 from marquee.plans.catalog import INGESTED_AT, Tables
-from marquee.plans.pipeline import incremental_dim_venue, upsert_scd2_dim
+from marquee.plans.layered import incremental_dim_venue, upsert_scd2_dim
 from marquee.session import run_folder
 from marquee.sources.landing import CORRUPT, read_json, write_json
 from marquee.sources.snapshots import SnapshotStore
@@ -110,7 +110,7 @@ def test_state_sink_batch_replay_is_idempotent(spark):
 
 
 def test_second_run_without_new_data_changes_no_dimension(spark):
-    from marquee.plans.pipeline import DIM_PARTITIONS, run_layers
+    from marquee.plans.layered import DIM_PARTITIONS, run_layers
 
     root = run_folder(spark, "test-two-runs")
     first = run_layers(spark, SF, root)
