@@ -72,3 +72,14 @@ def test_bucketed_fact_spares_the_join_a_shuffle(spark, tables, capsys):
     assert "Bucketed: true" in plan
     assert len(re.findall(r"^\(\d+\) Exchange$", plan, flags=re.M)) == 1  # the payments side only
     assert fact.count() == tables.fact_bookings.count()
+
+
+def test_gated_table_reuses_the_dedup_exchange(tables, capsys):
+    from marquee.plans.layered import checked_table
+
+    both = checked_table(tables.silver_bookings, tables.quarantine_bookings)
+    both.collect()  # the final adaptive plan shows which exchanges were reused
+    both.explain()
+    plan = capsys.readouterr().out
+    assert "isFinalPlan=true" in plan
+    assert "ReusedExchange" in plan
