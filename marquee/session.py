@@ -16,9 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # splits a hot key's partition on the fact side of a sort-merge left join
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # a left-outer fact->dim join may split a hot key on the fact side
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
