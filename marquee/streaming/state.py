@@ -14,7 +14,7 @@ merged into a state table by hand:
 
 The cost of a batch follows the batch, not the size of the state. Size
 ``buckets`` so that one bucket of the state is a few hundred MB; the default
-follows the session's shuffle partition count.
+is one bucket per core.
 
 Re-running a batch (after a failure) gives the same state: the newest row
 per key of (state + batch) does not change when the batch is already in it.
@@ -46,16 +46,18 @@ class LatestStateSink:
         rules: Sequence[Rule],
         buckets: int | None = None,
     ) -> None:
-        """``buckets`` defaults to ``spark.sql.shuffle.partitions``: the state is
-        partitioned like any other shuffle of the session (see
-        ``session.scale_conf``)."""
+        """``buckets`` defaults to the cluster's core count: one bucket per core,
+        so a batch that touches every bucket rewrites them with full
+        parallelism. The state holds one row per key, far less than the
+        session's largest shuffle, so the shuffle partition count would be too
+        fine a split for it."""
         self.spark = spark
         self.state_dir = state_dir
         self.quarantine_dir = quarantine_dir
         self.keys = list(keys)
         self.order_cols = list(order_cols)
         self.rules = list(rules)
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or spark.sparkContext.defaultParallelism
 
     def _bucket(self):
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
