@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import mixing
+from marquee.llm import mixing, packing, token_files
 from marquee.llm.common import read
+from marquee.session import run_folder
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = run_folder(spark, "token-files")
+    token_files.write_token_files(read(spark, sf_dir, "documents"), folder)
+    rows = token_files.read_token_files(spark, folder)
+    return rows.selectExpr("key as doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +28,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
+    "op6_token_files": op6_token_files,
     "op9_mixing": op9_mixing,
 }
 
