@@ -10,7 +10,8 @@ of a text. Three measures tell how natural a text is to it:
   bits that the number of tokens allows: loops of a few words are low.
 
 The bands are not set by hand. For every language (or, where a row names none,
-every script) the measures' median and spread over all documents give the
+every script) and length class (powers of two of the token count, as entropy
+depends on length) the measures' median and spread over all documents give the
 limits; a document outside its group's band is rejected. A measure's spread is
 its median absolute deviation, so the junk in a group does not widen the band.
 
@@ -40,9 +41,9 @@ MIN_GROUP = 30
 #: allowed distance from the median, in median absolute deviations (below,
 #: above), and the least distance, so that a uniform group keeps a band
 BANDS: dict[str, tuple[float | None, float | None, float]] = {
-    "chars_per_token": (6.0, 8.0, 0.15),
-    "byte_share": (None, 8.0, 0.02),
-    "entropy_ratio": (8.0, None, 0.06),
+    "chars_per_token": (7.0, 10.0, 0.15),
+    "byte_share": (None, 10.0, 0.02),
+    "entropy_ratio": (4.5, None, 0.06),
 }
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -156,19 +157,23 @@ def base_failed() -> Column:
     return F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
 
 
+#: the groups that a document's measures count for, narrowest first
+_LEVELS = ("concat(language, '|', octave)", "concat('*|', octave)", "'*'")
+
+
 def bands(measured: DataFrame) -> DataFrame:
-    """Limits (group, <measure>_low, <measure>_high) from all documents that
-    pass the base rule; group NULL is for small groups."""
-    usable = measured.where(~base_failed() & F.col("n_tokens").isNotNull() & (F.col("n_tokens") > 0))
+    """Limits (level, <measure>_low, <measure>_high) from all documents that
+    pass the base rule, for every group of at least ``MIN_GROUP``."""
     names = list(BANDS)
-    # each document counts for its group and for the whole
-    spread = usable.select(F.explode(F.array("group", F.lit(None).cast("string"))).alias("group"), *names)
-    centre = spread.groupBy("group").agg(
+    spread = measured.where(~base_failed() & (F.col("n_tokens") > 0)).selectExpr(
+        f"explode(array({', '.join(_LEVELS)})) as level", *names
+    )
+    centre = spread.groupBy("level").agg(
         F.count("*").alias("n"), *[F.percentile_approx(m, 0.5, 1000).alias(f"{m}_mid") for m in names]
     )
     deviation = (
-        spread.alias("a").join(centre.alias("b"), F.col("a.group").eqNullSafe(F.col("b.group")))
-        .groupBy(F.col("b.group").alias("group"))
+        spread.join(centre, "level")
+        .groupBy("level")
         .agg(
             F.first("n").alias("n"),
             *[F.first(f"{m}_mid").alias(f"{m}_mid") for m in names],
@@ -181,27 +186,35 @@ def bands(measured: DataFrame) -> DataFrame:
             edge = F.lit(sign * float("inf"))
             if factor is not None:
                 edge = F.col(f"{m}_mid") + sign * F.greatest(F.col(f"{m}_mad") * factor, F.lit(least))
+            if m == "entropy_ratio":
+                edge = F.when(F.col("level") == "*", F.lit(sign * float("inf"))).otherwise(edge)
             limits.append(edge.alias(f"{m}_{side}"))
-    return deviation.where((F.col("n") >= MIN_GROUP) | F.col("group").isNull()).select("group", *limits)
+    return deviation.where((F.col("n") >= MIN_GROUP) | (F.col("level") == "*")).select("level", F.struct(*limits).alias("band"))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
     """``docs``' columns ``keep`` with the measures, ``base_failed`` and ``kept``."""
     keep = docs.columns if keep is None else keep
-    grouped = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text"), F.col(lang).alias("_lang"))
-    named = [*keep, "_lang"]
+    named = docs.select(
+        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(lang).alias("lang"), F.col(text).alias("text")
+    )
     measured = stage(
-        measures(grouped, "_text", named).withColumn("group", F.coalesce("_lang", F.concat(F.lit("script "), F.col("script")))),
+        measures(named, "text", named.columns[:-1])
+        .withColumn("language", F.coalesce("lang", F.concat(F.lit("script "), F.col("script"))))
+        .withColumn("octave", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("string")),
         "fertility",
     )
-    limits = bands(measured)
-    own = limits.where("group is not null")
-    whole = limits.where("group is null").drop("group").select([F.col(c).alias(f"all_{c}") for c in limits.columns[1:]])
-    marked = measured.join(own, "group", "left").join(F.broadcast(whole), F.lit(True), "left")  # one row
+    limits = stage(bands(measured), "fertility-bands")
+    marked = measured
+    for i, level in enumerate(_LEVELS):
+        marked = marked.withColumn("level", F.expr(level)).join(
+            limits.withColumnRenamed("band", f"band{i}"), "level", "left"
+        ).drop("level")
+    band = F.coalesce(*[F.col(f"band{i}") for i in range(len(_LEVELS))])
     inside = F.lit(True)
     for m in BANDS:
-        low, high = (F.coalesce(f"{m}_{s}", f"all_{m}_{s}") for s in ("low", "high"))
-        inside = inside & F.coalesce(F.col(m).between(low, high), F.lit(True))
+        inside = inside & F.coalesce(F.col(m).between(band[f"{m}_low"], band[f"{m}_high"]), F.lit(True))
     return marked.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & inside).select(
-        *[F.col(f"`{c}`") for c in keep], *[m.split()[0] for m in MEASURES.split(",")], "group", "base_failed", "kept"
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
+        *[m.split()[0] for m in MEASURES.split(",")], "language", "base_failed", "kept",
     )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import mixing, packing, token_files
+from marquee.llm import fertility, mixing, packing, quality, token_files
 from marquee.llm.common import read
 from marquee.session import run_folder
 
@@ -22,15 +22,29 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("key as doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = fertility.judge(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_tokens", "chars_per_token", "byte_share", "entropy_ratio", "script",
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_token_files": op6_token_files,
+    "op7_fertility": op7_fertility,
     "op9_mixing": op9_mixing,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
