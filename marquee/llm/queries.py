@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import fertility, mixing, packing, quality, token_files
+from marquee.llm import fertility, mixing, packing, pitman_yor, quality, token_files
 from marquee.llm.common import read
 from marquee.session import run_folder
 
@@ -30,6 +30,10 @@ def op7_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(read(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_token_files": op6_token_files,
     "op7_fertility": op7_fertility,
+    "op8_pitman_yor": op8_pitman_yor,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
 }
