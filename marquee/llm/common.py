@@ -6,7 +6,10 @@ import io
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +66,25 @@ def word_count(text: Column) -> Column:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[dict[str, list]]:
+    """The columns of each run of equal keys, for rows sorted by key."""
+    held: dict[str, list] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = {n: batch.column(n).to_pylist() for n in batch.schema.names}
+        keys = np.array(columns[key])
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            part = {n: c[a:b] for n, c in columns.items()}
+            if held and held[key][-1] == part[key][0]:
+                for n, c in part.items():
+                    held[n].extend(c)
+            else:
+                if held:
+                    yield held
+                held = part
+    if held:
+        yield held

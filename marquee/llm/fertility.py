@@ -24,6 +24,7 @@ alike; NULL languages go by script; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,7 +77,7 @@ class _Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([model.is_byte(i) for i in range(model.vocab_size())])
-        self.words = _Generations(lambda w: np.array(model.encode(w), "<u2").tobytes())
+        self.words = _Generations(lambda w: array("H", model.encode(w)).tobytes())
 
 
 _loaded: dict[str, _Pieces] = {}

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import fertility, mixing, packing, pitman_yor, quality, token_files
+from marquee.llm import fertility, jaccard, mixing, packing, pitman_yor, quality, token_files
 from marquee.llm.common import read
 from marquee.session import run_folder
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents")).drop("node")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard": op1_jaccard,
     "op2_packing": op2_packing,
     "op6_token_files": op6_token_files,
     "op7_fertility": op7_fertility,

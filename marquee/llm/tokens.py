@@ -10,8 +10,7 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
 
 #: what the tokenizers' own patterns call white space (Unicode White_Space)
 _SPACE = "\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -24,8 +23,16 @@ _DROPPING = re.compile(f"[^{_SPACE}]+")
 #: str.split() cuts at these as well, the tokenizers don't
 _ONLY_PYTHON = re.compile("[\x1c-\x1f]")
 
+#: letters with signs after them; both vocabularies split between the two
+_WORD_AND_SIGNS = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]+)")
+_LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: byte-level vocabularies show a byte as its own character if that is a
+#: visible one of Latin-1, else as the next free character from 256 on
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
 #: entries of a dictionary generation; two generations are held
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
 CACHE_CHARS = 64
 
 
@@ -62,7 +69,8 @@ class _Generations(dict):
 class Encoder:
     """``encode(text)`` gives the ids of a whole text as little-endian bytes,
     two bytes an id if the vocabulary fits, else four. No special tokens are
-    added, and their strings in a text are ordinary text."""
+    added, and their strings in a text are ordinary text. (Machines that Spark
+    runs on are little-endian, as ``array`` then is.)"""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -72,12 +80,23 @@ class Encoder:
         tokenizer.encode_special_tokens = True
         self.dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.drops_space = tokenizer.normalizer is not None
-        normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
-        split, merge = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
-        self.pieces = _Generations(lambda piece: np.array([t.id for t in merge(piece)], self.dtype).tobytes())
-        self.chunks = _Generations(
-            lambda chunk: b"".join([self.pieces[piece] for piece, _ in split(normalize(chunk))])
-        )
+        self.normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
+        self.split, self.merge = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+        self.code = "H" if self.dtype == "<u2" else "I"
+        self.chunks = _Generations(self._chunk)
+
+    def _chunk(self, chunk: str) -> bytes:
+        parts = _WORD_AND_SIGNS.fullmatch(chunk)
+        if parts:
+            return self.chunks[parts[1]] + self.chunks[parts[2]]
+        if _LETTERS.fullmatch(chunk):  # one piece, in normal form but for its case
+            if self.drops_space and not chunk.islower():
+                return self.chunks[chunk.lower()]
+            return self._ids(chunk.encode().decode("latin-1").translate(_BYTE_LEVEL))
+        return b"".join([self._ids(piece) for piece, _ in self.split(self.normalize(chunk))])
+
+    def _ids(self, piece: str) -> bytes:
+        return array(self.code, [t.id for t in self.merge(piece)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not self.drops_space:
@@ -87,7 +106,6 @@ class Encoder:
         else:
             parts = text.split()
         self.chunks.trim()
-        self.pieces.trim()
         return b"".join(map(self.chunks.__getitem__, parts))
 
 
