@@ -16,8 +16,10 @@ limits; a document outside its group's band is rejected. A measure's spread is
 its median absolute deviation, so the junk in a group does not widen the band.
 
 Edge cases: NULL text has no words and fails the base rule, as does an empty
-text; groups with fewer than ``MIN_GROUP`` measured documents take the bands of
-all documents together; an empty table gives no rows; repeated rows are judged
+text; where a language has fewer than ``MIN_GROUP`` measured documents of a
+length class, fertility and byte share go by the language as a whole and
+entropy by the length class in all languages, and where those are as small
+there is no limit; an empty table gives no rows; repeated rows are judged
 alike; NULL languages go by script; extra columns are ignored.
 """
 
@@ -38,13 +40,14 @@ from marquee.llm.tokens import _Generations, vocabulary
 VOCABULARY = "piece_bpe_32k.model"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MIN_GROUP = 30
+MIN_GROUP = 100
 #: allowed distance from the median, in median absolute deviations (below,
-#: above), and the least distance, so that a uniform group keeps a band
-BANDS: dict[str, tuple[float | None, float | None, float]] = {
-    "chars_per_token": (7.0, 10.0, 0.15),
-    "byte_share": (None, 10.0, 0.02),
-    "entropy_ratio": (4.5, None, 0.06),
+#: above), the least distance, so that a uniform group keeps a band, and the
+#: groups to go by, narrowest first
+BANDS: dict[str, tuple[float | None, float | None, float, tuple[str, ...]]] = {
+    "chars_per_token": (7.0, 10.0, 0.15, ("concat(language, '|', octave)", "concat(language, '|')")),
+    "byte_share": (None, 10.0, 0.02, ("concat(language, '|', octave)", "concat(language, '|')")),
+    "entropy_ratio": (4.5, None, 0.06, ("concat(language, '|', octave)", "concat('|', octave)")),
 }
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -138,19 +141,22 @@ def measures(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     names = [m.split()[0] for m in MEASURES.split(",")]
     kinds = [{"long": pa.int64(), "double": pa.float64(), "string": pa.string()}[m.split()[1]] for m in MEASURES.split(",")]
 
+    kept = len(keep)
+    at = keep.index(text) if text in keep else kept
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if vocabulary_path not in _loaded:
             _loaded[vocabulary_path] = _Pieces(vocabulary_path)
         pieces = _loaded[vocabulary_path]
         for batch in batches:
-            rows = [measure(v.as_py(), pieces) for v in batch.column(batch.num_columns - 1)]
+            rows = [measure(v.as_py() or "", pieces) for v in batch.column(at)]
             columns = list(zip(*rows)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *(pa.array(c, t) for c, t in zip(columns, kinds))], names=[*batch.schema.names[:-1], *names]
+                [*batch.columns[:kept], *(pa.array(c, t) for c, t in zip(columns, kinds))], names=[*batch.schema.names[:kept], *names]
             )
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(text), F.lit("")).alias("_measured"))
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in rows.dtypes[:-1]), MEASURES])
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([F.col(text)] if at == kept else []))
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in rows.dtypes[:kept]), MEASURES])
     return rows.mapInArrow(run, schema)
 
 
@@ -158,8 +164,7 @@ def base_failed() -> Column:
     return F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
 
 
-#: the groups that a document's measures count for, narrowest first
-_LEVELS = ("concat(language, '|', octave)", "concat('*|', octave)", "'*'")
+_LEVELS = list(dict.fromkeys(level for *_, levels in BANDS.values() for level in levels))
 
 
 def bands(measured: DataFrame) -> DataFrame:
@@ -173,34 +178,36 @@ def bands(measured: DataFrame) -> DataFrame:
         F.count("*").alias("n"), *[F.percentile_approx(m, 0.5, 1000).alias(f"{m}_mid") for m in names]
     )
     deviation = (
-        spread.join(centre, "level")
+        spread.join(centre, "level").where(F.col("n") >= MIN_GROUP)
         .groupBy("level")
         .agg(
-            F.first("n").alias("n"),
             *[F.first(f"{m}_mid").alias(f"{m}_mid") for m in names],
             *[F.percentile_approx(F.abs(F.col(m) - F.col(f"{m}_mid")), 0.5, 1000).alias(f"{m}_mad") for m in names],
         )
-    )
+    )
     limits = []
-    for m, (below, above, least) in BANDS.items():
+    for m, (below, above, least, _) in BANDS.items():
         for side, sign, factor in (("low", -1, below), ("high", 1, above)):
             edge = F.lit(sign * float("inf"))
             if factor is not None:
                 edge = F.col(f"{m}_mid") + sign * F.greatest(F.col(f"{m}_mad") * factor, F.lit(least))
-            if m == "entropy_ratio":
-                edge = F.when(F.col("level") == "*", F.lit(sign * float("inf"))).otherwise(edge)
             limits.append(edge.alias(f"{m}_{side}"))
-    return deviation.where((F.col("n") >= MIN_GROUP) | (F.col("level") == "*")).select("level", F.struct(*limits).alias("band"))
+    return deviation.select("level", F.struct(*limits).alias("band"))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
     """``docs``' columns ``keep`` with the measures, ``base_failed`` and ``kept``."""
     keep = docs.columns if keep is None else keep
+    # names of its own, whatever the columns are called
+    mine = [f"k{i}" for i in range(len(keep))]
+    text_as = mine[keep.index(text)] if text in keep else "text"
     named = docs.select(
-        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(lang).alias("lang"), F.col(text).alias("text")
+        *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, mine)],
+        F.col(lang).alias("lang"),
+        *([] if text in keep else [F.col(text).alias("text")]),
     )
     measured = stage(
-        measures(named, "text", named.columns[:-1])
+        measures(named, text_as, [*mine, "lang"])
         .withColumn("language", F.coalesce("lang", F.concat(F.lit("script "), F.col("script"))))
         .withColumn("octave", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("string")),
         "fertility",
@@ -211,11 +218,19 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[st
         marked = marked.withColumn("level", F.expr(level)).join(
             limits.withColumnRenamed("band", f"band{i}"), "level", "left"
         ).drop("level")
-    band = F.coalesce(*[F.col(f"band{i}") for i in range(len(_LEVELS))])
     inside = F.lit(True)
-    for m in BANDS:
+    for m, (*_, levels) in BANDS.items():
+        band = F.coalesce(*[F.col(f"band{_LEVELS.index(level)}") for level in levels])
         inside = inside & F.coalesce(F.col(m).between(band[f"{m}_low"], band[f"{m}_high"]), F.lit(True))
     return marked.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & inside).select(
-        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
+        *[F.col(k).alias(c) for k, c in zip(mine, keep)],
         *[m.split()[0] for m in MEASURES.split(",")], "language", "base_failed", "kept",
     )
+
+
+def accepted(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are kept."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    renamed = docs.toDF(*names)
+    judged = judge(renamed, names[docs.columns.index(text)], names[docs.columns.index(lang)], names)
+    return judged.where("kept").select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])

@@ -46,6 +46,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.llm.common import by_key, ship_package, stage
 from marquee.llm.components import components, star_edges
@@ -430,3 +431,50 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
             "node",
         )
     )
+
+
+def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of every group of linked documents, that with the
+    smallest key. Rows whose key stands on several rows are told apart by their
+    sets, and those equal in both are one row; rows without a key stay unless
+    they are linked to one with a key."""
+    found = stage(jaccard_components(docs, key, text), "jaccard")
+    several = found.groupBy(key).agg(F.count("*").alias("n")).where("n > 1 or " + f"`{key}` is null")
+    several = stage(several.select(F.col(key).alias("several")), "jaccard-repeated")
+    gone = stage(found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("gone")).distinct(), "jaccard-gone")
+
+    def bounded(keys: DataFrame) -> DataFrame:
+        return F.broadcast(keys) if keys.count() <= MAX_BROADCAST else keys
+
+    drop = bounded(gone.join(several, F.col("gone") == F.col("several"), "left_anti"))
+    own_key = F.col(f"`{key}`")
+    is_several = own_key.eqNullSafe(F.col("several"))
+    single = docs.join(drop, own_key == F.col("gone"), "left_anti").join(bounded(several), is_several, "left_anti")
+
+    names = docs.columns
+    repeated = docs.join(bounded(several), is_several, "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+
+    def with_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column(0)
+            sets = [shingles(v.as_py() or "") for v in row.field(text)]
+            yield pa.record_batch(
+                {"row": row, "node": pa.array([_node(s) if len(s) else None for s in sets], pa.int64())}
+            )
+
+    rows = repeated.mapInArrow(with_nodes, T.StructType([*repeated.schema.fields, T.StructField("node", T.LongType())]))
+    # one set of each key and component
+    stay = (
+        found.where(own_key.eqNullSafe(F.col("component_id")))
+        .join(several, is_several, "left_semi")
+        .select(own_key.alias("stay_key"), F.col("node").alias("stay_node"))
+        .distinct()
+    )
+    one = stay.where("stay_key is not null").groupBy("stay_key").agg(F.min("stay_node").alias("stay_node"))
+    stay = one.unionByName(stay.where("stay_key is null"))
+    of_key = F.col(f"row.`{key}`").cast("long")
+    first = (
+        rows.join(stay, of_key.eqNullSafe(F.col("stay_key")) & F.col("node").eqNullSafe(F.col("stay_node")), "left_semi")
+        .groupBy(of_key.alias("k"), "node").agg(F.min(F.struct(F.col(f"row.`{text}`").alias("t"), "row")).alias("m"))
+    )
+    return single.unionByName(first.select(*[F.col(f"m.row.`{c}`").alias(c) for c in names]))

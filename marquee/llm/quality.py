@@ -174,21 +174,6 @@ def pool(text: str, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def pooled(docs: DataFrame, vectors: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, features): the pooled vector of every document, as float32 bytes."""
-    ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(vectors)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for batch in batches:
-            rows = [pool(v.as_py(), table).tobytes() for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["key", "features"])
-
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "key long, features binary")
-
-
 class Network:
     """Inputs are standardised; one hidden layer; a logit over a temperature."""
 
@@ -253,38 +238,66 @@ def held_out(key: str):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def classify(
-    docs: DataFrame,
-    labels: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    label: str = "quality",
-    max_rows: int = MAX_ROWS,
-    threshold: float = THRESHOLD,
-) -> DataFrame:
-    """One row per document: key, held_out, score (probability of label 1),
-    predicted. Labels of held-out rows are never read by the fit."""
-    spark = docs.sparkSession
-    features = stage(pooled(docs, word_vectors(docs, text), key, text), "quality-features")
+def fitted(
+    docs: DataFrame, labels: DataFrame, vectors: np.ndarray, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS
+) -> Network:
+    """A network fitted to at most ``max_rows`` labelled documents that are
+    not held out, in the order of a hash of their key."""
     usable = (
         labels.select(F.col(key).cast("long").alias("key"), F.col(label).cast("int").alias("label"))
         .where(~held_out("key") & F.col("label").isin(0, 1) & F.col("key").isNotNull())
         .groupBy("key").agg(F.max("label").alias("label"))
-        .join(features.select("key").distinct(), "key", "left_semi")
+        .join(docs.select(F.col(key).cast("long").alias("key")), "key", "left_semi")
         .orderBy(F.xxhash64("key"), "key").limit(max_rows)
     )
-    # at most max_rows keys
-    sample = features.join(F.broadcast(usable), "key").groupBy("key").agg(F.first("features").alias("features"), F.first("label").alias("label"))
+    usable = stage(usable, "quality-sample")
+    shared = docs.sparkSession.sparkContext.broadcast(vectors)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [pool(v.as_py(), shared.value).tobytes() for v in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rows, pa.binary())], names=["key", "label", "features"])
+
+    texts = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    sample = texts.join(F.broadcast(usable), "key").select("key", "label", "text")  # at most max_rows keys
+    sample = sample.mapInArrow(run, "key long, label int, features binary")
+    sample = sample.groupBy("key").agg(F.min("features").alias("features"), F.first("label").alias("label"))
     rows = sorted(sample.collect(), key=lambda r: r["key"])
-    x = np.array([np.frombuffer(r["features"], np.float32) for r in rows]).reshape(len(rows), FEATURES)
-    network = spark.sparkContext.broadcast(Network().fit(x.astype(np.float64), np.array([r["label"] for r in rows], float)))
+    x = np.array([np.frombuffer(r["features"], np.float32) for r in rows], np.float64).reshape(len(rows), FEATURES)
+    return Network().fit(x, np.array([r["label"] for r in rows], float))
+
+
+def _scores(shared, texts: pa.Array) -> np.ndarray:
+    network, vectors = shared.value
+    if not len(texts):
+        return np.zeros(0)
+    return network.score(np.array([pool(v.as_py() or "", vectors) for v in texts]))
+
+
+def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: key, held_out, score (probability of label 1),
+    predicted. Labels of held-out rows are never read by the fit."""
+    ship_package(docs.sparkSession)
+    vectors = word_vectors(docs, text)
+    shared = docs.sparkSession.sparkContext.broadcast((fitted(docs, labels, vectors, key, text), vectors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([np.frombuffer(f.as_buffer(), np.float32) for f in batch.column(1)]).reshape(-1, FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(network.value.score(x))], names=["key", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(shared, batch.column(1)))], names=["key", "score"])
 
-    scored = features.mapInArrow(run, "key long, score double")
-    return scored.select(
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "key long, score double").select(
         F.col("key").alias(key), held_out("key").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def accepted(docs: DataFrame, network: Network, vectors: np.ndarray, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``threshold``."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((network, vectors))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(shared, batch.column(text)) >= threshold, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import fertility, jaccard, mixing, packing, pitman_yor, quality, token_files
+from marquee.llm import (
+    fertility,
+    html_text,
+    jaccard,
+    licences,
+    mixing,
+    packing,
+    permutation_index,
+    pitman_yor,
+    quality,
+    token_files,
+)
 from marquee.llm.common import read
 from marquee.session import run_folder
 
@@ -19,6 +30,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
+def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(read(spark, sf_dir, "embeddings"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "token-files")
     token_files.write_token_files(read(spark, sf_dir, "documents"), folder)
@@ -50,6 +73,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
     "op2_packing": op2_packing,
+    "op3_html_text": op3_html_text,
+    "op4_licences": op4_licences,
+    "op5_permutation_index": op5_permutation_index,
     "op6_token_files": op6_token_files,
     "op7_fertility": op7_fertility,
     "op8_pitman_yor": op8_pitman_yor,
