@@ -48,23 +48,46 @@ def merge(
     is appended unchanged. A change is a null-safe inequality on any tracked
     column; untracked changes keep the open version as it is.
 
+    A snapshot has one row per key. Rows without a key are ignored; a key on
+    several rows fails the job, as either answer would be arbitrary and two
+    open versions would multiply every later join.
+
     ``on_missing`` decides open versions whose key is absent from the
     snapshot: ``"keep"`` leaves them open, ``"close"`` ends them at ``as_of``.
     The output has ``current_dim``'s column order; snapshot columns missing
     from the dimension are ignored and dimension columns missing from the
     snapshot fail analysis.
     """
+    open_rows = current_dim.filter(F.col("is_current"))
+    closed_rows = current_dim.filter(~F.col("is_current"))
+    merged = changes(open_rows, new_source, key, tracked, as_of, on_missing)
+    return merged.unionByName(closed_rows)
+
+
+def changes(
+    open_rows: DataFrame,
+    new_source: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    as_of: str | Column,
+    on_missing: str = "keep",
+) -> DataFrame:
+    """Open versions after the snapshot and the versions that it closes: what a
+    store has to write; closed history is left alone."""
     if on_missing not in ("keep", "close"):
         raise ValueError(f"unknown on_missing mode: {on_missing}")
-    cols = current_dim.columns
+    cols = open_rows.columns
     data_cols = [c for c in cols if c not in SCD2_COLUMNS]
     ts = _as_of(as_of)
 
-    open_rows = current_dim.filter(F.col("is_current"))
-    closed_rows = current_dim.filter(~F.col("is_current"))
-
     cur = open_rows.select(F.col(key).alias("_k"), F.struct(*[F.col(c) for c in cols]).alias("cur"))
-    new = new_source.select(F.col(key).alias("_k"), F.struct(*[F.col(c) for c in data_cols]).alias("new"))
+    # counted next to the join, on the join's own partitioning
+    row = F.struct(*[F.col(c) for c in data_cols])
+    counted = new_source.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
+        F.max(row).alias("new"), F.count(F.lit(1)).alias("n")
+    )
+    twice = F.raise_error(F.concat(F.lit(f"several rows for {key} "), F.col("_k").cast("string")))
+    new = counted.select("_k", F.when(F.col("n") > 1, twice.cast(counted.schema["new"].dataType)).otherwise(F.col("new")).alias("new"))
     joined = cur.join(new, "_k", "full_outer")
 
     changed = reduce(
@@ -89,8 +112,7 @@ def merge(
         .when(changed, F.array(close, opened))
         .otherwise(F.array(keep))
     )
-    merged = joined.select(F.explode(emitted).alias("v")).select("v.*")
-    return merged.unionByName(closed_rows.select(*cols))
+    return joined.select(F.explode(emitted).alias("v")).select("v.*")
 
 
 def current(dim: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from marquee.sources.landing import bronze as add_bronze_metadata
 INGESTED_AT = "2024-06-01 00:00:00"
 DIM_AS_OF = "2024-06-01 00:00:00"
 MERGE_AS_OF = "2024-07-01 00:00:00"
+THIRD_AS_OF = "2024-08-01 00:00:00"
 
 ENTITIES = ("users", "venues", "movies", "shows", "bookings", "payments", "seat_holds", "promotions",
             "promotion_redemptions")
@@ -38,8 +39,8 @@ LAYER_TABLES = (
     [("bronze", f"bronze_{e}") for e in ENTITIES]
     + [("silver", t) for t in (
         "silver_users", "silver_venues", "silver_movies", "silver_shows", "silver_bookings", "quarantine_bookings",
-        "silver_payments", "silver_seat_holds", "quarantine_seat_holds", "silver_promotions",
-        "quarantine_promotions", "silver_promotion_redemptions")]
+        "silver_payments", "quarantine_payments", "silver_seat_holds", "quarantine_seat_holds",
+        "silver_promotions", "quarantine_promotions", "silver_promotion_redemptions", "quarantine_redemptions")]
     + [("gold", t) for t in (
         "dim_venue", "dim_show", "dim_user", "fact_bookings", "fact_payments", "gold_daily_revenue",
         "fact_seat_occupancy", "fact_promotion_redemptions", "gold_promotion_performance",
@@ -67,6 +68,9 @@ class Tables:
         self._sources = conform.Sources(spark, sf_dir) if sf_dir else None
         self.__dict__.update(prebuilt or {})
 
+    def table(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
     # --- bronze ---------------------------------------------------------
     def landed(self, entity: str) -> DataFrame:
         return conform.landed(self.spark, self.sf_dir, entity, self._sources)
@@ -82,9 +86,9 @@ class Tables:
         table's declared expectations drop rows."""
         built = {
             "silver_bookings": lambda: self._bookings[0],
-            "silver_payments": lambda: silver.clean_payments(self.bronze("payments")),
+            "silver_payments": lambda: self._payments[0],
             "silver_seat_holds": lambda: self._seat_holds[0],
-            "silver_promotion_redemptions": lambda: silver.clean_redemptions(self.bronze("promotion_redemptions")),
+            "silver_promotion_redemptions": lambda: self._redemptions[0],
         }
         return built[table]()
 
@@ -111,8 +115,24 @@ class Tables:
     def silver_payments(self) -> DataFrame:
         return self._expected("silver_payments")
 
+    @cached_property
+    def _payments(self) -> tuple[DataFrame, DataFrame]:
+        return silver.clean_payments(self.bronze("payments"))
+
+    @cached_property
+    def quarantine_payments(self) -> DataFrame:
+        return self._payments[1]
+
+    @cached_property
+    def _redemptions(self) -> tuple[DataFrame, DataFrame]:
+        return silver.clean_redemptions(self.bronze("promotion_redemptions"))
+
+    @cached_property
+    def quarantine_redemptions(self) -> DataFrame:
+        return self._redemptions[1]
+
     def silver_dimension(self, entity: str) -> DataFrame:
-        return silver.clean_dimension(self.bronze(entity), entity)
+        return silver.clean_dimension(self.bronze(entity), entity)[0]
 
     @cached_property
     def silver_users(self) -> DataFrame:
@@ -175,37 +195,47 @@ class Tables:
     def venues_next_snapshot(self) -> DataFrame:
         return conform.venues_next_snapshot(self.silver_venues)
 
-    def scd2_merge_venue(self, on_missing: str = "keep") -> DataFrame:
+    def merged_dim(self, dim: str, on_missing: str = "keep") -> DataFrame:
+        """A dimension after its second snapshot."""
+        entity, key, tracked = DIMENSIONS[dim]
+        snapshot = getattr(conform, f"{entity}_next_snapshot")(self.silver_dimension(entity))
+        return scd2.merge(getattr(self, dim), snapshot, key, tracked, MERGE_AS_OF, on_missing)
+
+    def scd2_three_snapshots_venue(self) -> DataFrame:
+        """Two merges, so the second one meets closed history."""
         _, key, tracked = DIMENSIONS["dim_venue"]
-        return scd2.merge(self.dim_venue, self.venues_next_snapshot, key, tracked, MERGE_AS_OF, on_missing)
+        third = conform.venues_third_snapshot(self.venues_next_snapshot)
+        return scd2.merge(self.merged_dim("dim_venue"), third, key, tracked, THIRD_AS_OF)
 
     # --- facts and marts ------------------------------------------------
     @cached_property
     def fact_bookings(self) -> DataFrame:
-        return facts.fact_bookings(self.silver_bookings, self.dim_show)
+        return facts.build(facts.FACTS["fact_bookings"], self.table)
 
     @cached_property
     def fact_payments(self) -> DataFrame:
-        return facts.fact_payments(self.silver_payments, self.fact_bookings)
+        return facts.build(facts.FACTS["fact_payments"], self.table)
+
+    @cached_property
+    def occupied_seats(self) -> DataFrame:
+        return facts.occupied_seats(self.silver_seat_holds)
 
     @cached_property
     def fact_seat_occupancy(self) -> DataFrame:
-        return facts.fact_seat_occupancy(self.silver_seat_holds, self.dim_venue, self.dim_show)
+        return facts.build(facts.FACTS["fact_seat_occupancy"], self.table)
 
     @cached_property
     def fact_promotion_redemptions(self) -> DataFrame:
-        return facts.fact_promotion_redemptions(
-            self.silver_promotion_redemptions, self.silver_promotions, self.fact_bookings
-        )
+        return facts.build(facts.FACTS["fact_promotion_redemptions"], self.table)
 
     @cached_property
     def gold_daily_revenue(self) -> DataFrame:
-        return marts.daily_revenue(self.fact_bookings)
+        return marts.build(marts.MARTS["gold_daily_revenue"], self.table)
 
     @cached_property
     def gold_promotion_performance(self) -> DataFrame:
-        return marts.promotion_performance(self.fact_promotion_redemptions)
+        return marts.build(marts.MARTS["gold_promotion_performance"], self.table)
 
     @cached_property
     def gold_user_booking_summary(self) -> DataFrame:
-        return marts.user_booking_summary(self.fact_bookings, self.dim_user)
+        return marts.build(marts.MARTS["gold_user_booking_summary"], self.table)

@@ -31,12 +31,13 @@ def next_dim_version(
     store: SnapshotStore, table: str, silver_df: DataFrame, key: str, tracked: list[str], as_of: str,
     on_missing: str = "keep",
 ) -> DataFrame:
-    """Bootstrap when the store has no version of ``table``, else SCD2-merge
-    the new source snapshot into the latest committed version."""
-    current = store.read(table, partition_types=DIM_PARTITIONS)
-    if current is None:
+    """What the next version has to hold: all rows at the first load, else the
+    open rows after the merge and the rows it closes. Closed history stays in
+    the versions that closed it, so a run costs the open rows, not the history."""
+    held = store.read_history(table)
+    if held is None:
         return scd2.bootstrap(silver_df, as_of)
-    return scd2.merge(current, silver_df, key, tracked, as_of, on_missing)
+    return scd2.changes(scd2.current(held), silver_df, key, tracked, as_of, on_missing)
 
 
 def upsert_scd2_dim(
@@ -51,11 +52,10 @@ def upsert_scd2_dim(
     """Build the next dimension version, publish it and read it back.
 
     Versions are partitioned by ``is_current``: the next merge reads only the
-    open partition for its join and copies the closed one without a shuffle.
+    open partition of the latest one.
     """
     result = next_dim_version(store, table, silver_df, key, tracked, as_of, on_missing)
-    version = store.write(result, table, partition_by=list(DIM_PARTITIONS))
-    return store.read(table, version, partition_types=DIM_PARTITIONS)
+    return store.read_history(table, store.write(result, table, partition_by=list(DIM_PARTITIONS)))
 
 
 def incremental_dim_venue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,12 +67,27 @@ def incremental_dim_venue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_scd2_dim(store, "dim_venue", tables.venues_next_snapshot, key, tracked, MERGE_AS_OF)
 
 
+def dim_venue_after_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``incremental_dim_venue``, but an attempt at the second run stages
+    other rows, open and closed, and never commits; a new store then retries."""
+    root = run_folder(spark, "failed-run")
+    store = SnapshotStore(spark, root, fresh=True)
+    tables = Tables(spark, sf_dir)
+    _, key, tracked = DIMENSIONS["dim_venue"]
+    first = upsert_scd2_dim(store, "dim_venue", tables.silver_venues, key, tracked, DIM_AS_OF)
+    junk = first.unionByName(first.withColumns({"is_current": F.lit(False), "venue_id": F.col("venue_id") + 7_000_000}))
+    store.stage(junk, "dim_venue", list(DIM_PARTITIONS))
+    return upsert_scd2_dim(SnapshotStore(spark, root), "dim_venue", tables.venues_next_snapshot, key, tracked, MERGE_AS_OF)
+
+
 VALID_FLAG = "_dq_valid"
 CHECKED_PARTITIONS = {VALID_FLAG: "boolean"}
 
 # gated domains: one written table holds both outcomes of the gate
 GATED = {
     "checked_bookings": ("silver_bookings", "quarantine_bookings"),
+    "checked_payments": ("silver_payments", "quarantine_payments"),
+    "checked_redemptions": ("silver_promotion_redemptions", "quarantine_redemptions"),
     "checked_seat_holds": ("silver_seat_holds", "quarantine_seat_holds"),
     "checked_promotions": ("silver_promotions", "quarantine_promotions"),
 }
@@ -81,8 +96,8 @@ GATED = {
 def checked_table(valid: DataFrame, quarantined: DataFrame) -> DataFrame:
     """Valid and quarantined rows of one gate as a single frame flagged by
     ``_dq_valid``. Both sides share the same dedup exchange, which Spark
-    computes once for the union (exchange reuse), so the domain's input is
-    read and shuffled once instead of once per output table."""
+    computes once for the union (exchange reuse); only rows without a key,
+    which take no part in the dedup, are scanned apart."""
     return (
         valid.withColumn(FAILURES, F.lit(None).cast("string"))
         .unionByName(quarantined, allowMissingColumns=True)
@@ -104,7 +119,7 @@ class _LayerWriter:
         self,
         frames: dict[str, Callable[[], DataFrame]],
         partitions: dict[str, dict[str, str]] | None = None,
-        buckets: dict[str, tuple[int, list[str]]] | None = None,
+        buckets: dict[str, tuple[int, str]] | None = None,
     ) -> dict[str, DataFrame]:
         """``frames`` maps each table to a function building its plan; plans are
         built in the worker threads, so building one overlaps running another."""
@@ -129,7 +144,11 @@ class _LayerWriter:
             self.pending[name], self.rows[name] = version, rows
             if valid is not None:
                 self.valid_rows[name] = valid
-            out[name] = self.store.read(name, version, partition_types=partitions.get(name))
+            history = partitions.get(name) == DIM_PARTITIONS
+            out[name] = (
+                self.store.read_history(name, version) if history
+                else self.store.read(name, version, partition_types=partitions.get(name))
+            )
         return out
 
     def commit(self) -> dict[str, int]:
@@ -138,6 +157,16 @@ class _LayerWriter:
         return published
 
 
+#: Spark's own limit (spark.sql.sources.bucketing.maxBuckets) is 100,000
+MAX_FACT_BUCKETS = 65_536
+
+
+def bucket_count(spark: SparkSession, most: int = MAX_FACT_BUCKETS) -> int:
+    """Buckets of the largest fact: as many as the session shuffles into, up to
+    a bound that Spark accepts."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), most)
+
+
 def run_layers(
     spark: SparkSession,
     sf_dir: str,
@@ -187,7 +216,7 @@ def run_layers(
     gold = Tables(spark, prebuilt={**silver, **dims})
     # fact_bookings is joined on booking_id by the payment and redemption facts:
     # bucketing it once spares both joins a shuffle of the largest fact
-    fact_buckets = {"fact_bookings": (int(spark.conf.get("spark.sql.shuffle.partitions")), ["booking_id"])}
+    fact_buckets = {"fact_bookings": (bucket_count(spark), "booking_id")}
     for wave in (("fact_bookings", "fact_seat_occupancy"),
                  ("fact_payments", "gold_daily_revenue", "fact_promotion_redemptions", "gold_user_booking_summary"),
                  ("gold_promotion_performance",)):

@@ -1,17 +1,86 @@
 """Independent SQL statement of every registered query, for DuckDB.
 
-The conform rules, gates and builders are re-stated here as plain SQL over
-the test tables (views ``lineitem``, ``orders``, ...). Only declared data is
-shared with the Spark side: contracts (for the version order), rule texts,
-status sets and fixed run times.
+The conform rules, gates and builders are stated here as plain SQL over the
+test tables (views ``lineitem``, ``orders``, ...). Nothing is imported from
+the Spark side: keys, version orders, rule texts, status sets and run times
+are written out, so a rule that is wrong over there does not agree with itself.
 """
 
 from __future__ import annotations
 
-from marquee import contracts as C
-from marquee.plans import silver as S
-from marquee.plans.catalog import DIM_AS_OF, INGESTED_AT, LAYER_TABLES, MERGE_AS_OF
-from marquee.sources.conform import BASE_TS
+BASE_TS = "2024-01-01 00:00:00"
+INGESTED_AT = "2024-06-01 00:00:00"
+DIM_AS_OF = "2024-06-01 00:00:00"
+MERGE_AS_OF = "2024-07-01 00:00:00"
+THIRD_AS_OF = "2024-08-01 00:00:00"
+
+# entity -> (source system, keys, version order after updated_at)
+ENTITIES = {
+    "users": ("user_service", ["user_id"], ["name", "email", "phone", "city", "signup_date"]),
+    "venues": ("venue_service", ["venue_id"], ["venue_name", "city", "state", "capacity"]),
+    "movies": ("catalog_service", ["movie_id"], ["title", "genre", "language", "duration_min", "release_date"]),
+    "shows": ("show_service", ["show_id"], ["movie_id", "venue_id", "screen_no", "show_time", "base_price"]),
+    "bookings": ("booking_oltp_cdc", ["booking_id"],
+                 ["user_id", "show_id", "num_seats", "total_amount", "booking_status", "booking_time", "is_deleted"]),
+    "payments": ("payment_gateway", ["payment_id"],
+                 ["booking_id", "amount", "payment_method", "payment_status", "payment_time"]),
+    "seat_holds": ("seat_lock_service", ["show_id", "seat_no"], ["hold_id", "user_id", "hold_status", "held_at"]),
+    "promotions": ("promotions_engine", ["promotion_id"],
+                   ["code", "discount_type", "discount_value", "valid_from", "valid_to", "status"]),
+    "promotion_redemptions": ("promotions_engine", ["redemption_id"],
+                              ["promotion_id", "booking_id", "discount_amount", "redeemed_at"]),
+}
+
+# gate -> (rule name, predicate); a NULL predicate fails
+RULES = {
+    "bookings": (
+        ("booking_id_present", "booking_id IS NOT NULL"),
+        ("user_id_present", "user_id IS NOT NULL"),
+        ("show_id_present", "show_id IS NOT NULL"),
+        ("num_seats_positive", "num_seats > 0"),
+        ("total_amount_non_negative", "total_amount >= 0"),
+        ("booking_status_known", "booking_status IN ('CONFIRMED', 'CANCELLED', 'PENDING')"),
+    ),
+    "payments": (
+        ("payment_id_present", "payment_id IS NOT NULL"),
+        ("booking_id_present", "booking_id IS NOT NULL"),
+        ("amount_non_negative", "amount >= 0"),
+    ),
+    "seat_holds": (
+        ("show_id_present", "show_id IS NOT NULL"),
+        ("seat_no_present", "seat_no IS NOT NULL"),
+        ("hold_status_known", "hold_status IN ('HELD', 'BOOKED', 'RELEASED', 'EXPIRED')"),
+    ),
+    "promotions": (
+        ("promotion_id_present", "promotion_id IS NOT NULL"),
+        ("discount_type_known", "discount_type IN ('PERCENT', 'FLAT')"),
+        ("discount_value_positive", "discount_value > 0"),
+        ("status_known", "status IN ('ACTIVE', 'EXPIRED', 'DISABLED')"),
+    ),
+    "promotion_redemptions": (
+        ("redemption_id_present", "redemption_id IS NOT NULL"),
+        ("promotion_id_present", "promotion_id IS NOT NULL"),
+        ("booking_id_present", "booking_id IS NOT NULL"),
+        ("discount_amount_non_negative", "discount_amount >= 0"),
+    ),
+}
+
+EXPECTATIONS = {
+    "silver_bookings": (("valid_booking_id", "booking_id IS NOT NULL"), ("valid_amount", "total_amount >= 0")),
+    "silver_payments": (("valid_booking_ref", "booking_id IS NOT NULL"),),
+    "silver_seat_holds": (("valid_show_and_seat", "show_id IS NOT NULL AND seat_no IS NOT NULL"),),
+    "silver_promotion_redemptions": (("valid_refs", "promotion_id IS NOT NULL AND booking_id IS NOT NULL"),),
+}
+
+LAYERS = {
+    "bronze": [f"bronze_{e}" for e in ENTITIES],
+    "silver": ["silver_users", "silver_venues", "silver_movies", "silver_shows", "silver_bookings", "quarantine_bookings",
+               "silver_payments", "quarantine_payments", "silver_seat_holds", "quarantine_seat_holds",
+               "silver_promotions", "quarantine_promotions", "silver_promotion_redemptions", "quarantine_redemptions"],
+    "gold": ["dim_venue", "dim_show", "dim_user", "fact_bookings", "fact_payments", "gold_daily_revenue",
+             "fact_seat_occupancy", "fact_promotion_redemptions", "gold_promotion_performance",
+             "gold_user_booking_summary"],
+}
 
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {}
 
@@ -41,13 +110,9 @@ def with_ctes(final: str, *names: str) -> str:
     return f"WITH {body}\n{final}"
 
 
-def _cols(entity: str) -> list[str]:
-    return [f.name for f in C.CONTRACTS[entity].fields]
-
-
 def _dedup(src: str, entity: str, null_keys: str) -> str:
-    keys = C.KEYS[entity]
-    order = ", ".join(f"{c} DESC NULLS LAST" for c in C.version_order(entity))
+    _, keys, rest = ENTITIES[entity]
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in ["updated_at", *rest])
     keyed = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     sql = (
         f"SELECT * FROM {src} WHERE {keyed}\n"
@@ -59,7 +124,7 @@ def _dedup(src: str, entity: str, null_keys: str) -> str:
 
 
 def _ok(rules) -> str:
-    return " AND ".join(f"coalesce(({r.predicate}), false)" for r in rules)
+    return " AND ".join(f"coalesce(({predicate}), false)" for _, predicate in rules)
 
 
 def _valid(src: str, rules) -> str:
@@ -67,22 +132,22 @@ def _valid(src: str, rules) -> str:
 
 
 def _quarantined(src: str, rules) -> str:
-    reasons = ", ".join(f"CASE WHEN NOT coalesce(({r.predicate}), false) THEN '{r.name}' END" for r in rules)
+    reasons = ", ".join(f"CASE WHEN NOT coalesce(({sql}), false) THEN '{name}' END" for name, sql in rules)
     return f"SELECT *, concat_ws(',', {reasons}) AS _dq_failures FROM {src} WHERE NOT ({_ok(rules)})"
 
 
 def _bronze(entity: str) -> str:
     return (
-        f"SELECT *, {_ts(INGESTED_AT)} AS _ingested_at, '{C.SOURCE_SYSTEMS[entity]}' AS _source_system "
+        f"SELECT *, {_ts(INGESTED_AT)} AS _ingested_at, '{ENTITIES[entity][0]}' AS _source_system "
         f"FROM landed_{entity}"
     )
 
 
 # --- conform layer ------------------------------------------------------------
 _cte("landed_bookings", """SELECT
-  l_orderkey * 10 + l_linenumber AS booking_id,
+  CASE WHEN l_linenumber = 7 AND l_discount = 0.07 THEN NULL ELSE l_orderkey * 10 + l_linenumber END AS booking_id,
   CASE WHEN l_linenumber = 2 AND l_returnflag = 'A' AND l_discount = 0 THEN NULL ELSE o_custkey END AS user_id,
-  l_partkey AS show_id,
+  CASE WHEN l_partkey % 50 = 7 THEN l_partkey + 10000000 ELSE l_partkey END AS show_id,
   CAST(trunc(l_quantity) AS INTEGER) AS num_seats,
   CASE WHEN l_linenumber = 1 AND l_discount = 0 THEN -l_extendedprice ELSE l_extendedprice END AS total_amount,
   CASE WHEN l_linenumber = 7 AND l_returnflag = 'N' THEN 'UNKNOWN'
@@ -96,16 +161,16 @@ _cte("landed_bookings", """SELECT
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 
 _cte("landed_payments", """SELECT
-  l_orderkey * 10 + l_linenumber AS payment_id,
+  CASE WHEN l_linenumber = 6 AND l_discount = 0.02 THEN NULL ELSE l_orderkey * 10 + l_linenumber END AS payment_id,
   CASE WHEN l_linenumber = 3 AND l_discount = 0.05 THEN NULL ELSE l_orderkey * 10 + l_linenumber END AS booking_id,
   CASE WHEN l_linenumber = 4 AND l_discount = 0 THEN -l_extendedprice ELSE l_extendedprice END AS amount,
   CASE l_linenumber % 3 WHEN 0 THEN 'CARD' WHEN 1 THEN 'UPI' ELSE 'WALLET' END AS payment_method,
-  CASE WHEN l_returnflag = 'R' THEN ' refunded' ELSE 'Success ' END AS payment_status,
+  CASE WHEN l_linestatus = 'O' THEN ' pending ' WHEN l_returnflag = 'R' THEN ' refunded' ELSE 'Success ' END AS payment_status,
   l_shipdate AS payment_time,
   l_shipdate AS updated_at
-FROM lineitem WHERE l_linestatus = 'F'""")
+FROM lineitem""")
 
-_EMAIL = "CASE WHEN {k} % 97 = 0 THEN 'user' || CAST({k} AS VARCHAR) || '.example.com' ELSE 'user' || CAST({k} AS VARCHAR) || '@example.com' END"
+_EMAIL = "CASE WHEN {k} % 97 = 0 THEN 'user' || CAST({k} AS VARCHAR) || '.example.com' WHEN {k} % 83 = 0 THEN 'user' || CAST({k} AS VARCHAR) || chr(10) || 'name@example.com' ELSE 'user' || CAST({k} AS VARCHAR) || '@example.com' END"
 _PHONE = "CASE WHEN {k} % 89 = 0 THEN CAST({k} % 100 AS VARCHAR) ELSE '+91' || lpad(CAST({k} AS VARCHAR), 10, '0') END"
 
 
@@ -144,7 +209,7 @@ def _show_rows(where: str, show_id: str, price: str, updated: str) -> str:
     return f"""SELECT {show_id} AS show_id, p_brand AS movie_id, p_partkey % 110 AS venue_id,
   CAST(p_size % 10 + 1 AS INTEGER) AS screen_no,
   TIMESTAMP '2024-02-01 10:00:00' + to_hours(CAST(p_partkey % 720 AS BIGINT)) AS show_time,
-  {price} AS base_price, {_ts(updated)} AS updated_at FROM part WHERE p_partkey % 50 <> 7 AND {where}"""
+  {price} AS base_price, {_ts(updated)} AS updated_at FROM part WHERE {where}"""
 
 
 _cte("landed_shows", "\nUNION ALL\n".join([
@@ -176,7 +241,8 @@ _cte("landed_promotions", f"""SELECT CAST(s_nationkey AS BIGINT) AS promotion_id
   {_ts(BASE_TS)} + to_minutes(CAST(s_suppkey AS BIGINT)) AS updated_at
 FROM supplier""")
 
-_cte("landed_promotion_redemptions", """SELECT l_orderkey * 10 + l_linenumber AS redemption_id,
+_cte("landed_promotion_redemptions", """SELECT
+  CASE WHEN l_linenumber = 7 AND l_discount = 0.04 THEN NULL ELSE l_orderkey * 10 + l_linenumber END AS redemption_id,
   CASE WHEN l_linenumber = 5 AND l_discount = 0.03 THEN NULL ELSE l_suppkey % 25 END AS promotion_id,
   l_orderkey * 10 + l_linenumber AS booking_id,
   CASE WHEN l_discount = 0.1 THEN l_extendedprice * 2
@@ -186,36 +252,38 @@ _cte("landed_promotion_redemptions", """SELECT l_orderkey * 10 + l_linenumber AS
   l_shipdate AS redeemed_at, l_shipdate AS updated_at
 FROM lineitem WHERE l_discount > 0""")
 
-for _e in C.CONTRACTS:
+for _e in ENTITIES:
     _cte(f"bronze_{_e}", _bronze(_e), f"landed_{_e}")
 
 # --- silver -------------------------------------------------------------------
 _cte("latest_bookings", _dedup("bronze_bookings", "bookings", "bypass"), "bronze_bookings")
 _cte("live_bookings", "SELECT * FROM latest_bookings WHERE is_deleted IS NULL OR NOT is_deleted", "latest_bookings")
 _cte("silver_bookings",
-     f"SELECT * REPLACE (upper(trim(booking_status)) AS booking_status) FROM ({_valid('live_bookings', S.BOOKING_RULES)})",
+     f"SELECT * REPLACE (upper(trim(booking_status)) AS booking_status) FROM ({_valid('live_bookings', RULES['bookings'])})",
      "live_bookings")
-_cte("quarantine_bookings", _quarantined("live_bookings", S.BOOKING_RULES), "live_bookings")
+_cte("quarantine_bookings", _quarantined("live_bookings", RULES['bookings']), "live_bookings")
 
-_cte("latest_payments", _dedup("bronze_payments", "payments", "drop"), "bronze_payments")
+_cte("latest_payments", _dedup("bronze_payments", "payments", "bypass"), "bronze_payments")
+_cte("quarantine_payments", _quarantined("latest_payments", RULES["payments"]), "latest_payments")
 _cte("silver_payments",
-     f"SELECT * REPLACE (upper(trim(payment_status)) AS payment_status) FROM ({_valid('latest_payments', S.PAYMENT_RULES)})",
+     f"SELECT * REPLACE (upper(trim(payment_status)) AS payment_status) FROM ({_valid('latest_payments', RULES['payments'])})",
      "latest_payments")
 
 for _e in ("users", "venues", "movies", "shows"):
     _cte(f"silver_{_e}", _dedup(f"bronze_{_e}", _e, "drop"), f"bronze_{_e}")
 
-_cte("valid_seat_holds", _valid("bronze_seat_holds", S.SEAT_HOLD_RULES), "bronze_seat_holds")
+_cte("valid_seat_holds", _valid("bronze_seat_holds", RULES["seat_holds"]), "bronze_seat_holds")
 _cte("silver_seat_holds", _dedup("valid_seat_holds", "seat_holds", "drop"), "valid_seat_holds")
-_cte("quarantine_seat_holds", _quarantined("bronze_seat_holds", S.SEAT_HOLD_RULES), "bronze_seat_holds")
+_cte("quarantine_seat_holds", _quarantined("bronze_seat_holds", RULES["seat_holds"]), "bronze_seat_holds")
 
-_cte("valid_promotions", _valid("bronze_promotions", S.PROMOTION_RULES), "bronze_promotions")
+_cte("valid_promotions", _valid("bronze_promotions", RULES["promotions"]), "bronze_promotions")
 _cte("silver_promotions", _dedup("valid_promotions", "promotions", "drop"), "valid_promotions")
-_cte("quarantine_promotions", _quarantined("bronze_promotions", S.PROMOTION_RULES), "bronze_promotions")
+_cte("quarantine_promotions", _quarantined("bronze_promotions", RULES["promotions"]), "bronze_promotions")
 
-_cte("latest_redemptions", _dedup("bronze_promotion_redemptions", "promotion_redemptions", "drop"),
+_cte("latest_redemptions", _dedup("bronze_promotion_redemptions", "promotion_redemptions", "bypass"),
      "bronze_promotion_redemptions")
-_cte("silver_promotion_redemptions", _valid("latest_redemptions", S.REDEMPTION_RULES), "latest_redemptions")
+_cte("silver_promotion_redemptions", _valid("latest_redemptions", RULES["promotion_redemptions"]), "latest_redemptions")
+_cte("quarantine_redemptions", _quarantined("latest_redemptions", RULES["promotion_redemptions"]), "latest_redemptions")
 
 # --- dimensions -----------------------------------------------------------------
 for _d, _src in (("dim_venue", "venues"), ("dim_show", "shows"), ("dim_user", "users")):
@@ -227,19 +295,50 @@ FROM silver_venues WHERE venue_id % 17 <> 3
 UNION ALL BY NAME
 SELECT * REPLACE (venue_id + 100000 AS venue_id) FROM silver_venues WHERE venue_id % 25 = 0""", "silver_venues")
 
-_CHANGED = "(c.capacity IS DISTINCT FROM n.capacity OR c.venue_name IS DISTINCT FROM n.venue_name)"
-_cte("scd2_merge_venue", f"""SELECT c.* FROM dim_venue c LEFT JOIN venues_next n ON c.venue_id = n.venue_id
-WHERE c.is_current AND (n.venue_id IS NULL OR NOT {_CHANGED})
+_cte("venues_third", """SELECT * REPLACE (
+  CASE WHEN venue_id % 20 = 0 THEN capacity + 30 ELSE capacity END AS capacity,
+  CASE WHEN venue_id % 9 = 4 THEN venue_name || ' II' ELSE venue_name END AS venue_name) FROM venues_next""", "venues_next")
+
+_cte("shows_next", """SELECT * REPLACE (
+  CASE WHEN show_id % 9 = 0 THEN base_price + 25.0 ELSE base_price END AS base_price,
+  CASE WHEN show_id % 14 = 1 THEN NULL ELSE screen_no END AS screen_no,
+  CASE WHEN show_id % 8 = 2 THEN show_time + INTERVAL 1 HOUR ELSE show_time END AS show_time)
+FROM silver_shows WHERE show_id % 23 <> 5
 UNION ALL BY NAME
-SELECT c.* REPLACE ({_ts(MERGE_AS_OF)} AS effective_end, false AS is_current)
-FROM dim_venue c JOIN venues_next n ON c.venue_id = n.venue_id
-WHERE c.is_current AND {_CHANGED}
+SELECT * REPLACE (show_id + 5000000 AS show_id) FROM silver_shows WHERE show_id % 40 = 0""", "silver_shows")
+
+_cte("users_next", """SELECT * REPLACE (
+  CASE WHEN user_id % 11 = 0 THEN city || ' North' ELSE city END AS city,
+  CASE WHEN user_id % 31 = 2 THEN NULL ELSE name END AS name,
+  CASE WHEN user_id % 13 = 0 THEN '+440000000000' ELSE phone END AS phone) FROM silver_users""", "silver_users")
+
+
+def _merged(dim: str, snapshot: str, key: str, tracked: list[str], as_of: str, close_missing: bool = False) -> str:
+    """Rows of ``dim`` after a merge, case by case."""
+    changed = "(" + " OR ".join(f"c.{t} IS DISTINCT FROM n.{t}" for t in tracked) + ")"
+    ended = f"c.* REPLACE ({_ts(as_of)} AS effective_end, false AS is_current)"
+    gone = ended if close_missing else "c.*"
+    return f"""SELECT * FROM {dim} WHERE NOT is_current
+UNION ALL BY NAME
+SELECT {gone} FROM {dim} c WHERE c.is_current AND c.{key} NOT IN (SELECT {key} FROM {snapshot})
+UNION ALL BY NAME
+SELECT c.* FROM {dim} c JOIN {snapshot} n ON c.{key} = n.{key} WHERE c.is_current AND NOT {changed}
 UNION ALL BY NAME
-SELECT n.*, {_ts(MERGE_AS_OF)} AS effective_start, CAST(NULL AS TIMESTAMP) AS effective_end, true AS is_current
-FROM venues_next n LEFT JOIN (SELECT * FROM dim_venue WHERE is_current) c ON c.venue_id = n.venue_id
-WHERE c.venue_id IS NULL OR {_CHANGED}
+SELECT {ended} FROM {dim} c JOIN {snapshot} n ON c.{key} = n.{key} WHERE c.is_current AND {changed}
 UNION ALL BY NAME
-SELECT * FROM dim_venue WHERE NOT is_current""", "dim_venue", "venues_next")
+SELECT n.*, {_ts(as_of)} AS effective_start, CAST(NULL AS TIMESTAMP) AS effective_end, true AS is_current
+FROM {snapshot} n LEFT JOIN (SELECT * FROM {dim} WHERE is_current) c ON c.{key} = n.{key}
+WHERE c.{key} IS NULL OR {changed}"""
+
+
+_VENUE = ("venue_id", ["capacity", "venue_name"])
+_cte("scd2_merge_venue", _merged("dim_venue", "venues_next", *_VENUE, MERGE_AS_OF), "dim_venue", "venues_next")
+_cte("scd2_close_missing_venue", _merged("dim_venue", "venues_next", *_VENUE, MERGE_AS_OF, True), "dim_venue", "venues_next")
+_cte("scd2_three_snapshots_venue", _merged("scd2_merge_venue", "venues_third", *_VENUE, THIRD_AS_OF),
+     "scd2_merge_venue", "venues_third")
+_cte("scd2_merge_show", _merged("dim_show", "shows_next", "show_id", ["base_price", "screen_no"], MERGE_AS_OF),
+     "dim_show", "shows_next")
+_cte("scd2_merge_user", _merged("dim_user", "users_next", "user_id", ["city", "name"], MERGE_AS_OF), "dim_user", "users_next")
 
 # --- facts and marts -----------------------------------------------------------
 _cte("fact_bookings", """SELECT b.*, s.movie_id, s.venue_id, s.show_time, s.base_price,
@@ -258,7 +357,7 @@ _cte("fact_seat_occupancy", """SELECT s.show_id, s.venue_id, s.show_time, v.capa
        THEN round(coalesce(o.occupied_seats, 0) / v.capacity * 100, 2) END AS occupancy_pct
 FROM (SELECT show_id, venue_id, show_time FROM dim_show WHERE is_current) s
 LEFT JOIN (SELECT venue_id, capacity FROM dim_venue WHERE is_current) v ON s.venue_id = v.venue_id
-LEFT JOIN (SELECT show_id, count(seat_no) AS occupied_seats FROM silver_seat_holds
+LEFT JOIN (SELECT show_id, count(DISTINCT seat_no) AS occupied_seats FROM silver_seat_holds
            WHERE hold_status IN ('HELD', 'BOOKED') GROUP BY show_id) o ON s.show_id = o.show_id""",
      "dim_show", "dim_venue", "silver_seat_holds")
 
@@ -301,28 +400,66 @@ def _masked(privileged: bool) -> str:
     if privileged:
         email, phone = "email", "phone"
     else:
+        # first character, three stars, everything from the last @ on
         email = ("CASE WHEN email IS NULL THEN NULL WHEN strpos(substr(email, 2), '@') > 0 "
-                 "THEN regexp_replace(email, '(^.).*(@.*$)', '\\1***\\2') ELSE '***' END")
+                 "THEN left(email, 1) || '***@' || list_last(string_split(email, '@')) ELSE '***' END")
         phone = "CASE WHEN phone IS NULL THEN NULL WHEN length(phone) > 4 THEN '******' || right(phone, 4) ELSE '******' END"
     return (f"SELECT user_id, {email} AS email, {phone} AS phone, city, signup_date, "
             "effective_start, effective_end, is_current FROM dim_user")
 
 
 # --- reports -----------------------------------------------------------------------
-def _expectation_report() -> str:
+def _expectation_report(table_of: dict[str, str]) -> str:
     parts = []
-    for table, exps in S.EXPECTATIONS.items():
-        for name, sql in exps.items():
+    for table, expectations in EXPECTATIONS.items():
+        for name, sql in expectations:
             ok = f"coalesce(({sql}), false)"
-            parts.append(f"SELECT '{table}' AS table_name, '{name}' AS expectation, "
+            parts.append(f"SELECT '{table_of[table]}' AS table_name, '{name}' AS expectation, "
                          f"count(*) FILTER (WHERE {ok}) AS passed_records, "
-                         f"count(*) FILTER (WHERE NOT {ok}) AS failed_records FROM {table}")
-    return with_ctes("\nUNION ALL\n".join(parts), *S.EXPECTATIONS)
+                         f"count(*) FILTER (WHERE NOT {ok}) AS failed_records FROM {table_of[table]}")
+    return with_ctes("\nUNION ALL\n".join(parts), *table_of.values())
 
 
 def _layer_row_counts() -> str:
-    parts = [f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {t}" for layer, t in LAYER_TABLES]
-    return with_ctes("\nUNION ALL\n".join(parts), *[t for _, t in LAYER_TABLES])
+    tables = [(layer, t) for layer, names in LAYERS.items() for t in names]
+    parts = [f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {t}" for layer, t in tables]
+    return with_ctes("\nUNION ALL\n".join(parts), *[t for _, t in tables])
+
+
+#: every so many landed lines of an entity are landed once more, cut off
+CUT_LINES = {
+    "users": "user_id % 101 = 0", "venues": "venue_id % 11 = 0", "movies": "duration_min % 13 = 0", "shows": "show_id % 101 = 0",
+    "bookings": "booking_id % 1009 = 0", "payments": "payment_id % 1009 = 0", "seat_holds": "hold_id % 101 = 0",
+    "promotions": "promotion_id % 7 = 0", "promotion_redemptions": "redemption_id % 1009 = 0",
+}
+#: what is left of an entity's rows that were landed whole
+OUTCOMES = {
+    "users": ("silver_users", None), "venues": ("silver_venues", None), "movies": ("silver_movies", None),
+    "shows": ("silver_shows", None), "bookings": ("silver_bookings", "quarantine_bookings"),
+    "payments": ("silver_payments", "quarantine_payments"), "seat_holds": ("silver_seat_holds", "quarantine_seat_holds"),
+    "promotions": ("silver_promotions", "quarantine_promotions"),
+    "promotion_redemptions": ("silver_promotion_redemptions", "quarantine_redemptions"),
+}
+
+
+def _quarantine_malformed() -> str:
+    """Per entity: lines landed, cut off, valid, quarantined, and versions that
+    a newer one or a delete supersedes."""
+    parts, names = [], []
+    for entity, (_, keys, _) in ENTITIES.items():
+        valid, quarantined = OUTCOMES[entity]
+        landed = f"landed_{entity}"
+        no_key = " OR ".join(f"{k} IS NULL" for k in keys)
+        bad = f"(SELECT count(*) FROM {quarantined})" if quarantined else f"(SELECT count(*) FROM {landed} WHERE {no_key})"
+        cut = f"(SELECT count(*) FROM {landed} WHERE {CUT_LINES[entity]})"
+        good = f"(SELECT count(*) FROM {valid})"
+        parts.append(
+            f"SELECT '{entity}' AS entity, (SELECT count(*) FROM {landed}) + {cut} AS landed_lines, {cut} AS malformed_lines, "
+            f"{good} AS valid_rows, {bad} + {cut} AS quarantined_rows, "
+            f"(SELECT count(*) FROM {landed}) - {good} - {bad} AS superseded_rows"
+        )
+        names += [landed, valid, *([quarantined] if quarantined else [])]
+    return with_ctes("\nUNION ALL\n".join(parts), *names)
 
 
 def _select(table: str) -> str:
@@ -338,10 +475,13 @@ def oracle_sql() -> dict[str, str]:
         "latest_bookings", "silver_bookings", "quarantine_bookings", "silver_payments", "silver_users",
         "silver_venues", "silver_movies", "silver_shows", "silver_seat_holds", "quarantine_seat_holds",
         "silver_promotions", "quarantine_promotions", "silver_promotion_redemptions", "dim_show", "dim_venue",
-        "dim_user", "scd2_merge_venue", "fact_bookings", "fact_payments", "fact_seat_occupancy",
+        "quarantine_payments", "quarantine_redemptions", "dim_user", "scd2_merge_venue", "scd2_merge_show",
+        "scd2_merge_user", "scd2_three_snapshots_venue", "scd2_close_missing_venue", "fact_bookings", "fact_payments", "fact_seat_occupancy",
         "fact_promotion_redemptions", "gold_daily_revenue", "gold_promotion_performance",
         "gold_user_booking_summary")}
-    q["bronze_bookings"] = _select("bronze_bookings")
+    q.update({f"bronze_{e}": _select(f"bronze_{e}") for e in ENTITIES})
+    q["quarantine_malformed"] = _quarantine_malformed()
+    q["dim_venue_after_failed_run"] = _select("scd2_merge_venue")
     q["incremental_dim_venue"] = _select("scd2_merge_venue")
     q["dim_venue_history"] = with_ctes("SELECT * FROM scd2_merge_venue ORDER BY venue_id, effective_start",
                                        "scd2_merge_venue")
@@ -353,8 +493,10 @@ def oracle_sql() -> dict[str, str]:
                                "total_revenue DESC NULLS LAST, booking_date ASC NULLS LAST, venue_id ASC NULLS LAST")
     q["dim_user_masked"] = with_ctes(_masked(False), "dim_user")
     q["dim_user_unmasked"] = with_ctes(_masked(True), "dim_user")
-    q["expectation_report"] = _expectation_report()
+    q["expectation_report"] = _expectation_report({t: t for t in EXPECTATIONS})
+    q["expectation_report_bronze"] = _expectation_report({t: t.replace("silver", "bronze") for t in EXPECTATIONS})
     q["layer_row_counts"] = _layer_row_counts()
     q["stream_bronze_events"] = _select("bronze_seat_holds")
     q["stream_silver_seat_state"] = _select("silver_seat_holds")
+    q["stream_seat_state_resized"] = _select("silver_seat_holds")
     return q

@@ -10,14 +10,15 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquee.operators.quality import expectation_metrics
+from marquee.operators.quality import FAILURES, expectation_metrics
 from marquee.plans import layered, marts, silver
-from marquee.plans.catalog import INGESTED_AT, Tables
+from marquee.plans.catalog import ENTITIES, INGESTED_AT, Tables
 from marquee.plans.views import create_user_view, user_view
 from marquee.session import run_folder
 from marquee.sources import conform
-from marquee.sources.landing import bronze, read_json, write_json
+from marquee.sources.landing import CORRUPT, bronze, read_json, write_json, write_with_cut_lines
 from marquee.streaming import runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +32,45 @@ def _table(name: str) -> Query:
     return run
 
 
-def bronze_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch JSON scan of the landed files against the declared contract."""
-    landing = f"{run_folder(spark, 'landing')}/bookings"
-    write_json(conform.landed(spark, sf_dir, "bookings"), landing)
-    return bronze(read_json(spark, f"{landing}/*.json", "bookings"), "bookings", INGESTED_AT)
+def _bronze(entity: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Batch JSON scan of the landed files against the declared contract."""
+        landing = f"{run_folder(spark, 'landing')}/{entity}"
+        write_json(conform.landed(spark, sf_dir, entity), landing)
+        return bronze(read_json(spark, f"{landing}/*.json", entity), entity, INGESTED_AT)
+
+    run.__name__ = f"bronze_{entity}"
+    return run
+
+
+def quarantine_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine entities landed with lines cut off, read back, and accounted
+    for: per entity the landed and malformed lines, valid and quarantined rows,
+    and the versions that a newer one or a delete supersedes."""
+    root = run_folder(spark, "landing-cut")
+    out = None
+    for entity in ENTITIES:
+        write_with_cut_lines(conform.landed(spark, sf_dir, entity), f"{root}/{entity}", entity)
+        lines = read_json(spark, f"{root}/{entity}", entity, keep_corrupt=True)
+        bronze(lines, entity, INGESTED_AT).write.parquet(f"{root}/bronze_{entity}")
+        landed = spark.read.parquet(f"{root}/bronze_{entity}")
+        valid, quarantined = silver.clean(landed, entity)
+        parts = [
+            landed.select(F.lit("landed_lines").alias("what"), F.lit(1).alias("n")),
+            valid.select(F.lit("valid_rows").alias("what"), F.lit(1).alias("n")),
+            quarantined.select(F.lit("quarantined_rows").alias("what"), F.lit(1).alias("n")),
+            quarantined.where(F.col(FAILURES) == silver.PARSE_FAILURE).select(F.lit("malformed_lines").alias("what"), F.lit(1).alias("n")),
+        ]
+        counted = parts[0]
+        for part in parts[1:]:
+            counted = counted.unionByName(part)
+        sums = {w: F.coalesce(F.sum(F.when(F.col("what") == w, F.col("n"))), F.lit(0)).alias(w)
+                for w in ("landed_lines", "malformed_lines", "valid_rows", "quarantined_rows")}
+        row = counted.agg(*sums.values()).select(
+            F.lit(entity).alias("entity"), *sums, F.expr("landed_lines - valid_rows - quarantined_rows").alias("superseded_rows")
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def dim_user_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +94,26 @@ def expectation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def scd2_merge_venue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Tables(spark, sf_dir).scd2_merge_venue()
+def expectation_report_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same expectations on the rows as they arrive, where they fail."""
+    t = Tables(spark, sf_dir)
+    out = None
+    for table, expectations in silver.EXPECTATIONS.items():
+        entity = table.removeprefix("silver_")
+        part = expectation_metrics(t.bronze(entity), f"bronze_{entity}", expectations)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _merged(dim: str, on_missing: str = "keep") -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return Tables(spark, sf_dir).merged_dim(dim, on_missing)
+
+    return run
+
+
+def scd2_three_snapshots_venue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Tables(spark, sf_dir).scd2_three_snapshots_venue()
 
 
 def dim_venue_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +129,7 @@ def _top(report: Callable[[DataFrame], DataFrame], table: str) -> Query:
 
 
 def stream_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.stream_bronze(spark, sf_dir, "seat_holds", INGESTED_AT)
+    return runs.stream_bronze(spark, sf_dir, "seat_holds", INGESTED_AT).drop(CORRUPT)
 
 
 def stream_silver_seat_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,19 +137,33 @@ def stream_silver_seat_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state
 
 
+def stream_seat_state_resized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second delivery's run asks for another number of buckets."""
+    state, _ = runs.stream_seat_state(spark, sf_dir, INGESTED_AT, buckets=(4, 6))
+    return state
+
+
 QUERIES: dict[str, Query] = {
-    "bronze_bookings": bronze_bookings,
+    **{f"bronze_{entity}": _bronze(entity) for entity in ENTITIES},
+    "quarantine_malformed": quarantine_malformed,
     **{name: _table(name) for name in (
         "latest_bookings", "silver_bookings", "quarantine_bookings", "silver_payments", "silver_users",
         "silver_venues", "silver_movies", "silver_shows", "silver_seat_holds", "quarantine_seat_holds",
         "silver_promotions", "quarantine_promotions", "silver_promotion_redemptions",
+        "quarantine_payments", "quarantine_redemptions",
         "dim_show", "dim_venue", "dim_user",
         "fact_bookings", "fact_payments", "fact_seat_occupancy", "fact_promotion_redemptions",
         "gold_daily_revenue", "gold_promotion_performance", "gold_user_booking_summary",
     )},
     "expectation_report": expectation_report,
     "layer_row_counts": layered.layer_row_counts,
-    "scd2_merge_venue": scd2_merge_venue,
+    "expectation_report_bronze": expectation_report_bronze,
+    "scd2_merge_venue": _merged("dim_venue"),
+    "scd2_merge_show": _merged("dim_show"),
+    "scd2_merge_user": _merged("dim_user"),
+    "scd2_close_missing_venue": _merged("dim_venue", "close"),
+    "scd2_three_snapshots_venue": scd2_three_snapshots_venue,
+    "dim_venue_after_failed_run": layered.dim_venue_after_failed_run,
     "incremental_dim_venue": layered.incremental_dim_venue,
     "dim_venue_history": dim_venue_history,
     "top_shows_by_occupancy": _top(marts.top_shows_by_occupancy, "fact_seat_occupancy"),
@@ -107,5 +174,6 @@ QUERIES: dict[str, Query] = {
     "dim_user_unmasked": dim_user_unmasked,
     "stream_bronze_events": stream_bronze_events,
     "stream_silver_seat_state": stream_silver_seat_state,
+    "stream_seat_state_resized": stream_seat_state_resized,
 }
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marquee import contracts as C
 from marquee.operators.cdc import drop_tombstones, keys_present, latest_by_key
-from marquee.operators.quality import FAILURES, Rule, gate, passes_all
+from marquee.operators.quality import FAILURES, Rule, gate
 from marquee.sources.landing import CORRUPT
 
 
@@ -35,6 +35,7 @@ BOOKING_RULES = [
 ]
 
 PAYMENT_RULES = [
+    Rule("payment_id_present", _present("payment_id")),
     Rule("booking_id_present", _present("booking_id")),
     Rule("amount_non_negative", "amount IS NOT NULL AND amount >= 0"),
 ]
@@ -53,6 +54,7 @@ PROMOTION_RULES = [
 ]
 
 REDEMPTION_RULES = [
+    Rule("redemption_id_present", _present("redemption_id")),
     Rule("promotion_id_present", _present("promotion_id")),
     Rule("booking_id_present", _present("booking_id")),
     Rule("discount_amount_non_negative", "discount_amount IS NOT NULL AND discount_amount >= 0"),
@@ -89,11 +91,6 @@ def _with_malformed(
     return valid.drop(CORRUPT), quarantined.unionByName(malformed)
 
 
-def _parsed_only(df: DataFrame) -> DataFrame:
-    parsed, malformed = split_parsed(df)
-    return parsed if malformed is None else parsed.drop(CORRUPT)
-
-
 def _normalise(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.upper(F.trim(F.col(col))))
 
@@ -131,15 +128,26 @@ def clean_bookings(
     return _with_malformed(_normalise(valid, "booking_status"), quarantined.unionByName(unkeyed), malformed)
 
 
-def clean_payments(bronze: DataFrame) -> DataFrame:
-    """Dedup on payment_id -> drop bad references and amounts -> normalise status."""
-    latest = latest_by_key(_parsed_only(bronze), C.KEYS["payments"], C.version_order("payments"), null_keys="drop")
-    return _normalise(latest.filter(passes_all(PAYMENT_RULES)), "payment_status")
+def _dedup_then_gate(bronze: DataFrame, entity: str, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
+    """(valid newest versions, quarantine): the newest version of a key stands
+    for it; rows without a key and malformed lines are quarantined. The valid
+    side keeps the dedup's partitioning on the key."""
+    keys = C.KEYS[entity]
+    parsed, malformed = split_parsed(bronze)
+    valid, bad = gate(latest_by_key(parsed, keys, C.version_order(entity), null_keys="drop"), rules)
+    _, unkeyed = gate(parsed.filter(~keys_present(keys)), rules)
+    return _with_malformed(valid, bad.unionByName(unkeyed), malformed)
+
+
+def clean_payments(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Dedup on payment_id -> gate on references and amounts -> normalise status."""
+    valid, quarantined = _dedup_then_gate(bronze, "payments", PAYMENT_RULES)
+    return _normalise(valid, "payment_status"), quarantined
 
 
-def clean_dimension(bronze: DataFrame, entity: str) -> DataFrame:
-    """Drop NULL keys, then keep the newest version per key."""
-    return latest_by_key(_parsed_only(bronze), C.KEYS[entity], C.version_order(entity), null_keys="drop")
+def clean_dimension(bronze: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
+    """Newest version per key; rows without a key are quarantined."""
+    return _dedup_then_gate(bronze, entity, [Rule(f"{k}_present", _present(k)) for k in C.KEYS[entity]])
 
 
 def clean_seat_holds(bronze: DataFrame, null_safe: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -161,9 +169,18 @@ def clean_promotions(bronze: DataFrame, null_safe: bool = True) -> tuple[DataFra
     return _with_malformed(latest, quarantined, malformed)
 
 
-def clean_redemptions(bronze: DataFrame) -> DataFrame:
-    """Dedup on redemption_id -> drop bad references and discounts."""
-    latest = latest_by_key(
-        _parsed_only(bronze), C.KEYS["promotion_redemptions"], C.version_order("promotion_redemptions"), null_keys="drop"
-    )
-    return latest.filter(passes_all(REDEMPTION_RULES))
+def clean_redemptions(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Dedup on redemption_id -> gate on references and discounts."""
+    return _dedup_then_gate(bronze, "promotion_redemptions", REDEMPTION_RULES)
+
+
+def clean(bronze: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantine) of any entity."""
+    gates = {
+        "bookings": clean_bookings,
+        "payments": clean_payments,
+        "seat_holds": clean_seat_holds,
+        "promotions": clean_promotions,
+        "promotion_redemptions": clean_redemptions,
+    }
+    return gates[entity](bronze) if entity in gates else clean_dimension(bronze, entity)

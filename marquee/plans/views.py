@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.functions.masking import mask_email, mask_phone
+from marquee.functions.masking import email_sql, mask_email, mask_phone, phone_sql
 
 VIEW_COLUMNS = ("user_id", "email", "phone", "city", "signup_date", "effective_start", "effective_end", "is_current")
 
@@ -25,12 +25,7 @@ def user_view(dim_user: DataFrame, privileged: bool = False) -> DataFrame:
 def create_user_view(spark: SparkSession, source_view: str, view_name: str, privileged: bool = False) -> DataFrame:
     """``CREATE OR REPLACE TEMP VIEW`` over a registered dimension view; returns
     ``spark.table(view_name)``."""
-    if privileged:
-        email, phone = "email", "phone"
-    else:
-        email = ("CASE WHEN email IS NULL THEN NULL WHEN locate('@', email, 2) > 0 "
-                 "THEN regexp_replace(email, '(^.).*(@.*$)', '$1***$2') ELSE '***' END")
-        phone = "CASE WHEN phone IS NULL THEN NULL WHEN length(phone) > 4 THEN concat('******', right(phone, 4)) ELSE '******' END"
+    email, phone = ("email", "phone") if privileged else (email_sql("email"), phone_sql("phone"))
     spark.sql(
         f"CREATE OR REPLACE TEMP VIEW {view_name} AS SELECT user_id, {email} AS email, {phone} AS phone, "
         f"city, signup_date, effective_start, effective_end, is_current FROM {source_view}"

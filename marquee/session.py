@@ -73,8 +73,8 @@ def shared_root(spark: SparkSession) -> str:
     """Base folder for snapshots, landing files and stream checkpoints.
 
     On a cluster this is the shared folder named by ``spark.checkpoint.dir``;
-    it is read from the session and only set here when it is unset (tests,
-    local runs).
+    it is read from the session. Only a local master may go without: there
+    driver and executors are one process, and a temporary folder is set.
     """
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -83,6 +83,9 @@ def shared_root(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a per-context uuid folder; share its parent
         return os.path.dirname(current.rstrip("/"))
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
     local = tempfile.mkdtemp(prefix="marquee-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

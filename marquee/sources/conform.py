@@ -63,9 +63,10 @@ LINE_KEY = "l_orderkey * 10 + l_linenumber"
 def bookings(src: Sources) -> DataFrame:
     rows = src("lineitem").join(src("orders"), F.expr("l_orderkey = o_orderkey"))
     return _project(rows, "bookings", {
-        "booking_id": LINE_KEY,
+        "booking_id": f"CASE WHEN l_linenumber = 7 AND l_discount = 0.07 THEN NULL ELSE {LINE_KEY} END",
         "user_id": "CASE WHEN l_linenumber = 2 AND l_returnflag = 'A' AND l_discount = 0 THEN NULL ELSE o_custkey END",
-        "show_id": "l_partkey",
+        # some bookings name a show that does not exist
+        "show_id": "CASE WHEN l_partkey % 50 = 7 THEN l_partkey + 10000000 ELSE l_partkey END",
         "num_seats": "l_quantity",
         "total_amount": "CASE WHEN l_linenumber = 1 AND l_discount = 0 THEN -l_extendedprice ELSE l_extendedprice END",
         "booking_status": """CASE WHEN l_linenumber = 7 AND l_returnflag = 'N' THEN 'UNKNOWN'
@@ -80,12 +81,13 @@ def bookings(src: Sources) -> DataFrame:
 
 
 def payments(src: Sources) -> DataFrame:
-    return _project(src("lineitem").filter("l_linestatus = 'F'"), "payments", {
-        "payment_id": LINE_KEY,
+    return _project(src("lineitem"), "payments", {
+        "payment_id": f"CASE WHEN l_linenumber = 6 AND l_discount = 0.02 THEN NULL ELSE {LINE_KEY} END",
         "booking_id": f"CASE WHEN l_linenumber = 3 AND l_discount = 0.05 THEN NULL ELSE {LINE_KEY} END",
         "amount": "CASE WHEN l_linenumber = 4 AND l_discount = 0 THEN -l_extendedprice ELSE l_extendedprice END",
         "payment_method": "CASE l_linenumber % 3 WHEN 0 THEN 'CARD' WHEN 1 THEN 'UPI' ELSE 'WALLET' END",
-        "payment_status": "CASE WHEN l_returnflag = 'R' THEN ' refunded' ELSE 'Success ' END",
+        "payment_status": """CASE WHEN l_linestatus = 'O' THEN ' pending '
+            WHEN l_returnflag = 'R' THEN ' refunded' ELSE 'Success ' END""",
         "payment_time": "l_shipdate",
         "updated_at": "l_shipdate",
     })
@@ -93,6 +95,7 @@ def payments(src: Sources) -> DataFrame:
 
 def _email(key: str) -> str:
     return (f"CASE WHEN {key} % 97 = 0 THEN concat('user', CAST({key} AS STRING), '.example.com') "
+            f"WHEN {key} % 83 = 0 THEN concat('user', CAST({key} AS STRING), char(10), 'name@example.com') "
             f"ELSE concat('user', CAST({key} AS STRING), '@example.com') END")
 
 
@@ -156,7 +159,7 @@ def venues(src: Sources) -> DataFrame:
 
 
 def shows(src: Sources) -> DataFrame:
-    part = src("part").filter("p_partkey % 50 <> 7")
+    part = src("part")
 
     def show_rows(where: str, show_id: str, price: str, updated: str) -> DataFrame:
         return _project(part.filter(where), "shows", {
@@ -219,7 +222,7 @@ def promotions(src: Sources) -> DataFrame:
 def promotion_redemptions(src: Sources) -> DataFrame:
     share = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2))"
     return _project(src("lineitem").filter("l_discount > 0"), "promotion_redemptions", {
-        "redemption_id": LINE_KEY,
+        "redemption_id": f"CASE WHEN l_linenumber = 7 AND l_discount = 0.04 THEN NULL ELSE {LINE_KEY} END",
         "promotion_id": "CASE WHEN l_linenumber = 5 AND l_discount = 0.03 THEN NULL ELSE l_suppkey % 25 END",
         "booking_id": LINE_KEY,
         "discount_amount": f"""CASE WHEN l_discount = 0.1 THEN l_extendedprice * 2
@@ -246,14 +249,44 @@ def landed(spark: SparkSession, sf_dir: str, entity: str, src: Sources | None =
     return ENTITIES[entity](src or Sources(spark, sf_dir))
 
 
+def _replaced(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{exprs[c]} AS {c}" if c in exprs else c for c in df.columns])
+
+
 def venues_next_snapshot(silver_venues: DataFrame) -> DataFrame:
     """Second full venue snapshot for the SCD2 merge: some venues gone,
     some with +60 capacity, some new ids."""
-    kept = silver_venues.filter("venue_id % 17 <> 3").selectExpr(*[
-        "CASE WHEN venue_id % 10 = 0 THEN capacity + 60 ELSE capacity END AS capacity" if c == "capacity" else c
-        for c in silver_venues.columns
-    ])
-    added = silver_venues.filter("venue_id % 25 = 0").selectExpr(*[
-        "venue_id + 100000 AS venue_id" if c == "venue_id" else c for c in silver_venues.columns
-    ])
+    kept = _replaced(
+        silver_venues.filter("venue_id % 17 <> 3"),
+        {"capacity": "CASE WHEN venue_id % 10 = 0 THEN capacity + 60 ELSE capacity END"},
+    )
+    added = _replaced(silver_venues.filter("venue_id % 25 = 0"), {"venue_id": "venue_id + 100000"})
     return kept.unionByName(added)
+
+
+def venues_third_snapshot(next_snapshot: DataFrame) -> DataFrame:
+    """Third snapshot: some capacities change a second time, some names change."""
+    return _replaced(next_snapshot, {
+        "capacity": "CASE WHEN venue_id % 20 = 0 THEN capacity + 30 ELSE capacity END",
+        "venue_name": "CASE WHEN venue_id % 9 = 4 THEN concat(venue_name, ' II') ELSE venue_name END",
+    })
+
+
+def shows_next_snapshot(silver_shows: DataFrame) -> DataFrame:
+    """Prices and screens change, untracked times change, some shows are gone,
+    some are new."""
+    kept = _replaced(silver_shows.filter("show_id % 23 <> 5"), {
+        "base_price": "CASE WHEN show_id % 9 = 0 THEN base_price + 25.0D ELSE base_price END",
+        "screen_no": "CASE WHEN show_id % 14 = 1 THEN CAST(NULL AS INT) ELSE screen_no END",
+        "show_time": "CASE WHEN show_id % 8 = 2 THEN show_time + INTERVAL 1 HOUR ELSE show_time END",
+    })
+    return kept.unionByName(_replaced(silver_shows.filter("show_id % 40 = 0"), {"show_id": "show_id + 5000000"}))
+
+
+def users_next_snapshot(silver_users: DataFrame) -> DataFrame:
+    """Cities and names change, untracked phones change, nobody is gone."""
+    return _replaced(silver_users, {
+        "city": "CASE WHEN user_id % 11 = 0 THEN concat(city, ' North') ELSE city END",
+        "name": "CASE WHEN user_id % 31 = 2 THEN CAST(NULL AS STRING) ELSE name END",
+        "phone": "CASE WHEN user_id % 13 = 0 THEN '+440000000000' ELSE phone END",
+    })

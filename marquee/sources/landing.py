@@ -41,6 +41,29 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").options(**JSON_OPTIONS).json(path)
 
 
+# by entity, which landed rows are landed once more with their line cut off
+CUT_LINES = {
+    "users": "user_id % 101 = 0",
+    "venues": "venue_id % 11 = 0",
+    "movies": "duration_min % 13 = 0",
+    "shows": "show_id % 101 = 0",
+    "bookings": "booking_id % 1009 = 0",
+    "payments": "payment_id % 1009 = 0",
+    "seat_holds": "hold_id % 101 = 0",
+    "promotions": "promotion_id % 7 = 0",
+    "promotion_redemptions": "redemption_id % 1009 = 0",
+}
+
+
+def write_with_cut_lines(df: DataFrame, path: str, entity: str) -> None:
+    """Land every row as a JSON line, and the rows of ``CUT_LINES`` once more
+    with the second half of the line missing, as a transfer that broke off
+    leaves it."""
+    line = F.to_json(F.struct(*df.columns), JSON_OPTIONS)
+    cut = f"CASE WHEN {CUT_LINES[entity]} THEN array(line, left(line, CAST(length(line) / 2 AS INT))) ELSE array(line) END"
+    df.withColumn("line", line).select(F.explode(F.expr(cut)).alias("value")).write.mode("errorifexists").text(path)
+
+
 def read_json(spark: SparkSession, path: str, entity: str, keep_corrupt: bool = False) -> DataFrame:
     """Batch scan of every landed file under ``path`` (globs allowed).
 

@@ -10,16 +10,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee import contracts as C
-from marquee.sources.landing import JSON_OPTIONS, add_ingestion_metadata
+from marquee.sources.landing import CORRUPT, JSON_OPTIONS, add_ingestion_metadata, with_corrupt_column
+
+
+# a backlog is worked off in batches of so many files
+MAX_FILES_PER_TRIGGER = 1000
 
 
 def read_landing_stream(
-    spark: SparkSession, landing_dir: str, entity: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, landing_dir: str, entity: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER
 ) -> DataFrame:
-    reader = spark.readStream.options(**JSON_OPTIONS).schema(C.CONTRACTS[entity])
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing_dir)
+    """Landed lines as they arrive; the raw text of a malformed line is kept in
+    ``_corrupt_record``, so nothing that was landed is lost."""
+    return (
+        spark.readStream.options(**JSON_OPTIONS)
+        .schema(with_corrupt_column(C.CONTRACTS[entity]))
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .json(landing_dir)
+    )
 
 
 def ingest_available(

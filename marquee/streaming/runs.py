@@ -34,22 +34,26 @@ def stream_bronze(spark: SparkSession, sf_dir: str, entity: str, ingested_at: st
     return spark.read.parquet(bronze_dir)
 
 
-def stream_seat_state(spark: SparkSession, sf_dir: str, ingested_at: str | None) -> tuple[DataFrame, DataFrame]:
+def stream_seat_state(
+    spark: SparkSession, sf_dir: str, ingested_at: str | None, buckets: tuple[int, int] = (8, 8)
+) -> tuple[DataFrame, DataFrame]:
     """Seat holds: gate each micro-batch, upsert the latest state per seat.
 
-    Returns (latest state, quarantined rows).
+    ``buckets`` are the bucket counts that the two runs ask for; the state
+    keeps the first. Returns (latest state, quarantined rows).
     """
     root = run_folder(spark, "stream-seat-state")
     landing = f"{root}/landing"
-    sink = LatestStateSink(
-        spark,
-        state_dir=f"{root}/state",
-        quarantine_dir=f"{root}/quarantine",
-        keys=C.KEYS["seat_holds"],
-        order_cols=C.version_order("seat_holds"),
-        rules=silver.SEAT_HOLD_RULES,
-    )
     for i, part in enumerate(deliveries(conform.landed(spark, sf_dir, "seat_holds")), start=1):
+        sink = LatestStateSink(
+            spark,
+            state_dir=f"{root}/state",
+            quarantine_dir=f"{root}/quarantine",
+            keys=C.KEYS["seat_holds"],
+            order_cols=C.version_order("seat_holds"),
+            rules=silver.SEAT_HOLD_RULES,
+            buckets=buckets[i - 1],
+        )
         write_json(part, f"{landing}/delivery-{i}")
         stream = add_ingestion_metadata(
             read_landing_stream(spark, f"{landing}/*", "seat_holds"), C.SOURCE_SYSTEMS["seat_holds"], ingested_at

@@ -10,29 +10,43 @@ merged into a state table by hand:
 3. state rows and batch rows of those buckets (at most two rows per key) are
    repartitioned by bucket and reduced again, so each bucket is one task
    and one file;
-4. the touched buckets are rewritten with dynamic partition overwrite.
-
-The cost of a batch follows the batch, not the size of the state. Size
-``buckets`` so that one bucket of the state is a few hundred MB; the default
-is one bucket per core.
-
-Re-running a batch (after a failure) gives the same state: the newest row
-per key of (state + batch) does not change when the batch is already in it.
-Quarantined rows go to a folder per batch id, overwritten on a re-run.
+4. the touched buckets are written as a new version next to the old ones, and
+   one commit record makes them the state's.
+
+Nothing that can be read is ever overwritten: a batch that breaks off before
+its commit leaves the state as it was, and its replay starts the version anew.
+A batch whose commit is there is not applied again. The commit records also
+hold the number of buckets, which is the state's for good: a later run that
+asks for another number gets the stored one, so a key never has two homes.
+
+The cost of a batch follows the batch, not the size of the state. Choose
+``buckets`` as the expected size of the state over ``BUCKET_BYTES``. Bucket
+versions that newer ones replace can be deleted at any time
+(``superseded()`` names them).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from marquee.operators.cdc import latest_by_key
 from marquee.operators.quality import Rule, gate
+from marquee.plans.silver import split_parsed
+from marquee.sources.landing import CORRUPT
 
 BUCKET = "state_bucket"
+VERSION = "state_version"
+#: what one bucket of the state should hold
+BUCKET_BYTES = 256 << 20
+COMMITS = "batch_id long, version long, buckets int, bucket int"
+
+
+def buckets_for(state_bytes: int) -> int:
+    return max(1, -(-state_bytes // BUCKET_BYTES))
 
 
 class LatestStateSink:
@@ -44,60 +58,96 @@ class LatestStateSink:
         keys: Sequence[str],
         order_cols: Sequence[str],
         rules: Sequence[Rule],
-        buckets: int | None = None,
+        buckets: int = 32,
     ) -> None:
-        """``buckets`` defaults to the cluster's core count: one bucket per core,
-        so a batch that touches every bucket rewrites them with full
-        parallelism. The state holds one row per key, far less than the
-        session's largest shuffle, so the shuffle partition count would be too
-        fine a split for it."""
+        """``buckets`` counts only for a state that does not exist yet."""
         self.spark = spark
         self.state_dir = state_dir
         self.quarantine_dir = quarantine_dir
         self.keys = list(keys)
         self.order_cols = list(order_cols)
         self.rules = list(rules)
-        self.buckets = buckets or spark.sparkContext.defaultParallelism
-
-    def _bucket(self):
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    def _state(self, schema: StructType) -> DataFrame:
-        # an empty state is created on first use ("ignore" is a no-op once it
-        # exists), so the first batch reads an empty table instead of failing
-        self.spark.createDataFrame([], schema).write.mode("ignore").partitionBy(BUCKET).parquet(self.state_dir)
-        return self.spark.read.schema(schema).parquet(self.state_dir)
+        self.requested = buckets
+
+    @property
+    def _data(self) -> str:
+        return f"{self.state_dir}/data"
+
+    def _commits(self) -> DataFrame:
+        # an empty log is created on first use ("ignore" is a no-op once it exists)
+        log = f"{self.state_dir}/commits"
+        self.spark.createDataFrame([], COMMITS).write.mode("ignore").parquet(log)
+        return self.spark.read.schema(COMMITS).parquet(log)
+
+    def committed(self) -> tuple[int, int, int, dict[int, int]]:
+        """(last batch, last version, number of buckets, version per bucket):
+        one row per bucket reaches the driver."""
+        rows = (
+            self._commits().groupBy("bucket")
+            .agg(F.max("batch_id").alias("b"), F.max("version").alias("v"), F.max("buckets").alias("n")).collect()
+        )
+        if not rows:
+            return -1, 0, self.requested, {}
+        return (
+            max(r["b"] for r in rows), max(r["v"] for r in rows), rows[0]["n"],
+            {r["bucket"]: r["v"] for r in rows if r["bucket"] >= 0},
+        )
+
+    @staticmethod
+    def _is(versions: dict[int, int]) -> Column:
+        """Rows of the given version of each bucket, as partition predicates."""
+        by_version: dict[int, list[int]] = {}
+        for bucket, version in sorted(versions.items()):
+            by_version.setdefault(version, []).append(bucket)
+        out = F.lit(False)
+        for version, buckets in by_version.items():
+            out = out | ((F.col(VERSION) == version) & F.col(BUCKET).isin(buckets))
+        return out
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        valid, quarantined = gate(batch, self.rules)
-        quarantined.write.mode("overwrite").parquet(f"{self.quarantine_dir}/batch={batch_id}")
-
-        batch_latest = latest_by_key(valid, self.keys, self.order_cols, null_keys="drop")
-        batch_latest = batch_latest.withColumn(BUCKET, self._bucket()).persist()
+        last_batch, last_version, buckets, versions = self.committed()
+        if batch_id <= last_batch:
+            return  # replayed after its commit
+        parsed, malformed = split_parsed(batch)
+        valid, quarantined = gate(parsed, self.rules)
+        if malformed is not None:
+            valid, quarantined = valid.drop(CORRUPT), quarantined.unionByName(malformed)
+        static = {"partitionOverwriteMode": "static"}
+        quarantined.write.mode("overwrite").options(**static).parquet(f"{self.quarantine_dir}/batch={batch_id}")
+
+        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(buckets)).cast("int")
+        newest = latest_by_key(valid, self.keys, self.order_cols, null_keys="drop").withColumn(BUCKET, bucket).persist()
         try:
             # at most `buckets` small ints reach the driver
-            touched = sorted(r[0] for r in batch_latest.select(BUCKET).distinct().collect())
-            if not touched:
-                return
-            state = self._state(batch_latest.schema)
-            merged = state.filter(F.col(BUCKET).isin(touched)).unionByName(batch_latest)
-            newest = latest_by_key(
-                merged.repartition(F.col(BUCKET)), [BUCKET, *self.keys], self.order_cols, null_keys="drop"
-            )
-            # the state folder is read above and overwritten below: cut the
-            # lineage with a reliable checkpoint in the shared checkpoint dir
-            newest = newest.checkpoint(eager=True)
-            (
-                newest.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(BUCKET)
-                .parquet(self.state_dir)
-            )
+            touched = sorted(r[0] for r in newest.select(BUCKET).distinct().collect())
+            version = last_version + 1
+            if touched:
+                schema = newest.schema
+                held = {b: versions[b] for b in touched if b in versions}
+                if held:
+                    schema_on_disk = StructType([*schema.fields[:-1], StructField(VERSION, LongType()), StructField(BUCKET, IntegerType())])
+                    state = self.spark.read.schema(schema_on_disk).parquet(self._data).filter(self._is(held)).drop(VERSION)
+                    merged = state.unionByName(newest).repartition(F.col(BUCKET))
+                    out = latest_by_key(merged, [BUCKET, *self.keys], self.order_cols, null_keys="drop")
+                else:
+                    out = newest.repartition(F.col(BUCKET))
+                # a folder that an attempt without commit left is cleared as a whole
+                out.write.mode("overwrite").options(**static).partitionBy(BUCKET).parquet(f"{self._data}/{VERSION}={version}")
+            rows = [(batch_id, version, buckets, b) for b in touched] or [(batch_id, last_version, buckets, -1)]
+            self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.state_dir}/commits")
         finally:
-            batch_latest.unpersist()
+            newest.unpersist()
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.state_dir).drop(BUCKET)
+        """The committed state."""
+        *_, versions = self.committed()
+        return self.spark.read.parquet(self._data).filter(self._is(versions)).drop(VERSION, BUCKET)
+
+    def superseded(self) -> list[tuple[int, int]]:
+        """(version, bucket) of committed bucket versions that a newer one replaced."""
+        *_, versions = self.committed()
+        rows = self._commits().where("bucket >= 0").select("version", "bucket").distinct().collect()
+        return sorted((r["version"], r["bucket"]) for r in rows if versions[r["bucket"]] != r["version"])
 
     def read_quarantine(self) -> DataFrame:
         return self.spark.read.parquet(self.quarantine_dir).drop("batch")
