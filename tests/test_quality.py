@@ -8,23 +8,20 @@ def _bookings(spark, data):
     )
 
 
-def test_bookings_gate_splits_bad_rows(spark):
-    df = _bookings(spark, [
-        (1, 1, 1, 2, 300.0, "CONFIRMED"),
-        (2, 2, 1, 1, -50.0, "CONFIRMED"),
-        (3, None, 1, 1, 100.0, "CONFIRMED"),
-        (4, 3, 1, 1, 100.0, "UNKNOWN"),
-        (5, 4, 1, 0, 100.0, "CONFIRMED"),
-    ])
-    valid, quarantined = gate(df, BOOKING_RULES)
-    assert [r.booking_id for r in valid.collect()] == [1]
-    reasons = {r.booking_id: r._dq_failures for r in quarantined.collect()}
-    assert reasons == {
-        2: "total_amount_non_negative",
-        3: "user_id_present",
-        4: "booking_status_known",
-        5: "num_seats_positive",
+def test_each_rule_of_the_bookings_gate_fails_on_its_own(spark):
+    good = dict(booking_id=810, user_id=44, show_id=7, num_seats=6, total_amount=0.0, booking_status="PENDING")
+    broken = {
+        "booking_id_present": dict(booking_id=None),
+        "user_id_present": dict(user_id=None),
+        "show_id_present": dict(show_id=None),
+        "num_seats_positive": dict(num_seats=-2),
+        "total_amount_non_negative": dict(total_amount=-0.01),
+        "booking_status_known": dict(booking_status="confirmed"),
     }
+    rows = [tuple({**good, **change}.values()) for change in ({}, *broken.values())]
+    valid, quarantined = gate(_bookings(spark, rows), BOOKING_RULES)
+    assert [tuple(r) for r in valid.collect()] == rows[:1]
+    assert sorted(r._dq_failures for r in quarantined.collect()) == sorted(broken)
 
 
 def test_null_status_is_quarantined_not_lost(spark):

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators import scd2
@@ -21,18 +22,28 @@ def test_bootstrap_sets_current_flag(spark):
     assert r.is_current is True and r.effective_end is None and str(r.effective_start) == "2026-01-01 00:00:00"
 
 
-def test_merge_closes_changed_and_keeps_unchanged(spark):
-    dim = scd2.bootstrap(_venues(spark, [(1, "Cineplex 1", 100), (2, "Cineplex 2", 200)]), T1)
-    merged = scd2.merge(dim, _venues(spark, [(1, "Cineplex 1", 160), (2, "Cineplex 2", 200)]), "venue_id",
+def test_a_tracked_change_ends_one_version_and_opens_another(spark):
+    dim = scd2.bootstrap(_venues(spark, [(41, "Odeon", 320), (42, "Rex", 75), (43, "Lux", 60)]), T1)
+    merged = scd2.merge(dim, _venues(spark, [(43, "Lux", 60), (42, "Rex Royal", 75), (41, "Odeon", 290)]), "venue_id",
                         ["capacity", "venue_name"], T2)
-    rows = _by_key(merged)
-    assert len(rows[2]) == 1 and rows[2][0].is_current
-    v1 = sorted(rows[1], key=lambda r: r.effective_start)
-    assert [(r.capacity, r.is_current) for r in v1] == [(100, False), (160, True)]
-    assert v1[0].effective_end == v1[1].effective_start
+    spans = {k: sorted((str(r.effective_start)[:7], str(r.effective_end)[:7], r.capacity, r.venue_name, r.is_current) for r in v)
+             for k, v in _by_key(merged).items()}
+    assert spans == {
+        41: [("2026-01", "2026-02", 320, "Odeon", False), ("2026-02", "None", 290, "Odeon", True)],
+        42: [("2026-01", "2026-02", 75, "Rex", False), ("2026-02", "None", 75, "Rex Royal", True)],
+        43: [("2026-01", "None", 60, "Lux", True)],
+    }
     assert merged.columns == dim.columns
 
 
+def test_a_snapshot_with_a_key_twice_fails_and_rows_without_key_are_ignored(spark):
+    dim = scd2.bootstrap(_venues(spark, [(41, "Odeon", 320)]), T1)
+    with pytest.raises(Exception, match="several rows for venue_id 41"):
+        scd2.merge(dim, _venues(spark, [(41, "Odeon", 1), (41, "Odeon", 2)]), "venue_id", ["capacity"], T2).collect()
+    out = scd2.merge(dim, _venues(spark, [(41, "Odeon", 320), (None, "Ghost", 5)]), "venue_id", ["capacity"], T2)
+    assert [r.venue_id for r in out.collect()] == [41]
+
+
 def test_absent_keys_are_kept_or_closed(spark):
     dim = scd2.bootstrap(_venues(spark, [(1, "A", 100), (2, "B", 200)]), T1)
     src = _venues(spark, [(1, "A", 100), (3, "C", 300)])

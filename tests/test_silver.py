@@ -2,16 +2,17 @@ from conftest import rows, ts
 from marquee.plans import silver
 
 
-def test_clean_bookings_dedups_and_drops_deleted(spark):
-    base = dict(user_id=1, show_id=1, num_seats=2, total_amount=300.0, booking_time=ts("2026-01-01T00:00:00"))
+def test_a_booking_is_its_newest_live_version(spark):
+    def version(key, day, status, deleted):
+        return dict(booking_id=key, user_id=61, show_id=17, num_seats=5, total_amount=71.5, booking_time=ts("2025-05-02T18:00:00"),
+                    booking_status=status, updated_at=ts(f"2025-05-{day:02}T00:00:00"), is_deleted=deleted)
+
     df = rows(spark, "bookings", [
-        dict(base, booking_id=1, booking_status="CONFIRMED", updated_at=ts("2026-01-01T00:00:00"), is_deleted=False),
-        dict(base, booking_id=1, booking_status="CANCELLED", updated_at=ts("2026-01-02T00:00:00"), is_deleted=False),
-        dict(base, booking_id=2, booking_status="CONFIRMED", updated_at=ts("2026-01-01T00:00:00"), is_deleted=True),
+        version(900, 9, "CANCELLED", None), version(900, 3, "PENDING", False), version(900, 5, "CONFIRMED", True),
+        version(901, 4, "CONFIRMED", True), version(901, 3, "CONFIRMED", False), version(902, 3, "PENDING", False),
     ])
     valid, quarantined = silver.clean_bookings(df)
-    out = valid.collect()
-    assert [(r.booking_id, r.booking_status) for r in out] == [(1, "CANCELLED")]
+    assert sorted((r.booking_id, r.booking_status) for r in valid.collect()) == [(900, "CANCELLED"), (902, "PENDING")]
     assert quarantined.count() == 0
 
 
@@ -55,25 +56,30 @@ def test_null_booking_id_goes_to_quarantine(spark):
     assert [r._dq_failures for r in quarantined.collect()] == ["booking_id_present"] * 2
 
 
-def test_payments_filter_and_normalise(spark):
-    t = ts("2026-01-01T00:00:00")
+def test_payments_gate_and_normalise(spark):
+    t = ts("2025-06-11T06:00:00")
     df = rows(spark, "payments", [
-        dict(payment_id=1, booking_id=1, amount=10.0, payment_status=" refunded", updated_at=t),
-        dict(payment_id=2, booking_id=None, amount=10.0, payment_status="Success ", updated_at=t),
-        dict(payment_id=3, booking_id=3, amount=-5.0, payment_status="Success ", updated_at=t),
-        dict(payment_id=4, booking_id=4, amount=None, payment_status="Success ", updated_at=t),
+        dict(payment_id=21, booking_id=5, amount=0.0, payment_status="\tpending ".strip("\t"), updated_at=t),
+        dict(payment_id=22, booking_id=None, amount=3.5, payment_status="Success ", updated_at=t),
+        dict(payment_id=23, booking_id=6, amount=None, payment_status="Success ", updated_at=t),
+        dict(payment_id=None, booking_id=6, amount=-8.0, payment_status="Success ", updated_at=t),
     ])
-    out = silver.clean_payments(df).collect()
-    assert [(r.payment_id, r.payment_status) for r in out] == [(1, "REFUNDED")]
+    valid, quarantined = silver.clean_payments(df)
+    assert [(r.payment_id, r.payment_status) for r in valid.collect()] == [(21, "PENDING")]
+    assert {r.payment_id: r._dq_failures for r in quarantined.collect()} == {
+        22: "booking_id_present", 23: "amount_non_negative", None: "payment_id_present,amount_non_negative",
+    }
 
 
-def test_dimension_drops_null_keys_and_keeps_latest(spark):
+def test_dimension_keeps_the_latest_and_quarantines_rows_without_key(spark):
     df = rows(spark, "users", [
-        dict(user_id=1, city="A", updated_at=ts("2026-01-01T00:00:00")),
-        dict(user_id=1, city="B", updated_at=ts("2026-01-02T00:00:00")),
-        dict(user_id=None, city="C", updated_at=ts("2026-01-03T00:00:00")),
+        dict(user_id=33, city="Lyon", updated_at=ts("2025-07-04T10:00:00")),
+        dict(user_id=None, city="Brno", updated_at=ts("2025-07-09T10:00:00")),
+        dict(user_id=33, city="Gent", updated_at=ts("2025-07-04T10:00:01")),
     ])
-    assert [(r.user_id, r.city) for r in silver.clean_dimension(df, "users").collect()] == [(1, "B")]
+    valid, quarantined = silver.clean_dimension(df, "users")
+    assert [(r.user_id, r.city) for r in valid.collect()] == [(33, "Gent")]
+    assert [(r.city, r._dq_failures) for r in quarantined.collect()] == [("Brno", "user_id_present")]
 
 
 def test_seat_holds_latest_state_and_quarantine(spark):
@@ -111,11 +117,15 @@ def test_promotions_gate(spark):
     assert quarantined.count() == 3
 
 
-def test_redemptions_drop_bad_references(spark):
-    t = ts("2026-01-01T00:00:00")
+def test_redemptions_quarantine_bad_references(spark):
+    t = ts("2025-08-20T20:20:20")
     df = rows(spark, "promotion_redemptions", [
-        dict(redemption_id=1, promotion_id=1, booking_id=1, discount_amount=50.0, updated_at=t),
-        dict(redemption_id=2, promotion_id=None, booking_id=1, discount_amount=50.0, updated_at=t),
-        dict(redemption_id=3, promotion_id=1, booking_id=1, discount_amount=-5.0, updated_at=t),
+        dict(redemption_id=310, promotion_id=None, booking_id=None, discount_amount=0.0, updated_at=t),
+        dict(redemption_id=311, promotion_id=9, booking_id=77, discount_amount=-0.5, updated_at=t),
+        dict(redemption_id=312, promotion_id=9, booking_id=77, discount_amount=12.25, updated_at=t),
     ])
-    assert [r.redemption_id for r in silver.clean_redemptions(df).collect()] == [1]
+    valid, quarantined = silver.clean_redemptions(df)
+    assert [r.redemption_id for r in valid.collect()] == [312]
+    assert {r.redemption_id: r._dq_failures for r in quarantined.collect()} == {
+        310: "promotion_id_present,booking_id_present", 311: "discount_amount_non_negative",
+    }

@@ -1,6 +1,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows, ts
@@ -36,8 +37,7 @@ def test_malformed_json_line_is_kept_as_corrupt_record(spark):
     df = read_json(spark, folder, "seat_holds", keep_corrupt=True).cache()
     assert df.count() == 3
     assert df.filter(F.col(CORRUPT).isNotNull()).count() == 2  # malformed line and wrongly typed field
-    # without the corrupt column the bad rows are silent: a wrongly typed field
-    # reads as NULL and a truncated line keeps the fields parsed before the break
+    # without the corrupt column the bad rows are silent
     plain = read_json(spark, folder, "seat_holds")
     assert plain.count() == 3
     assert plain.filter(F.col("seat_no").isNull()).count() == 1
@@ -64,12 +64,12 @@ def test_incremental_dim_is_idempotent(spark):
 
 
 def test_incremental_dim_equals_one_shot_merge(spark):
-    cols = Tables(spark, SF).scd2_merge_venue().columns
-    assert _sorted(incremental_dim_venue(spark, SF), cols) == _sorted(Tables(spark, SF).scd2_merge_venue(), cols)
+    cols = Tables(spark, SF).merged_dim("dim_venue").columns
+    assert _sorted(incremental_dim_venue(spark, SF), cols) == _sorted(Tables(spark, SF).merged_dim("dim_venue"), cols)
 
 
 def test_stream_state_equals_batch_silver(spark):
-    state, quarantined = runs.stream_seat_state(spark, SF, INGESTED_AT)
+    state, quarantined = runs.stream_seat_state(spark, SF, INGESTED_AT, buckets=(3, 7))
     t = Tables(spark, SF)
     cols = t.silver_seat_holds.columns
     assert _sorted(state, cols) == _sorted(t.silver_seat_holds, cols)
@@ -103,14 +103,27 @@ def test_state_sink_batch_replay_is_idempotent(spark):
     sink(b0, 0)
     sink(b1, 1)
     first = _sorted(sink.read(), ["show_id", "seat_no", "hold_status"])
-    sink(b1, 1)  # replayed after a failure
+    sink(b1, 1)  # replayed after its commit
     assert _sorted(sink.read(), ["show_id", "seat_no", "hold_status"]) == first
+    # an attempt that wrote a bucket and never committed: not read, and cleared by the replay
+    _, version, _, _ = sink.committed()
+    junk = spark.createDataFrame([(9, 9, "Z9", 1, "BOOKED", None, None, 0)],
+                                 "hold_id long, show_id long, seat_no string, user_id long, hold_status string, "
+                                 "held_at timestamp_ntz, updated_at timestamp_ntz, state_bucket int")
+    junk.write.partitionBy("state_bucket").parquet(f"{root}/state/data/state_version={version + 1}")
+    assert _sorted(sink.read(), ["show_id", "seat_no", "hold_status"]) == first
+    b2 = rows(spark, "seat_holds", [dict(hold_id=7, show_id=3, seat_no="C1", hold_status="HELD", updated_at=ts("2026-01-03T00:00:00"))])
+    resized = LatestStateSink(spark, f"{root}/state", f"{root}/q", C.KEYS["seat_holds"],
+                              C.version_order("seat_holds"), silver.SEAT_HOLD_RULES, buckets=9)
+    resized(b2, 2)
+    assert resized.committed()[2] == 4  # the stored number of buckets
+    assert _sorted(resized.read(), ["show_id", "seat_no", "hold_status"]) == sorted([*first, (3, "C1", "HELD")], key=str)
     assert first == [(1, "A1", "BOOKED"), (2, "B1", "EXPIRED")]
     assert sink.read_quarantine().count() == 1
 
 
 def test_second_run_without_new_data_changes_no_dimension(spark):
-    from marquee.plans.layered import DIM_PARTITIONS, run_layers
+    from marquee.plans.layered import run_layers
 
     root = run_folder(spark, "test-two-runs")
     first = run_layers(spark, SF, root)
@@ -118,8 +131,7 @@ def test_second_run_without_new_data_changes_no_dimension(spark):
     assert first == {k: (layer, v - 1, n) for k, (layer, v, n) in second.items()}  # same rows, next version
     store = SnapshotStore(spark, root)
     for dim in ("dim_venue", "dim_show", "dim_user"):
-        v1 = store.read(dim, 1, partition_types=DIM_PARTITIONS)
-        v2 = store.read(dim, 2, partition_types=DIM_PARTITIONS)
+        v1, v2 = store.read_history(dim, 1), store.read_history(dim, 2)
         cols = [c for c in v1.columns if c != "_ingested_at"]
         assert _sorted(v1, cols) == _sorted(v2, cols)
 
@@ -138,3 +150,28 @@ def test_malformed_lines_are_quarantined_not_deduped(spark):
     assert CORRUPT not in latest.columns
     q = quarantined.collect()
     assert len(q) == 1 and q[0]._dq_failures == "record_parsed" and q[0][CORRUPT].startswith('{"hold_id": 2')
+
+
+def test_a_shared_folder_is_asked_for_on_a_cluster(monkeypatch, spark):
+    from marquee import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(type("Session", (), {"sparkContext": Context()})())
+
+
+def test_staged_leftovers_of_a_failed_attempt_are_not_published(spark):
+    root = run_folder(spark, "test-stage")
+    frame = spark.createDataFrame([(1, True), (2, False)], "k long, is_current boolean")
+    SnapshotStore(spark, root).stage(frame, "t", ["is_current"])
+    store = SnapshotStore(spark, root)
+    store.write(frame.where("is_current"), "t", ["is_current"])
+    assert [r.k for r in SnapshotStore(spark, root).read("t").collect()] == [1]
