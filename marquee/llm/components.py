@@ -66,7 +66,7 @@ def components(edges: DataFrame) -> DataFrame:
     stars: every round is two aggregations and two joins by node, and what a
     round leaves is written, so nothing has to be computed twice. Before every
     round each task contracts the edges it holds."""
-    edges = stage(edges.mapInArrow(_contract, "a long, b long"), "edges")
+    edges = stage(edges.mapInArrow(_contract, "a long, b long").distinct(), "edges")
     state = None
     while True:
         found = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % (1 << 40)).alias("h")).first()

@@ -41,6 +41,8 @@ VOCABULARY = "piece_bpe_32k.model"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 100
+#: groups whose limits are broadcast; more are joined by shuffle
+MAX_BROADCAST = 10_000
 #: allowed distance from the median, in median absolute deviations (below,
 #: above), the least distance, so that a uniform group keeps a band, and the
 #: groups to go by, narrowest first
@@ -177,6 +179,9 @@ def bands(measured: DataFrame) -> DataFrame:
     centre = spread.groupBy("level").agg(
         F.count("*").alias("n"), *[F.percentile_approx(m, 0.5, 1000).alias(f"{m}_mid") for m in names]
     )
+    centre = stage(centre, "fertility-centres")
+    if centre.count() <= MAX_BROADCAST:
+        centre = F.broadcast(centre)
     deviation = (
         spread.join(centre, "level").where(F.col("n") >= MIN_GROUP)
         .groupBy("level")

@@ -60,8 +60,10 @@ SAMPLE, COMMON, MAX_COMMON = 16, 3, 500_000
 CELL_BLOCK, GROUP_SHINGLES = 8192, 4_000_000
 #: keys that are broadcast; more are joined by shuffle
 MAX_BROADCAST = 1_000_000
-_POSTINGS_AT_ONCE = 2_000_000
-_WORDS_AT_ONCE = 500_000
+_POSTINGS_AT_ONCE = 1_000_000
+_WORDS_AT_ONCE = 300_000
+#: texts whose sets a task holds at once
+_TEXTS_AT_ONCE = 1000
 
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64
@@ -133,8 +135,14 @@ def _most_apart(sizes, size):
 # --- sketches -----------------------------------------------------------------
 
 
-def _sample(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        for at in range(0, batch.num_rows, _TEXTS_AT_ONCE):
+            yield batch.slice(at, _TEXTS_AT_ONCE)
+
+
+def _sample(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _pieces(batches):
         sets = [shingles(v.as_py()) for v in batch.column(0)]
         if sets:
             yield from _dealt(buckets, np.concatenate(sets))
@@ -166,7 +174,7 @@ def common_shingles(texts: DataFrame, buckets: int) -> np.ndarray:
 
 
 def _sketch(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _pieces(batches):
         sets = [shingles(v.as_py()) for v in batch.column(1)]
         full = [bool(len(s)) for s in sets]
         yield pa.record_batch(
@@ -315,7 +323,7 @@ def _join_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _pieces(batches):
         sets = [shingles(v.as_py()) for v in batch.column(0)]
         yield pa.record_batch(
             {
@@ -368,7 +376,8 @@ def _join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, n_shingles, component_id (smallest key
-    reachable by links), node (the hash of its set; NULL if it is empty)."""
+    reachable by links), node (the hash of its set; NULL if it is empty) and
+    component (the smallest node reachable)."""
     spark = docs.sparkSession
     ship_package(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -419,7 +428,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     named = linked.join(nodes.select("node", "key"), "node")
     smallest = named.groupBy("component").agg(F.min("key").alias("smallest"))
-    linked = named.join(smallest, "component").select(F.col("node").alias("linked"), "smallest")
+    linked = named.join(smallest, "component").select(F.col("node").alias("linked"), "smallest", "component")
     own = nodes.select(F.col("node").alias("own"), F.col("key").alias("own_key"))
     rows = sketch.select("key", "n", "node")
     return (
@@ -429,6 +438,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
             F.col("n").alias("n_shingles"),
             F.coalesce("smallest", "own_key", "key").alias("component_id"),
             "node",
+            F.coalesce("component", "node").alias("component"),
         )
     )
 
@@ -438,43 +448,35 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     smallest key. Rows whose key stands on several rows are told apart by their
     sets, and those equal in both are one row; rows without a key stay unless
     they are linked to one with a key."""
-    found = stage(jaccard_components(docs, key, text), "jaccard")
-    several = found.groupBy(key).agg(F.count("*").alias("n")).where("n > 1 or " + f"`{key}` is null")
-    several = stage(several.select(F.col(key).alias("several")), "jaccard-repeated")
-    gone = stage(found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("gone")).distinct(), "jaccard-gone")
+    # names of its own, whatever the columns are called
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    key_as, text_as = names[docs.columns.index(key)], names[docs.columns.index(text)]
+    rows = docs.toDF(*names)
+    found = stage(jaccard_components(rows, key_as, text_as).withColumnRenamed(key_as, "key"), "jaccard")
+    several = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1 or key is null")
+    several = stage(several.select(F.col("key").alias("several")), "jaccard-repeated")
+    gone = found.where(F.col("key") != F.col("component_id")).select(F.col("key").alias("gone")).distinct()
+    gone = stage(gone, "jaccard-gone")
 
     def bounded(keys: DataFrame) -> DataFrame:
         return F.broadcast(keys) if keys.count() <= MAX_BROADCAST else keys
 
-    drop = bounded(gone.join(several, F.col("gone") == F.col("several"), "left_anti"))
-    own_key = F.col(f"`{key}`")
-    is_several = own_key.eqNullSafe(F.col("several"))
-    single = docs.join(drop, own_key == F.col("gone"), "left_anti").join(bounded(several), is_several, "left_anti")
+    own = F.col(key_as).cast("long")
+    is_several = own.eqNullSafe(F.col("several"))
+    single = rows.join(bounded(gone), own == F.col("gone"), "left_anti").join(bounded(several), is_several, "left_anti")
 
-    names = docs.columns
-    repeated = docs.join(bounded(several), is_several, "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    repeated = rows.join(bounded(several), is_several, "left_semi")
 
     def with_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row = batch.column(0)
-            sets = [shingles(v.as_py() or "") for v in row.field(text)]
-            yield pa.record_batch(
-                {"row": row, "node": pa.array([_node(s) if len(s) else None for s in sets], pa.int64())}
-            )
+        for batch in _pieces(batches):
+            sets = [shingles(v.as_py() or "") for v in batch.column(text_as)]
+            yield batch.append_column("node", pa.array([_node(s) if len(s) else None for s in sets], pa.int64()))
 
-    rows = repeated.mapInArrow(with_nodes, T.StructType([*repeated.schema.fields, T.StructField("node", T.LongType())]))
+    repeated = repeated.mapInArrow(with_nodes, T.StructType([*repeated.schema.fields, T.StructField("node", T.LongType())]))
     # one set of each key and component
-    stay = (
-        found.where(own_key.eqNullSafe(F.col("component_id")))
-        .join(several, is_several, "left_semi")
-        .select(own_key.alias("stay_key"), F.col("node").alias("stay_node"))
-        .distinct()
-    )
-    one = stay.where("stay_key is not null").groupBy("stay_key").agg(F.min("stay_node").alias("stay_node"))
-    stay = one.unionByName(stay.where("stay_key is null"))
-    of_key = F.col(f"row.`{key}`").cast("long")
-    first = (
-        rows.join(stay, of_key.eqNullSafe(F.col("stay_key")) & F.col("node").eqNullSafe(F.col("stay_node")), "left_semi")
-        .groupBy(of_key.alias("k"), "node").agg(F.min(F.struct(F.col(f"row.`{text}`").alias("t"), "row")).alias("m"))
-    )
-    return single.unionByName(first.select(*[F.col(f"m.row.`{c}`").alias(c) for c in names]))
+    stay = found.where(F.col("key").eqNullSafe(F.col("component_id"))).join(several, F.col("key").eqNullSafe(F.col("several")), "left_semi")
+    stay = stay.groupBy(F.col("key").alias("stay_key"), "component").agg(F.min("node").alias("stay_node")).drop("component")
+    kept = repeated.join(stay, own.eqNullSafe(F.col("stay_key")) & F.col("node").eqNullSafe(F.col("stay_node")), "left_semi")
+    first = kept.groupBy(own.alias("k"), "node").agg(F.min(F.struct(text_as, *[n for n in names if n != text_as])).alias("m"))
+    out = single.unionByName(first.select(*[F.col(f"m.{n}").alias(n) for n in names]))
+    return out.toDF(*docs.columns)

@@ -188,7 +188,9 @@ def mix(
 
 def repeat_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken."""
-    mixed = mix(docs, keep=docs.columns, **options)
-    return mixed.where("copies > 0").withColumn("_n", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).select(
-        *docs.columns
-    )
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # apart from the mix's own columns
+    options = {"key": "doc_id", "text": "text", "source": "source"} | options
+    options |= {o: names[options[o]] for o in ("key", "text", "source", "weight") if options.get(o)}
+    mixed = mix(docs.toDF(*names.values()), keep=list(names.values()), **options)
+    each = mixed.where("copies > 0").withColumn("_n", F.explode(F.expr("array_repeat(0, cast(copies as int))")))
+    return each.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -106,9 +106,9 @@ def search(
     facts = vectors.agg(F.count("*").alias("n"), F.max(F.expr("aggregate(v, 0D, (a, x) -> a + x * x)")).alias("m")).first()
     longest = float(np.sqrt(facts["m"] or 0))
     sample = vectors.orderBy(F.xxhash64("name"), "v").select("v").limit(pivots).collect()
-    chosen = np.array([r["v"] for r in sample], np.float64).reshape(len(sample), -1)
+    chosen = np.array([r["v"] for r in sample], np.float64).reshape(len(sample), dimensions)
     extra = np.sqrt(np.maximum(longest**2 - (chosen**2).sum(1), 0))
-    chosen = np.concatenate([chosen, extra[:, None]], 1) if len(sample) else chosen
+    chosen = np.concatenate([chosen, extra[:, None]], 1)
     n_queries = asking.select("v").distinct().count()
     v_blocks = max(1, -(-facts["n"] // VECTORS_IN_BLOCK))
     q_blocks = max(1, -(-n_queries // QUERIES_IN_BLOCK))

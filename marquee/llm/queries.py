@@ -23,7 +23,7 @@ from marquee.session import run_folder
 
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(read(spark, sf_dir, "documents")).drop("node")
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents")).drop("node", "component")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
