@@ -340,6 +340,15 @@ _cte("scd2_merge_show", _merged("dim_show", "shows_next", "show_id", ["base_pric
      "dim_show", "shows_next")
 _cte("scd2_merge_user", _merged("dim_user", "users_next", "user_id", ["city", "name"], MERGE_AS_OF), "dim_user", "users_next")
 
+# the dimensions after two deliveries: what had come by the second day, then everything
+for _d, _src, _key, _tracked in (("dim_venue", "venues", "venue_id", ["capacity", "venue_name"]),
+                                 ("dim_show", "shows", "show_id", ["base_price", "screen_no"]),
+                                 ("dim_user", "users", "user_id", ["city", "name"])):
+    _cte(f"early_{_src}", f"SELECT * FROM bronze_{_src} WHERE updated_at < {_ts('2024-01-02 00:00:00')}", f"bronze_{_src}")
+    _cte(f"{_d}_early", f"SELECT *, {_ts(DIM_AS_OF)} AS effective_start, CAST(NULL AS TIMESTAMP) AS effective_end, "
+                        f"true AS is_current FROM ({_dedup(f'early_{_src}', _src, 'drop')})", f"early_{_src}")
+    _cte(f"{_d}_twice", _merged(f"{_d}_early", f"silver_{_src}", _key, _tracked, MERGE_AS_OF), f"{_d}_early", f"silver_{_src}")
+
 # --- facts and marts -----------------------------------------------------------
 _cte("fact_bookings", """SELECT b.*, s.movie_id, s.venue_id, s.show_time, s.base_price,
   CASE WHEN b.booking_status = 'CONFIRMED' THEN b.total_amount ELSE 0.0 END AS revenue,
@@ -420,10 +429,10 @@ def _expectation_report(table_of: dict[str, str]) -> str:
     return with_ctes("\nUNION ALL\n".join(parts), *table_of.values())
 
 
-def _layer_row_counts() -> str:
+def _layer_row_counts(instead: dict[str, str]) -> str:
     tables = [(layer, t) for layer, names in LAYERS.items() for t in names]
-    parts = [f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {t}" for layer, t in tables]
-    return with_ctes("\nUNION ALL\n".join(parts), *[t for _, t in tables])
+    parts = [f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {instead.get(t, t)}" for layer, t in tables]
+    return with_ctes("\nUNION ALL\n".join(parts), *[instead.get(t, t) for _, t in tables])
 
 
 #: every so many landed lines of an entity are landed once more, cut off
@@ -495,7 +504,8 @@ def oracle_sql() -> dict[str, str]:
     q["dim_user_unmasked"] = with_ctes(_masked(True), "dim_user")
     q["expectation_report"] = _expectation_report({t: t for t in EXPECTATIONS})
     q["expectation_report_bronze"] = _expectation_report({t: t.replace("silver", "bronze") for t in EXPECTATIONS})
-    q["layer_row_counts"] = _layer_row_counts()
+    q["layer_row_counts"] = _layer_row_counts({})
+    q["incremental_layer_row_counts"] = _layer_row_counts({d: f"{d}_twice" for d in ("dim_venue", "dim_show", "dim_user")})
     q["stream_bronze_events"] = _select("bronze_seat_holds")
     q["stream_silver_seat_state"] = _select("silver_seat_holds")
     q["stream_seat_state_resized"] = _select("silver_seat_holds")

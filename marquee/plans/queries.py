@@ -157,6 +157,7 @@ QUERIES: dict[str, Query] = {
     )},
     "expectation_report": expectation_report,
     "layer_row_counts": layered.layer_row_counts,
+    "incremental_layer_row_counts": layered.incremental_layer_row_counts,
     "expectation_report_bronze": expectation_report_bronze,
     "scd2_merge_venue": _merged("dim_venue"),
     "scd2_merge_show": _merged("dim_show"),
