@@ -50,6 +50,7 @@ from pyspark.sql import types as T
 
 from marquee.llm.common import by_key, ship_package, stage
 from marquee.llm.components import components, star_edges
+from marquee.llm.tokens import _Generations
 
 SHINGLE = 5
 #: similarity of at least 3/4
@@ -61,7 +62,6 @@ CELL_BLOCK, GROUP_SHINGLES = 8192, 4_000_000
 #: keys that are broadcast; more are joined by shuffle
 MAX_BROADCAST = 1_000_000
 _POSTINGS_AT_ONCE = 1_000_000
-_WORDS_AT_ONCE = 300_000
 #: texts whose sets a task holds at once
 _TEXTS_AT_ONCE = 1000
 
@@ -70,20 +70,13 @@ _FACTORS = np.array(
 )
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_hashes = _Hashes()
+_hashes = _Generations(xxhash.xxh3_64_intdigest)
 
 
 def shingles(text: str) -> np.ndarray:
     """The sorted set of a whole text's shingle hashes."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
-    if len(_hashes) > _WORDS_AT_ONCE:
-        _hashes.clear()
+    _hashes.trim()
     h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
     if not len(h):
         return h

@@ -32,7 +32,7 @@ _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 #: entries of a dictionary generation; two generations are held
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 500_000
 CACHE_CHARS = 64
 
 
@@ -45,7 +45,10 @@ def vocabulary(name: str) -> str:
 
 class _Generations(dict):
     """A bounded dictionary: when it is full it becomes the older generation,
-    from which what is still asked for moves up again."""
+    from which what is still asked for moves up again. A worker holds one at a
+    time: it runs one task, and the next operator's tasks need the memory."""
+
+    active: _Generations | None = None
 
     def __init__(self, make) -> None:
         super().__init__()
@@ -61,6 +64,12 @@ class _Generations(dict):
         return value
 
     def trim(self) -> None:
+        """Between two texts: keep to the bound."""
+        if _Generations.active is not self:
+            if _Generations.active is not None:
+                _Generations.active.clear()
+                _Generations.active.older = {}
+            _Generations.active = self
         if len(self) > CACHE_ENTRIES:
             self.older = dict(self)
             self.clear()
