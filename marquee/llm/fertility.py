@@ -43,6 +43,7 @@ MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 100
 #: groups whose limits are broadcast; more are joined by shuffle
 MAX_BROADCAST = 10_000
+_ROWS_AT_ONCE = 1000
 #: allowed distance from the median, in median absolute deviations (below,
 #: above), the least distance, so that a uniform group keeps a band, and the
 #: groups to go by, narrowest first
@@ -82,7 +83,7 @@ class _Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([model.is_byte(i) for i in range(model.vocab_size())])
-        self.words = _Generations(lambda w: array("H", model.encode(w)).tobytes())
+        self.words = _Generations(lambda w: array("H", model.encode(w)).tobytes(), 250_000)
 
 
 _loaded: dict[str, _Pieces] = {}
@@ -150,7 +151,7 @@ def measures(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
         if vocabulary_path not in _loaded:
             _loaded[vocabulary_path] = _Pieces(vocabulary_path)
         pieces = _loaded[vocabulary_path]
-        for batch in batches:
+        for batch in (b.slice(at, _ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, _ROWS_AT_ONCE)):
             rows = [measure(v.as_py() or "", pieces) for v in batch.column(at)]
             columns = list(zip(*rows)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays(

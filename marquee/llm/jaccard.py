@@ -70,7 +70,7 @@ _FACTORS = np.array(
 )
 
 
-_hashes = _Generations(xxhash.xxh3_64_intdigest)
+_hashes = _Generations(xxhash.xxh3_64_intdigest, 200_000)
 
 
 def shingles(text: str) -> np.ndarray:
@@ -200,6 +200,7 @@ def _dealt(buckets: int, shingle: np.ndarray, *columns: np.ndarray) -> Iterator[
 def _postings(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(shingle, node) of every window, dealt by shingle; a task's repeated
     sets count once."""
+    _Generations.drop()
     seen, windows, nodes, held = set(), [], [], 0
     for batch in batches:
         for node, window in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -220,6 +221,7 @@ def _postings(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 def _cells(group: pa.Table) -> pa.Table:
     """The cells of a bucket that hold two nodes or more, equal ones once; too
     large ones as pairs of blocks."""
+    _Generations.drop()
     shingle = np.frombuffer(b"".join(group["c0"].to_pylist()), "<u8")
     node = np.frombuffer(b"".join(group["c1"].to_pylist()), "<i8")
     order = np.lexsort((node, shingle))
@@ -303,6 +305,7 @@ def _search(n: int, reach) -> np.ndarray:
 
 def _join_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning edges between the nodes of a cell that the bitmaps leave."""
+    _Generations.drop()
     for columns in by_key(batches, "cell"):
         nodes, first = np.unique(np.array(columns["node"], np.int64), return_index=True)
         if len(nodes) > 1:
@@ -358,6 +361,7 @@ class _Sets:
 
 def _join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning edges of the exact links inside each group."""
+    _Generations.drop()
     for columns in by_key(batches, "task"):
         nodes, first = np.unique(np.array(columns["node"], np.int64), return_index=True)
         if len(nodes) > 1:

@@ -45,6 +45,7 @@ MAX_ROWS = 20_000
 HIDDEN = 32
 SEED = 20_260
 _WORDS_AT_ONCE = 400_000
+_ROWS_AT_ONCE = 1000
 THRESHOLD = 0.3
 
 _rng = np.random.RandomState(SEED)
@@ -88,7 +89,7 @@ def _ids(word: bytes) -> int:
     return s << 32 | w
 
 
-_words = _Generations(_ids)
+_words = _Generations(_ids, 200_000)
 
 
 def word_ids(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -298,6 +299,8 @@ def accepted(docs: DataFrame, network: Network, vectors: np.ndarray, text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_scores(shared, batch.column(text)) >= threshold, pa.bool_()))
+            for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                part = batch.slice(at, _ROWS_AT_ONCE)
+                yield part.filter(pa.array(_scores(shared, part.column(text)) >= threshold, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

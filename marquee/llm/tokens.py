@@ -8,10 +8,15 @@ dictionary per Python worker, and only unseen chunks reach the tokenizer.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import re
 from array import array
 
+import pyarrow as pa
+
 #: what the tokenizers' own patterns call white space (Unicode White_Space)
 _SPACE = "\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: chunks for a vocabulary that keeps white space: a run of other characters
@@ -36,6 +41,15 @@ CACHE_ENTRIES = 500_000
 CACHE_CHARS = 64
 
 
+def release() -> None:
+    """Give memory that a worker's earlier tasks have freed back to the system:
+    the allocators keep it, and an executor's memory is one budget."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def vocabulary(name: str) -> str:
     """Path of a public vocabulary file on this machine."""
     import public_tokenizers
@@ -50,9 +64,9 @@ class _Generations(dict):
 
     active: _Generations | None = None
 
-    def __init__(self, make) -> None:
+    def __init__(self, make, entries: int = CACHE_ENTRIES) -> None:
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.entries, self.older = make, entries, {}
 
     def __missing__(self, key: str) -> bytes:
         value = self.older.get(key)
@@ -66,14 +80,21 @@ class _Generations(dict):
     def trim(self) -> None:
         """Between two texts: keep to the bound."""
         if _Generations.active is not self:
-            if _Generations.active is not None:
-                _Generations.active.clear()
-                _Generations.active.older = {}
+            _Generations.drop()
             _Generations.active = self
-        if len(self) > CACHE_ENTRIES:
+        if len(self) > self.entries:
             self.older = dict(self)
             self.clear()
 
+    @classmethod
+    def drop(cls) -> None:
+        """Before work that needs no words."""
+        if cls.active is not None:
+            cls.active.clear()
+            cls.active.older = {}
+            cls.active = None
+        release()
+
 
 class Encoder:
     """``encode(text)`` gives the ids of a whole text as little-endian bytes,
