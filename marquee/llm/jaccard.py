@@ -394,7 +394,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     nodes = full.groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("parity").alias("parity"))
     meeting = cells.select("cell", F.explode("nodes").alias("node")).join(nodes.drop("key"), "node")
     near = meeting.repartition("cell").sortWithinPartitions("cell").mapInArrow(_join_cells, "a long, b long")
-    groups = components(near)
+    # written first: two Python steps in one task would keep twice the workers, and their memory
+    groups = components(stage(near, "near"))
 
     grouped = stage(groups.join(nodes.drop("parity"), "node").select("node", "component", "key", "n"), "groups")
     blocks = grouped.groupBy("component").agg(F.ceil(2 * F.sum("n") / GROUP_SHINGLES).alias("blocks"))
