@@ -11,7 +11,15 @@ unknown is a calibrated class of its own.
 
 A predicted family is confirmed if one of its templates covers the paragraph's
 licence wording: enough of the template's n-grams must stand in the paragraph.
-What isn't confirmed is unknown.
+What isn't confirmed is unknown. Wording that a named family's templates hold
+is set aside and the rest is judged again, until nothing more is named: a
+paragraph of two licences names both.
+
+Notices are usually wrapped. So besides every line, the words around every line
+break are judged, ``AROUND`` on either side across as many lines as that takes
+(templates have up to 16), without comment markers. An empty line, or one of
+markers only, ends a paragraph. A family that one of these lines already names
+is the same notice.
 
 A paragraph without any licence term has no features at all and is not a
 licence paragraph; that is the model's own definition, not a pre-filter that
@@ -134,14 +142,28 @@ TERMS = frozenset(w for texts in TEMPLATES.values() for t in texts for w in _WOR
 _ANY_TERM = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(map(re.escape, TERMS), key=len, reverse=True)) + r")(?![a-z0-9])")
 FAMILIES = sorted(TEMPLATES)
 COVERED = 0.6
+#: words on either side of a line break
+AROUND = 24
 #: n-grams in fewer training paragraphs are no features
 LEAST_SEEN = 4
+_SPDX = "spdx-license-identifier"
 SEED = 5
 
 
 def features(paragraph: str) -> set[str]:
     """Word n-grams with a licence term; British spelling counts as American."""
-    words = [w.replace("licence", "license") for w in _WORD.findall(paragraph.lower())]
+    return _features(_WORD.findall(paragraph.lower()))
+
+
+def _features(words: list[str]) -> set[str]:
+    words = [w.replace("licence", "license") for w in words]
+    for i, w in enumerate(words):  # each identifier of "A OR B" has the tag
+        if w == _SPDX:
+            for j in range(i + 2, len(words) - 1, 2):
+                if words[j] not in ("or", "and"):
+                    break
+                words[j] = _SPDX
+            break
     is_term = [w in TERMS for w in words]
     return {
         " ".join(words[i : i + n])
@@ -154,9 +176,36 @@ def features(paragraph: str) -> set[str]:
 _TEMPLATE_FEATURES = {f: [features(t) for t in TEMPLATES[f]] for f in FAMILIES}
 
 
-def covered(paragraph: set[str], family: str) -> float:
-    """Largest part of a template's n-grams that the paragraph holds."""
-    return max(len(t & paragraph) / len(t) for t in _TEMPLATE_FEATURES[family])
+_FAMILY_FEATURES = {f: frozenset().union(*_TEMPLATE_FEATURES[f]) for f in FAMILIES}
+
+
+def covered(paragraph: set[str], family: str, named: frozenset[str] = frozenset()) -> float:
+    """Largest part of a template's n-grams, those ``named`` aside, that the
+    paragraph holds."""
+    left = [t - named for t in _TEMPLATE_FEATURES[family]]
+    return max((len(t & paragraph) / len(t) for t in left if t), default=0.0)
+
+
+#: comment markers in front of a line's text that would be words
+_MARKER = re.compile(r"[^a-z0-9]*(?:dnl|rem)(?=\s|$)")
+
+
+def line_breaks(lines: list[str]) -> Iterator[tuple[int, int, list[str]]]:
+    """The words around each break between two lines of a paragraph, and the
+    first and last line that they come from."""
+    words = [_WORD.findall(_MARKER.sub("", line)) for line in lines]
+    for i in range(len(lines) - 1):
+        if not words[i] or not words[i + 1]:
+            continue
+        first, before = i, words[i]
+        while len(before) < AROUND and first and words[first - 1]:
+            first -= 1
+            before = words[first] + before
+        last, after = i + 1, words[i + 1]
+        while len(after) < AROUND and last + 1 < len(lines) and words[last + 1]:
+            last += 1
+            after = after + words[last]
+        yield first, last, before[-AROUND:] + after[:AROUND]
 
 
 class Classifier:
@@ -201,16 +250,29 @@ class Classifier:
         wrong = p[y[back][:, -1] == 1, :-1].max(1)
         self.least = float(max(0.5, np.quantile(wrong, 0.99)))
 
-    def classify(self, found: set[str]) -> tuple[str, float]:
-        """Family and probability of a paragraph's n-grams, template confirmed."""
+    def classify(self, found: set[str], named: frozenset[str] = frozenset()) -> tuple[str, float]:
+        """Family and probability of a paragraph's n-grams, template confirmed;
+        n-grams ``named`` are those of families found before."""
+        found = found - named
         known = [self.index[f] for f in found if f in self.index]
         z = self.weights[known].sum(0) + self.weights[-1]
         p = _softmax(z[None] / self.temperature)[0]
         best = int(p[:-1].argmax())
-        if p[best] >= self.least and covered(found, FAMILIES[best]) >= COVERED:
+        if p[best] >= self.least and covered(found, FAMILIES[best], named) >= COVERED:
             return FAMILIES[best], float(p[best])
         return UNKNOWN, float(p[-1])
 
+    def families(self, found: set[str]) -> dict[str, float]:
+        """Every family of a paragraph's n-grams, with its probability."""
+        all_, named = {}, frozenset()
+        while found - named:
+            family, p = self.classify(found, named)
+            if family == UNKNOWN:
+                break
+            all_[family] = p
+            named |= _FAMILY_FEATURES[family]
+        return all_
+
 
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(1, keepdims=True))
@@ -221,36 +283,58 @@ _SCHEMA = "doc_id long, n_term_paragraphs long, n_licences long, families string
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: paragraphs with a licence term, paragraphs of a
-    confirmed family, the families, and the largest probability among them."""
+    """One row per document: lines with a licence term, lines and wrapped
+    notices of a confirmed family, the families, and the largest probability
+    among them."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(Classifier())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, judged = shared.value, {}
+
+        def families(words: list[str]) -> dict[str, float] | None:
+            """None if there is no licence term."""
+            name = frozenset(_features(words))
+            if not name:
+                return None
+            if name not in judged:
+                if len(judged) > 50_000:
+                    judged.clear()
+                judged[name] = model.families(name)
+            return judged[name]
+
         for batch in batches:
             rows = []
             for value in batch.column(1):
                 low = value.as_py().lower()
-                n = 0
-                hits = []
+                n = n_hits = 0
+                hits: dict[str, float] = {}
                 if _ANY_TERM.search(low):
-                    for line in low.split("\n"):
-                        if not _ANY_TERM.search(line):
-                            continue
-                        found = features(line)
-                        if not found:
+                    lines = low.split("\n")
+                    terms = [bool(_ANY_TERM.search(line)) for line in lines]
+                    ends: dict[str, int] = {}
+                    of_line: list[dict[str, float]] = [{}] * len(lines)
+                    for i, line in enumerate(lines):
+                        found = families(_WORD.findall(line)) if terms[i] else None
+                        if found is not None:
+                            n += 1
+                            of_line[i] = found
+                            n_hits += bool(found)
+                            for f, p in found.items():
+                                hits[f] = max(p, hits.get(f, 0.0))
+                    for first, last, words in line_breaks(lines):
+                        if not any(terms[first : last + 1]):
                             continue
-                        n += 1
-                        name = frozenset(found)
-                        if name not in judged:
-                            if len(judged) > 50_000:
-                                judged.clear()
-                            judged[name] = model.classify(found)
-                        if judged[name][0] != UNKNOWN:
-                            hits.append(judged[name])
-                rows.append((n, len(hits), ",".join(sorted({f for f, _ in hits})), max((p for _, p in hits), default=0.0)))
+                        found = families(words) or {}
+                        # of families that no line of these and no break before has named
+                        new = [f for f in found if ends.get(f, -1) < first and not any(f in x for x in of_line[first : last + 1])]
+                        n_hits += bool(new)
+                        for f in found:
+                            ends[f] = last
+                        for f in new:
+                            hits[f] = max(found[f], hits.get(f, 0.0))
+                rows.append((n, n_hits, ",".join(sorted(hits)), max(hits.values(), default=0.0)))
             columns = list(zip(*rows)) if rows else [[]] * 4
             types = [pa.int64(), pa.int64(), pa.string(), pa.float64()]
             names = [c.split()[0] for c in _SCHEMA.split(", ")]

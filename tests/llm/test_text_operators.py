@@ -401,3 +401,20 @@ def test_licence_scan_rows(docs_of):
     assert by_hits == [(30, 3, "all-rights-reserved,mit")]
     assert [r.families for r in got if r.doc_id is None] == ["apache-2.0"]
     assert licences.scan(docs.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("text, families", [
+    ("// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided that the following\n//", "bsd"),
+    (" * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n"
+     " * the Free Software Foundation, either version 3 of the License, or", "gpl"),
+    ("dnl Permission is hereby granted,\ndnl free of charge, to any\ndnl person obtaining a\ndnl copy of this software", "mit"),
+    ("# Licensed under the\n# Apache License,\n# Version 2.0 (the License);", "apache-2.0"),
+    ("Dual-licensed under the MIT license or the Apache License, Version 2.0", "apache-2.0,mit"),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", "apache-2.0,mit"),
+    ("Licensed under the GNU Affero General Public License, version 3", "agpl"),
+    ("This work is licensed under CC BY-NC 4.0", "cc-by-nc"),
+    ("Released under the\n\nMIT License went the old heading", ""),
+])
+def test_wrapped_and_dual_notices(docs_of, text, families):
+    (row,) = licences.scan(docs_of((1, f"words before\n\n{text}\n\nwords after"))).collect()
+    assert (row.families, row.n_licences) == (families, int(bool(families)))
