@@ -11,12 +11,19 @@ of a text. Three measures tell how natural a text is to it:
 
 The bands are not set by hand. For every language (or, where a row names none,
 every script) and length class (powers of two of the token count, as entropy
-depends on length) the measures' median and spread over all documents give the
-limits; a document outside its group's band is rejected. A measure's spread is
-its median absolute deviation, so the junk in a group does not widen the band.
+depends on length) the measures' median and spread over different texts give the
+limits; a document outside the wider of its groups' bands is rejected. A
+measure's spread is its median absolute deviation, so the junk in a group does
+not widen the band.
+
+Copies and near copies of one text must not make the band theirs. Texts of a
+group with the same sketch, the least hash of their windows of five tokens, count
+once; near copies share it unless their differences fall on that window. And a
+group that is narrow even so goes by its wider group: by the language as a whole,
+or the length class in all languages.
 
 Edge cases: NULL text has no words and fails the base rule, as does an empty
-text; where a language has fewer than ``MIN_GROUP`` measured documents of a
+text; where a language has fewer than ``MIN_GROUP`` different texts of a
 length class, fertility and byte share go by the language as a whole and
 entropy by the length class in all languages, and where those are as small
 there is no limit; an empty table gives no rows; repeated rows are judged
@@ -44,6 +51,8 @@ MIN_GROUP = 100
 #: groups whose limits are broadcast; more are joined by shuffle
 MAX_BROADCAST = 10_000
 _ROWS_AT_ONCE = 1000
+#: tokens of a sketch's windows
+_WINDOW = 5
 #: allowed distance from the median, in median absolute deviations (below,
 #: above), the least distance, so that a uniform group keeps a band, and the
 #: groups to go by, narrowest first
@@ -87,6 +96,17 @@ class _Pieces:
 
 
 _loaded: dict[str, _Pieces] = {}
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _sketch(ids: np.ndarray) -> int:
+    """The least hash of the windows of ``_WINDOW`` tokens; of all tokens of
+    a shorter text."""
+    h = np.zeros(max(len(ids) - _WINDOW + 1, 1), np.uint64)
+    for i in range(min(_WINDOW, len(ids))):
+        h = (h + ids[i : i + len(h)]) * _MIX
+        h ^= h >> np.uint64(29)
+    return int((h * _MIX).min() >> np.uint64(1))
 
 
 def _script(text: str) -> str:
@@ -116,7 +136,7 @@ def _repeated(words: list[str]) -> int:
 
 
 def measure(text: str, pieces: _Pieces) -> tuple:
-    """The row of ``MEASURES`` for one whole text."""
+    """The row of ``MEASURES`` and the sketch of one whole text."""
     word_chars = len(text) - sum(map(text.count, SPACE))
     n_symbols = sum(map(text.count, SYMBOLS))
     lines = [x for x in text.split("\n") if x.strip(SPACE)]
@@ -133,16 +153,18 @@ def measure(text: str, pieces: _Pieces) -> tuple:
         fertility, share = word_chars / n, float(pieces.is_byte[ids].mean())
     else:
         fertility = share = entropy = None
-    return len(words), word_chars, n_symbols, len(lines) - len(set(lines)), repeated, n, fertility, share, entropy, _script(text)
+    counts = len(words), word_chars, n_symbols, len(lines) - len(set(lines)), repeated, n
+    return *counts, fertility, share, entropy, _script(text), _sketch(ids)
 
 
 def measures(docs: DataFrame, text: str = "text", keep: list[str] | None = None, vocabulary_path: str | None = None) -> DataFrame:
-    """``docs``' columns ``keep`` (default: all) and the measures of each text."""
+    """``docs``' columns ``keep`` (default: all), the measures of each text and its sketch."""
     ship_package(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     vocabulary_path = vocabulary_path or vocabulary(VOCABULARY)
-    names = [m.split()[0] for m in MEASURES.split(",")]
-    kinds = [{"long": pa.int64(), "double": pa.float64(), "string": pa.string()}[m.split()[1]] for m in MEASURES.split(",")]
+    row = f"{MEASURES}, sketch long"
+    names = [m.split()[0] for m in row.split(",")]
+    kinds = [{"long": pa.int64(), "double": pa.float64(), "string": pa.string()}[m.split()[1]] for m in row.split(",")]
 
     kept = len(keep)
     at = keep.index(text) if text in keep else kept
@@ -159,7 +181,7 @@ def measures(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
             )
 
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([F.col(text)] if at == kept else []))
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in rows.dtypes[:kept]), MEASURES])
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in rows.dtypes[:kept]), row])
     return rows.mapInArrow(run, schema)
 
 
@@ -171,10 +193,15 @@ _LEVELS = list(dict.fromkeys(level for *_, levels in BANDS.values() for level in
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """Limits (level, <measure>_low, <measure>_high) from all documents that
-    pass the base rule, for every group of at least ``MIN_GROUP``."""
+    """Limits (level, <measure>_low, <measure>_high) from all different texts
+    that pass the base rule, for every group of at least ``MIN_GROUP``."""
     names = list(BANDS)
-    spread = measured.where(~base_failed() & (F.col("n_tokens") > 0)).selectExpr(
+    one = F.min_by(F.struct(*names), F.xxhash64(*names))
+    different = (
+        measured.where(~base_failed() & (F.col("n_tokens") > 0))
+        .groupBy("language", "octave", "sketch").agg(one.alias("one")).select("language", "octave", "one.*")
+    )
+    spread = stage(different, "fertility-texts").selectExpr(
         f"explode(array({', '.join(_LEVELS)})) as level", *names
     )
     centre = spread.groupBy("level").agg(
@@ -226,8 +253,9 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[st
         ).drop("level")
     inside = F.lit(True)
     for m, (*_, levels) in BANDS.items():
-        band = F.coalesce(*[F.col(f"band{_LEVELS.index(level)}") for level in levels])
-        inside = inside & F.coalesce(F.col(m).between(band[f"{m}_low"], band[f"{m}_high"]), F.lit(True))
+        bands_ = [F.col(f"band{_LEVELS.index(level)}") for level in levels]
+        low, high = F.least(*[b[f"{m}_low"] for b in bands_]), F.greatest(*[b[f"{m}_high"] for b in bands_])
+        inside = inside & F.coalesce(F.col(m).between(low, high), F.lit(True))
     return marked.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & inside).select(
         *[F.col(k).alias(c) for k, c in zip(mine, keep)],
         *[m.split()[0] for m in MEASURES.split(",")], "language", "base_failed", "kept",

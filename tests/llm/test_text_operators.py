@@ -230,6 +230,29 @@ def test_rules_keep_clean_documents_and_reject_junk(spark):
     assert share[1] > 0.99 and share[0] < 0.5
 
 
+def test_near_copies_do_not_narrow_the_bands(spark, docs_of):
+    """A near-copy group fills most of one length class of the language."""
+    plain = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(
+        spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1"), "doc_id")
+    rows = {r.doc_id: r.text for r in plain.where("lang = 'en'").orderBy("doc_id").limit(1500).select("doc_id", "text").collect()}
+    alone = {r.doc_id: r for r in fertility.judge(docs_of(*rows.items())).collect()}
+    octaves = collections.Counter(r.n_tokens.bit_length() for r in alone.values() if r.kept)
+    full = octaves.most_common(1)[0][0]
+    clean = [k for k, r in alone.items() if r.kept and r.n_tokens.bit_length() == full]
+    # the text with the most characters per token has its near copies
+    words = rows[max(clean, key=lambda k: alone[k].chars_per_token)].split()
+    rng = random.Random(3)
+    copies = []
+    for i in range(3 * len(clean)):
+        changed = list(words)
+        for _ in range(2):
+            changed[rng.randrange(len(words))] = rng.choice(words)
+        copies.append((1_000_000_000 + i, " ".join(changed)))
+    got = {r.doc_id: r.kept for r in fertility.judge(docs_of(*rows.items(), *copies)).collect()}
+    lost = [k for k in clean if not got[k]]
+    assert len(lost) <= 0.01 * len(clean)
+
+
 def test_rules_on_an_empty_table(docs_of):
     assert fertility.judge(docs_of().where("false")).count() == 0
 
