@@ -4,7 +4,10 @@ Element subtrees that recur across pages of a host are the site's templates.
 Every page is read into blocks of text; each block knows the subtrees around
 it, by a hash over their tags and text. Spark counts on how many different
 pages of its host a subtree stands, and blocks inside subtrees that stand on
-``MIN_PAGES`` or more are deleted.
+``MIN_PAGES`` or more and on ``MIN_SHARE`` of the host's different pages are
+deleted: what a few of many pages share is text. Headings, paragraphs, list
+items, cells and quotes recur by themselves as well, so they go only as part of
+a container that recurs.
 
 Two things bound that rule. What the markup itself names as no part of the
 article (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
@@ -37,6 +40,9 @@ from pyspark.sql import functions as F
 from marquee.llm.common import ship_package, stage
 
 MIN_PAGES = 4
+MIN_SHARE = 0.25
+#: hosts of many pages whose limits are broadcast; more are joined by shuffle
+MAX_BROADCAST = 100_000
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -59,6 +65,8 @@ _DROPPED = frozenset(
 )
 #: of an article, text even if it recurs
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tfoot tr td th caption figcaption figure".split())
+#: text that recurs by itself
+_LONE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre tr td th caption figcaption".split())
 #: fixed values: words of class, id and role that name such parts
 _NAMES = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments"
@@ -188,7 +196,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         if tag == "article":
             article = 2
         dropped = parent.dropped or tag in _DROPPED or (tag == "header" and parent.article == 0) or bool(attributes.strip() and _boilerplate(attributes))
-        counted = tag in _BLOCKS and tag not in ("article", "main") and not (article and tag in _TEXT_BLOCKS)
+        counted = tag in _BLOCKS and tag not in ("article", "main") and tag not in _LONE and not (article and tag in _TEXT_BLOCKS)
         node = _Node(tag, dropped, article, counted)
         if counted:
             nodes.append(node)
@@ -226,10 +234,18 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(read: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, subtree) of subtrees on ``min_pages`` or more different pages."""
+    """(host, subtree) of subtrees on ``min_pages`` or more different pages
+    and on ``MIN_SHARE`` of its host's."""
     pages = read.groupBy("host", "print").agg(F.first("subtrees").alias("subtrees"))
     each = pages.select("host", F.explode("subtrees").alias("subtree"))
-    return each.groupBy("host", "subtree").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages).drop("pages")
+    found = each.groupBy("host", "subtree").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    # hosts where the share asks for more than min_pages
+    least = read.select("host", "print").distinct().groupBy("host").agg(F.ceil(F.count("*") * MIN_SHARE).alias("least"))
+    least = stage(least.where(F.col("least") > min_pages), "large-hosts")
+    if least.count() <= MAX_BROADCAST:
+        least = F.broadcast(least)
+    found = found.join(least, "host", "left").where(F.coalesce(F.col("pages") >= F.col("least"), F.lit(True)))
+    return found.select("host", "subtree")
 
 
 def extract(

@@ -57,6 +57,20 @@ def test_quoted_paragraphs_of_articles_stay(spark):
     assert all(r.text == f"Own {r.page_id}.\nA passage that all quote." for r in got.collect())
 
 
+def test_text_that_a_few_of_many_pages_share_stays(spark):
+    """300 pages of a host: its menu goes; headings, cells and boxes that some share stay."""
+    def body(i):
+        box = "<div>See the notes.</div>" if i % 20 == 0 else ""
+        return f"<div><span>Home</span></div><h2>Introduction</h2><p>Own {i}.</p><table><tr><td>Yes</td><td>{i}</td></tr></table>{box}"
+
+    rows = [(i, f"https://a.example/{i}", page(body(i))) for i in range(300)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 300
+    for r in got:
+        box = "\nSee the notes." if r.page_id % 20 == 0 else ""
+        assert r.text == f"Introduction\nOwn {r.page_id}.\nYes\n{r.page_id}{box}"
+
+
 def test_recall_of_the_permutation_index(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     want = permutation_index.exact(table)
