@@ -1,13 +1,10 @@
 import os
 import sys
-from datetime import datetime
 
 import pytest
-from pyspark.sql.types import StructField, StructType
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from marquee import contracts as C  # noqa: E402
 from marquee.session import build_session  # noqa: E402
 
 
@@ -16,15 +13,3 @@ def spark():
     session = build_session("local[*]", "marquee-tests", shuffle_partitions=8)
     yield session
     session.stop()
-
-
-def ts(value: str) -> datetime:
-    return datetime.fromisoformat(value)
-
-
-def rows(spark, entity: str, records: list[dict], extra: dict | None = None):
-    """A frame with ``entity``'s contract; unspecified fields are NULL."""
-    # landed files relax declared non-null fields, so fixtures may hold NULL keys
-    schema = StructType([StructField(f.name, f.dataType, True) for f in C.CONTRACTS[entity].fields])
-    data = [tuple(r.get(f.name) for f in schema.fields) for r in records]
-    return spark.createDataFrame(data, schema)

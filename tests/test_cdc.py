@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import ts
+from lake_rows import ts
 from marquee.operators.cdc import drop_tombstones, latest_by_key
 
 

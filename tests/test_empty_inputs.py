@@ -1,4 +1,4 @@
-from conftest import rows
+from lake_rows import rows
 from marquee.operators import scd2
 from marquee.plans import facts, marts, silver
 

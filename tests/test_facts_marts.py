@@ -1,6 +1,6 @@
 from datetime import date
 
-from conftest import ts
+from lake_rows import ts
 from marquee.operators.scd2 import bootstrap
 from marquee.plans import facts, marts
 from marquee.plans.facts import FACTS

@@ -1,4 +1,4 @@
-from conftest import rows, ts
+from lake_rows import rows, ts
 from marquee.plans import silver
 
 

@@ -4,7 +4,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows, ts
+from lake_rows import rows, ts
 from marquee.plans.catalog import INGESTED_AT, Tables
 from marquee.plans.layered import incremental_dim_venue, upsert_scd2_dim
 from marquee.session import run_folder
