@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee.llm import (
     fertility,
     html_text,
+    importance,
     jaccard,
     licences,
     mixing,
@@ -70,6 +71,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.draw(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
     "op2_packing": op2_packing,
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op11_importance": op11_importance,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_importance": importance.ORACLE_SQL}
