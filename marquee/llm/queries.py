@@ -13,6 +13,7 @@ from marquee.llm import (
     jaccard,
     licences,
     mixing,
+    nra,
     packing,
     permutation_index,
     pitman_yor,
@@ -76,6 +77,10 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
     "op2_packing": op2_packing,
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
     "op11_importance": op11_importance,
+    "op13_nra": op13_nra,
 }
 
-ORACLE_SQL: dict[str, str] = {"op11_importance": importance.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op11_importance": importance.ORACLE_SQL, "op13_nra": nra.ORACLE_SQL}
