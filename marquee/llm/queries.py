@@ -18,6 +18,7 @@ from marquee.llm import (
     permutation_index,
     pitman_yor,
     quality,
+    secret_scan,
     token_files,
 )
 from marquee.llm.common import read
@@ -77,6 +78,10 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op13_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nra.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
     "op11_importance": op11_importance,
+    "op12_secrets": op12_secrets,
     "op13_nra": op13_nra,
 }
 
