@@ -24,6 +24,9 @@ DIM_AS_OF = "2024-06-01 00:00:00"
 MERGE_AS_OF = "2024-07-01 00:00:00"
 THIRD_AS_OF = "2024-08-01 00:00:00"
 
+# run times of a dimension history that lies within the time of the bookings
+TIMELINE = ("1995-06-01 00:00:00", "1997-06-01 00:00:00", "1999-06-01 00:00:00")
+
 ENTITIES = ("users", "venues", "movies", "shows", "bookings", "payments", "seat_holds", "promotions",
             "promotion_redemptions")
 
@@ -207,6 +210,17 @@ class Tables:
         third = conform.venues_third_snapshot(self.venues_next_snapshot)
         return scd2.merge(self.merged_dim("dim_venue"), third, key, tracked, THIRD_AS_OF)
 
+    def timeline(self, dim: str) -> DataFrame:
+        """A dimension of shows or venues after three snapshots, at ``TIMELINE``."""
+        entity, key, tracked = DIMENSIONS[dim]
+        first = self.silver_dimension(entity)
+        second = getattr(conform, f"{entity}_next_snapshot")(first)
+        third = getattr(conform, f"{entity}_third_snapshot")(second)
+        out = scd2.bootstrap(first, TIMELINE[0])
+        for snapshot, as_of in ((second, TIMELINE[1]), (third, TIMELINE[2])):
+            out = scd2.merge(out, snapshot, key, tracked, as_of)
+        return out
+
     # --- facts and marts ------------------------------------------------
     @cached_property
     def fact_bookings(self) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators.quality import FAILURES, expectation_metrics
-from marquee.plans import layered, marts, silver
+from marquee.plans import extensions, layered, marts, silver
 from marquee.plans.catalog import ENTITIES, INGESTED_AT, Tables
 from marquee.plans.views import create_user_view, user_view
 from marquee.session import run_folder
@@ -176,5 +176,6 @@ QUERIES: dict[str, Query] = {
     "stream_bronze_events": stream_bronze_events,
     "stream_silver_seat_state": stream_silver_seat_state,
     "stream_seat_state_resized": stream_seat_state_resized,
+    **extensions.QUERIES,
 }
 

@@ -283,6 +283,14 @@ def shows_next_snapshot(silver_shows: DataFrame) -> DataFrame:
     return kept.unionByName(_replaced(silver_shows.filter("show_id % 40 = 0"), {"show_id": "show_id + 5000000"}))
 
 
+def shows_third_snapshot(next_snapshot: DataFrame) -> DataFrame:
+    """Third snapshot: some prices change a second time, some screens change."""
+    return _replaced(next_snapshot, {
+        "base_price": "CASE WHEN show_id % 18 = 0 THEN base_price + 5.0D ELSE base_price END",
+        "screen_no": "CASE WHEN show_id % 7 = 3 THEN 99 ELSE screen_no END",
+    })
+
+
 def users_next_snapshot(silver_users: DataFrame) -> DataFrame:
     """Cities and names change, untracked phones change, nobody is gone."""
     return _replaced(silver_users, {
