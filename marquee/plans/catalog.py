@@ -43,7 +43,8 @@ LAYER_TABLES = (
     + [("silver", t) for t in (
         "silver_users", "silver_venues", "silver_movies", "silver_shows", "silver_bookings", "quarantine_bookings",
         "silver_payments", "quarantine_payments", "silver_seat_holds", "quarantine_seat_holds",
-        "silver_promotions", "quarantine_promotions", "silver_promotion_redemptions", "quarantine_redemptions")]
+        "silver_promotions", "quarantine_promotions", "silver_promotion_redemptions", "quarantine_redemptions",
+        "quarantine_users", "quarantine_venues", "quarantine_movies", "quarantine_shows")]
     + [("gold", t) for t in (
         "dim_venue", "dim_show", "dim_user", "fact_bookings", "fact_payments", "gold_daily_revenue",
         "fact_seat_occupancy", "fact_promotion_redemptions", "gold_promotion_performance",
@@ -153,6 +154,22 @@ class Tables:
     def silver_shows(self) -> DataFrame:
         return self.silver_dimension("shows")
 
+    @cached_property
+    def quarantine_users(self) -> DataFrame:
+        return silver.clean_dimension(self.bronze("users"), "users")[1]
+
+    @cached_property
+    def quarantine_venues(self) -> DataFrame:
+        return silver.clean_dimension(self.bronze("venues"), "venues")[1]
+
+    @cached_property
+    def quarantine_movies(self) -> DataFrame:
+        return silver.clean_dimension(self.bronze("movies"), "movies")[1]
+
+    @cached_property
+    def quarantine_shows(self) -> DataFrame:
+        return silver.clean_dimension(self.bronze("shows"), "shows")[1]
+
     @cached_property
     def _seat_holds(self) -> tuple[DataFrame, DataFrame]:
         return silver.clean_seat_holds(self.bronze("seat_holds"))

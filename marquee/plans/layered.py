@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import scd2
 from marquee.operators.quality import FAILURES
+from marquee.plans import silver
 from marquee.plans.catalog import DIM_AS_OF, DIMENSIONS, ENTITIES, LAYER_TABLES, MERGE_AS_OF, Tables
 from marquee.session import run_folder
 from marquee.sources.landing import CORRUPT, read_json, write_json
@@ -86,26 +87,20 @@ def dim_venue_after_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 VALID_FLAG = "_dq_valid"
 CHECKED_PARTITIONS = {VALID_FLAG: "boolean"}
 
-# gated domains: one written table holds both outcomes of the gate
+# one written table holds both outcomes of an entity's gate: entity, valid rows, the others
 GATED = {
-    "checked_bookings": ("silver_bookings", "quarantine_bookings"),
-    "checked_payments": ("silver_payments", "quarantine_payments"),
-    "checked_redemptions": ("silver_promotion_redemptions", "quarantine_redemptions"),
-    "checked_seat_holds": ("silver_seat_holds", "quarantine_seat_holds"),
-    "checked_promotions": ("silver_promotions", "quarantine_promotions"),
+    "checked_bookings": ("bookings", "silver_bookings", "quarantine_bookings"),
+    "checked_payments": ("payments", "silver_payments", "quarantine_payments"),
+    "checked_redemptions": ("promotion_redemptions", "silver_promotion_redemptions", "quarantine_redemptions"),
+    "checked_seat_holds": ("seat_holds", "silver_seat_holds", "quarantine_seat_holds"),
+    "checked_promotions": ("promotions", "silver_promotions", "quarantine_promotions"),
+    **{f"checked_{e}": (e, f"silver_{e}", f"quarantine_{e}") for e in ("users", "venues", "movies", "shows")},
 }
 
 
-def checked_table(valid: DataFrame, quarantined: DataFrame) -> DataFrame:
-    """Valid and quarantined rows of one gate as a single frame flagged by
-    ``_dq_valid``. Both sides share the same dedup exchange, which Spark
-    computes once for the union (exchange reuse); only rows without a key,
-    which take no part in the dedup, are scanned apart."""
-    return (
-        valid.withColumn(FAILURES, F.lit(None).cast("string"))
-        .unionByName(quarantined, allowMissingColumns=True)
-        .withColumn(VALID_FLAG, F.col(FAILURES).isNull())
-    )
+def checked_table(bronze: DataFrame, entity: str) -> DataFrame:
+    """``silver.checked`` with the flag that the written table is partitioned by."""
+    return silver.checked(bronze, entity).withColumn(VALID_FLAG, F.col(FAILURES).isNull())
 
 
 class _LayerWriter:
@@ -207,24 +202,21 @@ def run_layers(
     versions.update(writer.commit())
 
     layer = Tables(spark, bronze_frames={e: bronze[f"bronze_{e}"] for e in ENTITIES})
-    gated_names = {n for pair in GATED.values() for n in pair}
-    frames = {n: partial(getattr, layer, n) for lay, n in LAYER_TABLES if lay == "silver" and n not in gated_names}
-    frames.update({checked: partial(lambda v, q: checked_table(getattr(layer, v), getattr(layer, q)), v, q)
-                   for checked, (v, q) in GATED.items()})
+    frames = {checked: partial(lambda e: checked_table(layer.bronze(e), e), entity) for checked, (entity, _, _) in GATED.items()}
     written = writer.stage(frames, partitions={checked: CHECKED_PARTITIONS for checked in GATED})
-    silver = {n: written[n] for n in frames if n not in GATED}
-    for checked, (valid_name, quarantine_name) in GATED.items():
+    cleaned: dict[str, DataFrame] = {}
+    for checked, (_, valid_name, quarantine_name) in GATED.items():
         both = written[checked]
-        silver[valid_name] = both.filter(F.col(VALID_FLAG)).drop(VALID_FLAG, FAILURES, CORRUPT)
-        silver[quarantine_name] = both.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG)
+        cleaned[valid_name] = both.filter(F.col(VALID_FLAG)).drop(VALID_FLAG, FAILURES, CORRUPT)
+        cleaned[quarantine_name] = both.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG)
     versions.update(writer.commit())
 
     dims = writer.stage(
-        {name: partial(next_dim_version, store, name, silver[f"silver_{entity}"], key, tracked, as_of)
+        {name: partial(next_dim_version, store, name, cleaned[f"silver_{entity}"], key, tracked, as_of)
          for name, (entity, key, tracked) in DIMENSIONS.items()},
         partitions={name: DIM_PARTITIONS for name in DIMENSIONS},
     )
-    gold = Tables(spark, prebuilt={**silver, **dims})
+    gold = Tables(spark, prebuilt={**cleaned, **dims})
     # fact_bookings is joined on booking_id by the payment and redemption facts:
     # bucketing it once spares both joins a shuffle of the largest fact
     fact_buckets = {"fact_bookings": (bucket_count(spark), "booking_id")}
@@ -236,7 +228,7 @@ def run_layers(
 
     for name, version in versions.items():
         if name in GATED:
-            valid_name, quarantine_name = GATED[name]
+            _, valid_name, quarantine_name = GATED[name]
             valid = writer.valid_rows[name]
             report[valid_name] = (layers[valid_name], version, valid)
             report[quarantine_name] = (layers[quarantine_name], version, writer.rows[name] - valid)

@@ -76,7 +76,8 @@ LAYERS = {
     "bronze": [f"bronze_{e}" for e in ENTITIES],
     "silver": ["silver_users", "silver_venues", "silver_movies", "silver_shows", "silver_bookings", "quarantine_bookings",
                "silver_payments", "quarantine_payments", "silver_seat_holds", "quarantine_seat_holds",
-               "silver_promotions", "quarantine_promotions", "silver_promotion_redemptions", "quarantine_redemptions"],
+               "silver_promotions", "quarantine_promotions", "silver_promotion_redemptions", "quarantine_redemptions",
+               "quarantine_users", "quarantine_venues", "quarantine_movies", "quarantine_shows"],
     "gold": ["dim_venue", "dim_show", "dim_user", "fact_bookings", "fact_payments", "gold_daily_revenue",
              "fact_seat_occupancy", "fact_promotion_redemptions", "gold_promotion_performance",
              "gold_user_booking_summary"],
@@ -271,6 +272,7 @@ _cte("silver_payments",
 
 for _e in ("users", "venues", "movies", "shows"):
     _cte(f"silver_{_e}", _dedup(f"bronze_{_e}", _e, "drop"), f"bronze_{_e}")
+    _cte(f"quarantine_{_e}", f"SELECT *, '{_e[:-1]}_id_present' AS _dq_failures FROM bronze_{_e} WHERE {_e[:-1]}_id IS NULL", f"bronze_{_e}")
 
 _cte("valid_seat_holds", _valid("bronze_seat_holds", RULES["seat_holds"]), "bronze_seat_holds")
 _cte("silver_seat_holds", _dedup("valid_seat_holds", "seat_holds", "drop"), "valid_seat_holds")
@@ -484,11 +486,13 @@ def oracle_sql() -> dict[str, str]:
         "latest_bookings", "silver_bookings", "quarantine_bookings", "silver_payments", "silver_users",
         "silver_venues", "silver_movies", "silver_shows", "silver_seat_holds", "quarantine_seat_holds",
         "silver_promotions", "quarantine_promotions", "silver_promotion_redemptions", "dim_show", "dim_venue",
-        "quarantine_payments", "quarantine_redemptions", "dim_user", "scd2_merge_venue", "scd2_merge_show",
+        "quarantine_payments", "quarantine_redemptions", "quarantine_users", "quarantine_venues", "quarantine_movies",
+        "quarantine_shows", "dim_user", "scd2_merge_venue", "scd2_merge_show",
         "scd2_merge_user", "scd2_three_snapshots_venue", "scd2_close_missing_venue", "fact_bookings", "fact_payments", "fact_seat_occupancy",
         "fact_promotion_redemptions", "gold_daily_revenue", "gold_promotion_performance",
         "gold_user_booking_summary")}
-    q.update({f"bronze_{e}": _select(f"bronze_{e}") for e in ENTITIES})
+    q.update({f"bronze_{e}": with_ctes(f"SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM bronze_{e}", f"bronze_{e}")
+              for e in ENTITIES})
     q["quarantine_malformed"] = _quarantine_malformed()
     q["dim_venue_after_failed_run"] = _select("scd2_merge_venue")
     q["incremental_dim_venue"] = _select("scd2_merge_venue")

@@ -106,6 +106,7 @@ def oracle_sql() -> dict[str, str]:
         "ext_fact_bookings_asof": "fact_bookings_asof", "ext_clickstream_sessions": "sessions",
         "stream_clickstream_sessions": "sessions", "ext_velocity_flags": "velocity", "ext_regional_revenue": "regional",
         "ext_dim_date": "dim_date", "ext_daily_revenue_calendar": "daily_calendar", "ext_drift_report": "drift",
+        "stream_live_seat_occupancy": "fact_seat_occupancy",
     }
     q = {name: with_ctes(f"SELECT * FROM {table}", table) for name, table in table_of.items()}
     q["stream_velocity_flags"] = with_ctes("SELECT * EXCLUDE (n_items) FROM velocity", "velocity")

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators.quality import FAILURES, expectation_metrics
@@ -43,34 +45,32 @@ def _bronze(entity: str) -> Query:
     return run
 
 
+def _outcomes(spark: SparkSession, sf_dir: str, root: str, entity: str) -> DataFrame:
+    """Land an entity with lines cut off, write bronze once and count what
+    became of its lines: one scan of bronze, one aggregation beside the dedup."""
+    write_with_cut_lines(conform.landed(spark, sf_dir, entity), f"{root}/{entity}", entity)
+    lines = bronze(read_json(spark, f"{root}/{entity}", entity), entity, INGESTED_AT)
+    landed = Observation(f"landed_{entity}")
+    lines.observe(landed, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/bronze_{entity}")
+    checked = silver.checked(spark.read.schema(lines.schema).parquet(f"{root}/bronze_{entity}"), entity)
+    return checked.agg(
+        F.lit(entity).alias("entity"),
+        F.lit(landed.get["n"]).cast("long").alias("landed_lines"),
+        F.count_if(F.col(FAILURES) == silver.PARSE_FAILURE).alias("malformed_lines"),
+        F.count_if(F.col(FAILURES).isNull()).alias("valid_rows"),
+        F.count_if(F.col(FAILURES).isNotNull()).alias("quarantined_rows"),
+    ).withColumn("superseded_rows", F.expr("landed_lines - valid_rows - quarantined_rows"))
+
+
 def quarantine_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine entities landed with lines cut off, read back, and accounted
     for: per entity the landed and malformed lines, valid and quarantined rows,
-    and the versions that a newer one or a delete supersedes."""
+    and the versions that a newer one or a delete supersedes. The entities are
+    independent jobs."""
     root = run_folder(spark, "landing-cut")
-    out = None
-    for entity in ENTITIES:
-        write_with_cut_lines(conform.landed(spark, sf_dir, entity), f"{root}/{entity}", entity)
-        lines = read_json(spark, f"{root}/{entity}", entity, keep_corrupt=True)
-        bronze(lines, entity, INGESTED_AT).write.parquet(f"{root}/bronze_{entity}")
-        landed = spark.read.parquet(f"{root}/bronze_{entity}")
-        valid, quarantined = silver.clean(landed, entity)
-        parts = [
-            landed.select(F.lit("landed_lines").alias("what"), F.lit(1).alias("n")),
-            valid.select(F.lit("valid_rows").alias("what"), F.lit(1).alias("n")),
-            quarantined.select(F.lit("quarantined_rows").alias("what"), F.lit(1).alias("n")),
-            quarantined.where(F.col(FAILURES) == silver.PARSE_FAILURE).select(F.lit("malformed_lines").alias("what"), F.lit(1).alias("n")),
-        ]
-        counted = parts[0]
-        for part in parts[1:]:
-            counted = counted.unionByName(part)
-        sums = {w: F.coalesce(F.sum(F.when(F.col("what") == w, F.col("n"))), F.lit(0)).alias(w)
-                for w in ("landed_lines", "malformed_lines", "valid_rows", "quarantined_rows")}
-        row = counted.agg(*sums.values()).select(
-            F.lit(entity).alias("entity"), *sums, F.expr("landed_lines - valid_rows - quarantined_rows").alias("superseded_rows")
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    with ThreadPoolExecutor(layered.PARALLEL_TABLES) as pool:
+        parts = list(pool.map(lambda entity: _outcomes(spark, sf_dir, root, entity), ENTITIES))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def dim_user_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +143,11 @@ def stream_seat_state_resized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state
 
 
+def stream_live_seat_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occupancy from counts that follow the stream, after two deliveries."""
+    return runs.stream_live_seat_occupancy(spark, sf_dir, INGESTED_AT)
+
+
 QUERIES: dict[str, Query] = {
     **{f"bronze_{entity}": _bronze(entity) for entity in ENTITIES},
     "quarantine_malformed": quarantine_malformed,
@@ -151,6 +156,7 @@ QUERIES: dict[str, Query] = {
         "silver_venues", "silver_movies", "silver_shows", "silver_seat_holds", "quarantine_seat_holds",
         "silver_promotions", "quarantine_promotions", "silver_promotion_redemptions",
         "quarantine_payments", "quarantine_redemptions",
+        "quarantine_users", "quarantine_venues", "quarantine_movies", "quarantine_shows",
         "dim_show", "dim_venue", "dim_user",
         "fact_bookings", "fact_payments", "fact_seat_occupancy", "fact_promotion_redemptions",
         "gold_daily_revenue", "gold_promotion_performance", "gold_user_booking_summary",
@@ -176,6 +182,7 @@ QUERIES: dict[str, Query] = {
     "stream_bronze_events": stream_bronze_events,
     "stream_silver_seat_state": stream_silver_seat_state,
     "stream_seat_state_resized": stream_seat_state_resized,
+    "stream_live_seat_occupancy": stream_live_seat_occupancy,
     **extensions.QUERIES,
 }
 

@@ -7,12 +7,12 @@ first, so the newest *good* version wins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee import contracts as C
 from marquee.operators.cdc import drop_tombstones, keys_present, latest_by_key
-from marquee.operators.quality import FAILURES, Rule, gate
+from marquee.operators.quality import FAILURES, Rule, failed_rules, gate, passes_all
 from marquee.sources.landing import CORRUPT
 
 
@@ -60,6 +60,19 @@ REDEMPTION_RULES = [
     Rule("discount_amount_non_negative", "discount_amount IS NOT NULL AND discount_amount >= 0"),
 ]
 
+RULES = {
+    "bookings": BOOKING_RULES,
+    "payments": PAYMENT_RULES,
+    "seat_holds": SEAT_HOLD_RULES,
+    "promotions": PROMOTION_RULES,
+    "promotion_redemptions": REDEMPTION_RULES,
+    **{e: [Rule(f"{k}_present", _present(k)) for k in C.KEYS[e]] for e in ("users", "venues", "movies", "shows")},
+}
+#: the newest valid version of a key stands for it; elsewhere the newest version does, valid or not
+GATE_FIRST = ("seat_holds", "promotions")
+#: columns that a valid row has in upper case and without spaces around
+NORMALISED = {"bookings": "booking_status", "payments": "payment_status"}
+
 
 # fixed values: the declared expectations of the silver tables
 EXPECTATIONS = {
@@ -147,7 +160,7 @@ def clean_payments(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def clean_dimension(bronze: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
     """Newest version per key; rows without a key are quarantined."""
-    return _dedup_then_gate(bronze, entity, [Rule(f"{k}_present", _present(k)) for k in C.KEYS[entity]])
+    return _dedup_then_gate(bronze, entity, RULES[entity])
 
 
 def clean_seat_holds(bronze: DataFrame, null_safe: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -184,3 +197,39 @@ def clean(bronze: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
         "promotion_redemptions": clean_redemptions,
     }
     return gates[entity](bronze) if entity in gates else clean_dimension(bronze, entity)
+
+
+def judged(newest: DataFrame, entity: str) -> DataFrame:
+    """Rows that stand for themselves with ``_dq_failures``, which is NULL for
+    the valid ones; deleted bookings are gone and valid statuses normalised."""
+    if entity == "bookings":
+        newest = drop_tombstones(newest)
+    failures = F.nullif(F.array_join(failed_rules(RULES[entity]), ","), F.lit(""))
+    if CORRUPT in newest.columns:
+        failures = F.when(F.col(CORRUPT).isNotNull(), F.lit(PARSE_FAILURE)).otherwise(failures)
+    out = newest.withColumn(FAILURES, failures)
+    if entity in NORMALISED:
+        status = F.col(NORMALISED[entity])
+        out = out.withColumn(NORMALISED[entity], F.when(F.col(FAILURES).isNull(), F.upper(F.trim(status))).otherwise(status))
+    return out
+
+
+def alone(bronze: DataFrame, entity: str) -> Column:
+    """Whether a row is no version of any key: a malformed line, a row without
+    a key, or, where the gate comes before the dedup, one that fails it."""
+    out = ~passes_all(RULES[entity]) if entity in GATE_FIRST else ~keys_present(C.KEYS[entity])
+    return out | F.col(CORRUPT).isNotNull() if CORRUPT in bronze.columns else out
+
+
+def checked(bronze: DataFrame, entity: str) -> DataFrame:
+    """Both outcomes of an entity's cleaning in one frame: the rows of ``clean``'s
+    valid and quarantined side, told apart by ``_dq_failures``.
+
+    Bronze is read once and shuffled once. Rows that are no version of any key
+    go through the dedup as groups of their own, dealt evenly by a number that
+    each gets, so a mass of rows without a key is no hot group.
+    """
+    own = F.when(alone(bronze, entity), F.monotonically_increasing_id())
+    keys = [*C.KEYS[entity], "_alone"]
+    newest = latest_by_key(bronze.withColumn("_alone", own), keys, C.version_order(entity), null_keys="group")
+    return judged(newest.drop("_alone"), entity)

@@ -64,12 +64,13 @@ def write_with_cut_lines(df: DataFrame, path: str, entity: str) -> None:
     df.withColumn("line", line).select(F.explode(F.expr(cut)).alias("value")).write.mode("errorifexists").text(path)
 
 
-def read_json(spark: SparkSession, path: str, entity: str, keep_corrupt: bool = False) -> DataFrame:
+def read_json(spark: SparkSession, path: str, entity: str, keep_corrupt: bool = True) -> DataFrame:
     """Batch scan of every landed file under ``path`` (globs allowed).
 
     PERMISSIVE mode: a wrongly typed field becomes NULL; a malformed line
-    becomes a row whose ``_corrupt_record`` holds the raw text (kept when
-    ``keep_corrupt``, so a gate can quarantine it).
+    becomes a row whose ``_corrupt_record`` holds the raw text, so a gate can
+    quarantine it. ``keep_corrupt=False`` is for files that are known to be
+    whole: the column is left out.
     """
     schema = C.CONTRACTS[entity]
     reader = spark.read.options(**JSON_OPTIONS)

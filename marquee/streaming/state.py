@@ -5,48 +5,52 @@ merged into a state table by hand:
 
 1. the batch's valid rows are reduced to the newest row per key (a hot key
    is collapsed map-side by the partial aggregation);
-2. keys are hashed into a fixed number of buckets; only the buckets the
-   batch touches are read from the state (partition pruning);
-3. state rows and batch rows of those buckets (at most two rows per key) are
-   repartitioned by bucket and reduced again, so each bucket is one task
-   and one file;
-4. the touched buckets are written as a new version next to the old ones, and
-   one commit record makes them the state's.
+2. the state is a bucketed table (``sources.buckets``): only the buckets the
+   batch touches are read, reduced again together with the batch (at most two
+   rows per key) and written as a new version;
+3. aggregates that are declared on the state (``Live``) change by what the
+   touched keys contributed before and contribute now;
+4. one manifest makes state and aggregates the new ones, together.
 
 Nothing that can be read is ever overwritten: a batch that breaks off before
 its commit leaves the state as it was, and its replay starts the version anew.
-A batch whose commit is there is not applied again. The commit records also
-hold the number of buckets, which is the state's for good: a later run that
-asks for another number gets the stored one, so a key never has two homes.
-
-The cost of a batch follows the batch, not the size of the state. Choose
-``buckets`` as the expected size of the state over ``BUCKET_BYTES``. Bucket
-versions that newer ones replace can be deleted at any time
-(``superseded()`` names them).
+A batch whose commit is there is not applied again. The number of buckets is
+the state's for good: a later run that asks for another number gets the stored
+one, so a key never has two homes.
+
+The cost of a batch follows the batch, not the size or the age of the state:
+its buckets are found by path, the manifest has one number per bucket, and what
+a batch replaces is deleted by the next but one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from marquee.operators.cdc import latest_by_key
 from marquee.operators.quality import Rule, gate
 from marquee.plans.silver import split_parsed
+from marquee.sources.buckets import BUCKET, BucketStore, buckets_for
 from marquee.sources.landing import CORRUPT
 
-BUCKET = "state_bucket"
-VERSION = "state_version"
-#: what one bucket of the state should hold
-BUCKET_BYTES = 256 << 20
-COMMITS = "batch_id long, version long, buckets int, bucket int"
+__all__ = ["LatestStateSink", "Live", "buckets_for"]
+
+STATE = "data"
 
 
-def buckets_for(state_bytes: int) -> int:
-    return max(1, -(-state_bytes // BUCKET_BYTES))
+@dataclass(frozen=True)
+class Live:
+    """A sum over the state per ``by`` that is kept up with every batch."""
+
+    name: str
+    by: str
+    #: SQL over a state row: what it adds, a whole number
+    adds: str
+    buckets: int = 8
 
 
 class LatestStateSink:
@@ -59,54 +63,27 @@ class LatestStateSink:
         order_cols: Sequence[str],
         rules: Sequence[Rule],
         buckets: int = 32,
+        live: Sequence[Live] = (),
     ) -> None:
-        """``buckets`` counts only for a state that does not exist yet."""
+        """``buckets`` counts only for a state that does not exist yet, and
+        ``live`` has to be the same from the state's first batch on."""
         self.spark = spark
-        self.state_dir = state_dir
+        self.store = BucketStore(spark, state_dir)
         self.quarantine_dir = quarantine_dir
         self.keys = list(keys)
         self.order_cols = list(order_cols)
         self.rules = list(rules)
         self.requested = buckets
-
-    @property
-    def _data(self) -> str:
-        return f"{self.state_dir}/data"
-
-    def _commits(self) -> DataFrame:
-        # an empty log is created on first use ("ignore" is a no-op once it exists)
-        log = f"{self.state_dir}/commits"
-        self.spark.createDataFrame([], COMMITS).write.mode("ignore").parquet(log)
-        return self.spark.read.schema(COMMITS).parquet(log)
+        self.live = list(live)
 
     def committed(self) -> tuple[int, int, int, dict[int, int]]:
-        """(last batch, last version, number of buckets, version per bucket):
-        one row per bucket reaches the driver."""
-        rows = (
-            self._commits().groupBy("bucket")
-            .agg(F.max("batch_id").alias("b"), F.max("version").alias("v"), F.max("buckets").alias("n")).collect()
-        )
-        if not rows:
-            return -1, 0, self.requested, {}
-        return (
-            max(r["b"] for r in rows), max(r["v"] for r in rows), rows[0]["n"],
-            {r["bucket"]: r["v"] for r in rows if r["bucket"] >= 0},
-        )
-
-    @staticmethod
-    def _is(versions: dict[int, int]) -> Column:
-        """Rows of the given version of each bucket, as partition predicates."""
-        by_version: dict[int, list[int]] = {}
-        for bucket, version in sorted(versions.items()):
-            by_version.setdefault(version, []).append(bucket)
-        out = F.lit(False)
-        for version, buckets in by_version.items():
-            out = out | ((F.col(VERSION) == version) & F.col(BUCKET).isin(buckets))
-        return out
+        """(last batch, last version, number of buckets, version per bucket)."""
+        m = self.store.manifest()
+        return m.note, m.commit, m.buckets(STATE) or self.requested, m.versions(STATE)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        last_batch, last_version, buckets, versions = self.committed()
-        if batch_id <= last_batch:
+        change = self.store.change()
+        if batch_id <= change.before.note:
             return  # replayed after its commit
         parsed, malformed = split_parsed(batch)
         valid, quarantined = gate(parsed, self.rules)
@@ -115,39 +92,44 @@ class LatestStateSink:
         static = {"partitionOverwriteMode": "static"}
         quarantined.write.mode("overwrite").options(**static).parquet(f"{self.quarantine_dir}/batch={batch_id}")
 
-        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(buckets)).cast("int")
-        newest = latest_by_key(valid, self.keys, self.order_cols, null_keys="drop").withColumn(BUCKET, bucket).persist()
+        newest = latest_by_key(valid, self.keys, self.order_cols, null_keys="drop").persist()
         try:
-            # at most `buckets` small ints reach the driver
-            touched = sorted(r[0] for r in newest.select(BUCKET).distinct().collect())
-            version = last_version + 1
-            if touched:
-                schema = newest.schema
-                held = {b: versions[b] for b in touched if b in versions}
-                if held:
-                    schema_on_disk = StructType([*schema.fields[:-1], StructField(VERSION, LongType()), StructField(BUCKET, IntegerType())])
-                    state = self.spark.read.schema(schema_on_disk).parquet(self._data).filter(self._is(held)).drop(VERSION)
-                    merged = state.unionByName(newest).repartition(F.col(BUCKET))
-                    out = latest_by_key(merged, [BUCKET, *self.keys], self.order_cols, null_keys="drop")
-                else:
-                    out = newest.repartition(F.col(BUCKET))
-                # a folder that an attempt without commit left is cleared as a whole
-                out.write.mode("overwrite").options(**static).partitionBy(BUCKET).parquet(f"{self._data}/{VERSION}={version}")
-            rows = [(batch_id, version, buckets, b) for b in touched] or [(batch_id, last_version, buckets, -1)]
-            self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.state_dir}/commits")
+            old, new = change.merge(
+                STATE, newest, self.keys,
+                lambda both: latest_by_key(both, [BUCKET, *self.keys], self.order_cols, null_keys="drop"), self.requested,
+            )
+            for live in self.live:
+                self._follow(change, live, old, new, newest)
+            change.commit(batch_id)
         finally:
             newest.unpersist()
 
+    def _follow(self, change, live: Live, old: DataFrame, new: DataFrame, newest: DataFrame) -> None:
+        """Add to the touched groups what the batch's keys add now, less what
+        they added before."""
+        touched = newest.select(*self.keys)
+
+        def added(rows: DataFrame, sign: str) -> DataFrame:
+            mine = rows.join(touched, self.keys, "left_semi")
+            return mine.select(live.by, F.expr(f"{sign}CAST({live.adds} AS BIGINT)").alias("n"))
+
+        moved = added(new, "").unionByName(added(old, "-")).groupBy(live.by).agg(F.sum("n").alias("n"))
+        change.merge(
+            live.name, moved.where("n <> 0"), [live.by],
+            lambda both: both.groupBy(BUCKET, live.by).agg(F.sum("n").alias("n")), live.buckets,
+        )
+
     def read(self) -> DataFrame:
         """The committed state."""
-        *_, versions = self.committed()
-        return self.spark.read.parquet(self._data).filter(self._is(versions)).drop(VERSION, BUCKET)
-
-    def superseded(self) -> list[tuple[int, int]]:
-        """(version, bucket) of committed bucket versions that a newer one replaced."""
-        *_, versions = self.committed()
-        rows = self._commits().where("bucket >= 0").select("version", "bucket").distinct().collect()
-        return sorted((r["version"], r["bucket"]) for r in rows if versions[r["bucket"]] != r["version"])
+        return self.store.read(STATE)
+
+    def read_live(self, name: str) -> DataFrame:
+        """The committed sums of a ``Live``: its group and ``n``."""
+        return self.store.read(name)
+
+    def superseded(self) -> list[str]:
+        """Folders that the last commit replaced; the next one deletes them."""
+        return self.store.manifest().replaced
 
     def read_quarantine(self) -> DataFrame:
         return self.spark.read.parquet(self.quarantine_dir).drop("batch")

@@ -78,12 +78,16 @@ def test_bucketed_fact_spares_the_join_a_shuffle(spark, tables, capsys):
     assert fact.count() == tables.fact_bookings.count()
 
 
-def test_gated_table_reuses_the_dedup_exchange(tables, capsys):
-    from marquee.plans.layered import checked_table
-
-    both = checked_table(tables.silver_bookings, tables.quarantine_bookings)
-    both.collect()  # the final adaptive plan shows which exchanges were reused
-    both.explain()
-    plan = capsys.readouterr().out
-    assert "isFinalPlan=true" in plan
-    assert "ReusedExchange" in plan
+@pytest.mark.parametrize("checked", ["checked_bookings", "checked_payments", "checked_seat_holds", "checked_users"])
+def test_gated_table_is_one_scan_and_one_shuffle(spark, checked, capsys):
+    from marquee.plans.layered import GATED, checked_table
+    from marquee.session import run_folder
+
+    entity = GATED[checked][0]
+    folder = run_folder(spark, "test-one-scan")
+    Tables(spark, SF).bronze(entity).selectExpr("*", "cast(null as string) _corrupt_record").write.parquet(folder)
+    both = checked_table(spark.read.parquet(folder), entity)
+    assert both.count() > 0
+    plan = _plan(both, capsys)
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, flags=re.M)) == 1
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, flags=re.M)) == 1

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from lake_rows import rows, ts
 from marquee.plans import silver
 
@@ -129,3 +131,24 @@ def test_redemptions_quarantine_bad_references(spark):
     assert {r.redemption_id: r._dq_failures for r in quarantined.collect()} == {
         310: "promotion_id_present,booking_id_present", 311: "discount_amount_non_negative",
     }
+
+
+def test_one_pass_check_equals_both_sides_of_clean(spark):
+    """Every entity, with malformed lines, rows without keys and ties."""
+    from marquee.operators.quality import FAILURES
+    from marquee.plans.catalog import ENTITIES, INGESTED_AT, Tables
+    from marquee.session import run_folder
+    from marquee.sources.landing import CORRUPT, bronze, read_json, write_with_cut_lines
+
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    root = run_folder(spark, "test-checked")
+    for entity in ENTITIES:
+        write_with_cut_lines(tables.landed(entity), f"{root}/{entity}", entity)
+        lines = bronze(read_json(spark, f"{root}/{entity}", entity), entity, INGESTED_AT)
+        valid, quarantined = silver.clean(lines, entity)
+        both = silver.checked(lines, entity)
+        good = both.where(f"{FAILURES} IS NULL").drop(FAILURES, CORRUPT)
+        bad = both.where(f"{FAILURES} IS NOT NULL")
+        assert sorted(map(str, good.select(*valid.columns).collect())) == sorted(map(str, valid.collect())), entity
+        assert sorted(map(str, bad.select(*quarantined.columns).collect())) == sorted(map(str, quarantined.collect())), entity
+        assert bad.where(F.col(FAILURES) == silver.PARSE_FAILURE).count() > 0 or entity == "venues"

@@ -38,7 +38,7 @@ def test_malformed_json_line_is_kept_as_corrupt_record(spark):
     assert df.count() == 3
     assert df.filter(F.col(CORRUPT).isNotNull()).count() == 2  # malformed line and wrongly typed field
     # without the corrupt column the bad rows are silent
-    plain = read_json(spark, folder, "seat_holds")
+    plain = read_json(spark, folder, "seat_holds", keep_corrupt=False)
     assert plain.count() == 3
     assert plain.filter(F.col("seat_no").isNull()).count() == 1
 
