@@ -259,18 +259,22 @@ DELIVERY_SPLIT = {
 }
 
 
+def land_delivery(spark: SparkSession, sf_dir: str, entity: str, landing: str, delivery: int) -> None:
+    """Land the older (1) or the newer (2) rows of an entity as JSON files."""
+    older = F.coalesce(F.col("updated_at") < F.lit(DELIVERY_SPLIT[entity]).cast("timestamp_ntz"), F.lit(True))
+    rows = Tables(spark, sf_dir).landed(entity).filter(older if delivery == 1 else ~older)
+    write_json(rows, f"{landing}/{entity}/delivery-{delivery}")
+
+
 def incremental_layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze to gold from landed files in two deliveries into one store: the
     second run sees late versions, dedups them against the first delivery and
     merges all three dimensions. Reports the rows that the tables then hold."""
     root = run_folder(spark, "two-deliveries")
-    tables = Tables(spark, sf_dir)
     report: dict[str, tuple[str, int, int]] = {}
-    for delivery, as_of in (("1", DIM_AS_OF), ("2", MERGE_AS_OF)):
-        for entity in ENTITIES:
-            older = F.coalesce(F.col("updated_at") < F.lit(DELIVERY_SPLIT[entity]).cast("timestamp_ntz"), F.lit(True))
-            rows = tables.landed(entity).filter(older if delivery == "1" else ~older)
-            write_json(rows, f"{root}/landing/{entity}/delivery-{delivery}")
+    for delivery, as_of in ((1, DIM_AS_OF), (2, MERGE_AS_OF)):
+        with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
+            list(pool.map(lambda e: land_delivery(spark, sf_dir, e, f"{root}/landing", delivery), ENTITIES))
         report = run_layers(spark, sf_dir, f"{root}/store", as_of=as_of, landing=f"{root}/landing")
     # a dimension's version holds what its run changed: count what can be read
     store = SnapshotStore(spark, f"{root}/store")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.plans.oracle import _cte, _merged, _money_sum, _ts, with_ctes
+from marquee.plans.oracle import ENTITIES, LAYERS, _cte, _merged, _money_sum, _ts, with_ctes
 
 TIMELINE = ("1995-06-01 00:00:00", "1997-06-01 00:00:00", "1999-06-01 00:00:00")
 
@@ -116,6 +116,16 @@ def oracle_sql() -> dict[str, str]:
     q["ext_tokenized_users"] = with_ctes(
         f"SELECT {_token('user_id')} AS user_token, {_token('email')} AS email_token, {_token('phone')} AS phone_token, "
         "* EXCLUDE (user_id, email, phone, name, _ingested_at) FROM dim_user", "dim_user")
+    for e in ENTITIES:
+        if e != "seat_holds":
+            q[f"stream_bronze_{e}"] = with_ctes(f"SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM bronze_{e}", f"bronze_{e}")
+    counted = [(layer, t) for layer in ("bronze", "silver") for t in LAYERS[layer]]
+    q["incremental_silver_row_counts"] = with_ctes("\nUNION ALL\n".join(
+        f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {t}" for layer, t in counted), *[t for _, t in counted])
+    q["incremental_silver_bookings"] = with_ctes("SELECT * FROM silver_bookings", "silver_bookings")
+    q["bronze_of_one_ingest_date"] = with_ctes(
+        f"SELECT * REPLACE ({_ts('2024-06-02 00:00:00')} AS _ingested_at) FROM bronze_payments "
+        f"WHERE updated_at >= {_ts('1998-06-01 00:00:00')}", "bronze_payments")
     # joined on the raw values
     q["ext_tokenized_spend"] = with_ctes(
         f"SELECT u.city, count(*) AS total_bookings, {_money_sum('f.revenue')} AS total_revenue FROM fact_bookings f "

@@ -7,7 +7,7 @@ layer, so its work grows with them.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -22,9 +22,12 @@ from marquee.session import run_folder
 from marquee.sources import conform
 from marquee.sources.landing import CORRUPT, bronze, read_json, write_json, write_with_cut_lines
 from marquee.streaming import runs
+from marquee.streaming.incremental import Incremental, row_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+NEXT_INGESTED_AT = "2024-06-02 00:00:00"
+
 
 def _table(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +146,42 @@ def stream_seat_state_resized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state
 
 
+def _stream_bronze(entity: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Two deliveries of landed files, each picked up by a triggered stream."""
+        return runs.stream_bronze(spark, sf_dir, entity, INGESTED_AT, layered.DELIVERY_SPLIT[entity])
+
+    run.__name__ = f"stream_bronze_{entity}"
+    return run
+
+
+def _two_deliveries(spark: SparkSession, sf_dir: str, entities: Sequence[str], ingested_at: Sequence[str]) -> Incremental:
+    """Bronze and silver after two deliveries, the older rows first."""
+    root = run_folder(spark, "incremental-silver")
+    lake = Incremental(spark, root)
+    for i, at in enumerate(ingested_at):
+        with ThreadPoolExecutor(layered.PARALLEL_TABLES) as pool:
+            list(pool.map(lambda e: layered.land_delivery(spark, sf_dir, e, f"{root}/landing", i + 1), entities))
+        lake.run(f"{root}/landing", at, entities)
+    return lake
+
+
+def incremental_silver_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze appended and silver upserted by two deliveries: nothing is read
+    or computed twice. Reports the rows that the tables then hold."""
+    return row_counts(_two_deliveries(spark, sf_dir, ENTITIES, (INGESTED_AT, INGESTED_AT)))
+
+
+def incremental_silver_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_deliveries(spark, sf_dir, ("bookings",), (INGESTED_AT, INGESTED_AT)).silver("bookings")
+
+
+def bronze_of_one_ingest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of two deliveries, read back by its ingest date alone."""
+    lake = _two_deliveries(spark, sf_dir, ("payments",), (INGESTED_AT, NEXT_INGESTED_AT))
+    return lake.bronze("payments", NEXT_INGESTED_AT[:10]).drop(CORRUPT)
+
+
 def stream_live_seat_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Occupancy from counts that follow the stream, after two deliveries."""
     return runs.stream_live_seat_occupancy(spark, sf_dir, INGESTED_AT)
@@ -182,6 +221,10 @@ QUERIES: dict[str, Query] = {
     "stream_bronze_events": stream_bronze_events,
     "stream_silver_seat_state": stream_silver_seat_state,
     "stream_seat_state_resized": stream_seat_state_resized,
+    **{f"stream_bronze_{entity}": _stream_bronze(entity) for entity in ENTITIES if entity != "seat_holds"},
+    "incremental_silver_row_counts": incremental_silver_row_counts,
+    "incremental_silver_bookings": incremental_silver_bookings,
+    "bronze_of_one_ingest_date": bronze_of_one_ingest_date,
     "stream_live_seat_occupancy": stream_live_seat_occupancy,
     **extensions.QUERIES,
 }

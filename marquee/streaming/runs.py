@@ -26,10 +26,12 @@ def deliveries(landed: DataFrame, split_col: str = "updated_at", split_at: str =
     return [newer, older]
 
 
-def stream_bronze(spark: SparkSession, sf_dir: str, entity: str, ingested_at: str | None) -> DataFrame:
+def stream_bronze(
+    spark: SparkSession, sf_dir: str, entity: str, ingested_at: str | None, split_at: str = SPLIT_AT
+) -> DataFrame:
     root = run_folder(spark, f"stream-bronze-{entity}")
     landing, bronze_dir, checkpoint = f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint"
-    for i, part in enumerate(deliveries(conform.landed(spark, sf_dir, entity)), start=1):
+    for i, part in enumerate(deliveries(conform.landed(spark, sf_dir, entity), split_at=split_at), start=1):
         write_json(part, f"{landing}/delivery-{i}")
         ingest_available(spark, f"{landing}/*", entity, bronze_dir, checkpoint, ingested_at)
     return spark.read.parquet(bronze_dir)
