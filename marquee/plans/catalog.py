@@ -61,9 +61,12 @@ class Tables:
         ingested_at: str | None = INGESTED_AT,
         as_of: str = DIM_AS_OF,
         prebuilt: dict[str, DataFrame] | None = None,
+        hot_rows: int | None = None,
     ) -> None:
         """``prebuilt`` supplies tables already materialised (read back from
-        snapshots); anything built on top of them starts from there."""
+        snapshots); anything built on top of them starts from there.
+        ``hot_rows``: see ``facts.build``."""
+        self.hot_rows = hot_rows
         self.spark = spark
         self.sf_dir = sf_dir
         self.ingested_at = ingested_at
@@ -241,11 +244,11 @@ class Tables:
     # --- facts and marts ------------------------------------------------
     @cached_property
     def fact_bookings(self) -> DataFrame:
-        return facts.build(facts.FACTS["fact_bookings"], self.table)
+        return facts.build(facts.FACTS["fact_bookings"], self.table, self.hot_rows)
 
     @cached_property
     def fact_payments(self) -> DataFrame:
-        return facts.build(facts.FACTS["fact_payments"], self.table)
+        return facts.build(facts.FACTS["fact_payments"], self.table, self.hot_rows)
 
     @cached_property
     def occupied_seats(self) -> DataFrame:
@@ -253,11 +256,11 @@ class Tables:
 
     @cached_property
     def fact_seat_occupancy(self) -> DataFrame:
-        return facts.build(facts.FACTS["fact_seat_occupancy"], self.table)
+        return facts.build(facts.FACTS["fact_seat_occupancy"], self.table, self.hot_rows)
 
     @cached_property
     def fact_promotion_redemptions(self) -> DataFrame:
-        return facts.build(facts.FACTS["fact_promotion_redemptions"], self.table)
+        return facts.build(facts.FACTS["fact_promotion_redemptions"], self.table, self.hot_rows)
 
     @cached_property
     def gold_daily_revenue(self) -> DataFrame:

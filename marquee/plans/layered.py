@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import scd2
 from marquee.operators.quality import FAILURES
+from marquee.operators.skew import HOT_ROWS
 from marquee.plans import silver
 from marquee.plans.catalog import DIM_AS_OF, DIMENSIONS, ENTITIES, LAYER_TABLES, MERGE_AS_OF, Tables
 from marquee.session import run_folder
@@ -27,6 +28,9 @@ from marquee.sources.snapshots import SnapshotStore
 
 DIM_PARTITIONS = {"is_current": "boolean"}
 
+#: versions of a dimension after which its closed rows are brought together
+COMPACT_EVERY = 50
+
 # independent tables of one layer are built as concurrent Spark jobs
 PARALLEL_TABLES = 8
 
@@ -175,6 +179,7 @@ def run_layers(
     ingested_at: str | None = None,
     as_of: str = DIM_AS_OF,
     landing: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> dict[str, tuple[str, int, int]]:
     """Full bronze -> silver -> gold build into a snapshot store.
 
@@ -187,7 +192,9 @@ def run_layers(
     ``root``; ``as_of`` is the run's change time (pass a later one per run).
     With ``landing`` bronze is read from the JSON files landed under
     ``<landing>/<entity>/``, malformed lines included; else it is derived from
-    the test tables.
+    the test tables. Keys with ``hot_rows`` bookings, payments or redemptions
+    are joined apart. At the end, versions that newer ones have replaced are
+    deleted, and long histories of dimensions compacted.
     Returns ``{table: (layer, version, rows)}``.
     """
     store = SnapshotStore(spark, root) if root else SnapshotStore(spark, run_folder(spark, "lakehouse"), fresh=True)
@@ -216,7 +223,7 @@ def run_layers(
          for name, (entity, key, tracked) in DIMENSIONS.items()},
         partitions={name: DIM_PARTITIONS for name in DIMENSIONS},
     )
-    gold = Tables(spark, prebuilt={**cleaned, **dims})
+    gold = Tables(spark, prebuilt={**cleaned, **dims}, hot_rows=hot_rows)
     # fact_bookings is joined on booking_id by the payment and redemption facts:
     # bucketing it once spares both joins a shuffle of the largest fact
     fact_buckets = {"fact_bookings": (bucket_count(spark), "booking_id")}
@@ -226,6 +233,11 @@ def run_layers(
         gold.__dict__.update(writer.stage({name: partial(getattr, gold, name) for name in wave}, buckets=fact_buckets))
     versions.update(writer.commit())
 
+    for name, version in versions.items():
+        if name in DIMENSIONS and version % COMPACT_EVERY == 0:
+            store.compact_history(name)
+    store.vacuum()
+
     for name, version in versions.items():
         if name in GATED:
             _, valid_name, quarantine_name = GATED[name]
