@@ -91,3 +91,31 @@ def test_gated_table_is_one_scan_and_one_shuffle(spark, checked, capsys):
     plan = _plan(both, capsys)
     assert len(re.findall(r"^\(\d+\) Scan parquet", plan, flags=re.M)) == 1
     assert len(re.findall(r"^\(\d+\) Exchange", plan, flags=re.M)) == 1
+
+
+@pytest.mark.parametrize("fact", ["fact_payments", "fact_promotion_redemptions"])
+def test_hot_booking_is_joined_apart(spark, fact, capsys):
+    """A booking with a third of the payments: with the broadcast of whole
+    tables off, its rows meet a few broadcast rows, and the result is the same."""
+    from pyspark.sql import functions as F
+
+    from marquee.plans import facts
+
+    source = Tables(spark, SF)
+    base = facts.FACTS[fact].base
+    some = source.fact_bookings.orderBy("booking_id").first().booking_id
+    frames = {base: source.table(base).withColumn("booking_id", F.expr(f"if(booking_id % 3 = 0, {some}L, booking_id)")),
+              "fact_bookings": source.fact_bookings, "silver_promotions": source.silver_promotions}
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plain = facts.build(facts.FACTS[fact], frames.__getitem__)
+        split = facts.build(facts.FACTS[fact], frames.__getitem__, hot_rows=frames[base].count() // 4)
+        assert "BroadcastHashJoin" in _plan(split, capsys) and "BroadcastHashJoin" not in _plan(plain, capsys)
+        assert split.columns == plain.columns
+        assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -8,6 +8,7 @@ from lake_rows import rows, ts
 from marquee.plans.catalog import INGESTED_AT, Tables
 from marquee.plans.layered import incremental_dim_venue, upsert_scd2_dim
 from marquee.session import run_folder
+from marquee.sources import files
 from marquee.sources.landing import CORRUPT, read_json, write_json
 from marquee.sources.snapshots import SnapshotStore
 from marquee.streaming import runs
@@ -175,3 +176,40 @@ def test_staged_leftovers_of_a_failed_attempt_are_not_published(spark):
     store = SnapshotStore(spark, root)
     store.write(frame.where("is_current"), "t", ["is_current"])
     assert [r.k for r in SnapshotStore(spark, root).read("t").collect()] == [1]
+
+
+def test_vacuum_keeps_two_versions_and_all_history(spark):
+    store = SnapshotStore(spark, run_folder(spark, "test-vacuum"))
+    for n in range(1, 5):
+        store.write(spark.createDataFrame([(n,)], "k long"), "t")
+        # every version closes the row that the one before had open
+        closed = [(n - 1, False)] if n > 1 else []
+        store.write(spark.createDataFrame([*closed, (n, True)], "k long, is_current boolean"), "dim", ["is_current"])
+    store.vacuum()
+    again = SnapshotStore(spark, store.root)
+    assert [r.k for r in again.read("t").collect()] == [4] and [r.k for r in again.read("t", 3).collect()] == [3]
+    assert [n for n in files.names(spark, f"{store.root}/t") if n.startswith("v=")] == ["v=00000003", "v=00000004"]
+    history = sorted((r.k, r.is_current) for r in again.read_history("dim").collect())
+    assert history == [(1, False), (2, False), (3, False), (4, True)]
+    # brought together: earlier versions are read no more, and go
+    version = again.compact_history("dim")
+    for store_ in (again, SnapshotStore(spark, store.root)):
+        assert sorted((r.k, r.is_current) for r in store_.read_history("dim").collect()) == history
+    again.vacuum(keep=1)
+    assert [n for n in files.names(spark, f"{store.root}/dim") if n.startswith("v=")] == [f"v={version:08d}"]
+    again.write(spark.createDataFrame([(4, False), (5, True)], "k long, is_current boolean"), "dim", ["is_current"])
+    later = SnapshotStore(spark, store.root).read_history("dim").collect()
+    assert sorted((r.k, r.is_current) for r in later) == [*history[:3], (4, False), (5, True)]
+
+
+def test_many_commit_records_become_one(spark, monkeypatch):
+    from marquee.sources import snapshots
+
+    monkeypatch.setattr(snapshots, "LOG_FILES", 3)
+    store = SnapshotStore(spark, run_folder(spark, "test-log"))
+    for n in range(5):
+        store.write(spark.createDataFrame([(n,)], "k long"), f"t{n % 2}")
+    store.vacuum()
+    assert len([n for n in files.names(spark, f"{store.root}/_log") if n.endswith(".parquet")]) == 1
+    again = SnapshotStore(spark, store.root)
+    assert [again.latest_version(t) for t in ("t0", "t1")] == [3, 2] and [r.k for r in again.read("t0").collect()] == [4]
