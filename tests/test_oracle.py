@@ -8,14 +8,17 @@ import pytest
 
 import __spark_entry__ as entry
 from marquee.operators.quality import Rule
-from marquee.plans import silver
-from marquee.plans.oracle import oracle_sql
+from marquee.plans import oracle, oracle_extensions, silver
 from marquee.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
+def oracle_sql():
+    return oracle.oracle_sql() | oracle_extensions.oracle_sql()
+
+
 def _canon(v):
     if isinstance(v, bool) or v is None:
         return v
