@@ -28,13 +28,14 @@ _DROPPING = re.compile(f"[^{_SPACE}]+")
 #: str.split() cuts at these as well, the tokenizers don't
 _ONLY_PYTHON = re.compile("[\x1c-\x1f]")
 
-#: letters with signs after them; both vocabularies split between the two
-_WORD_AND_SIGNS = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]+)")
-_LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: letters, or letters with signs after them; both vocabularies split between the two
+_WORD_AND_SIGNS = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 #: byte-level vocabularies show a byte as its own character if that is a
 #: visible one of Latin-1, else as the next free character from 256 on
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+#: what a character of ``_WORD_AND_SIGNS``' letters looks like byte by byte
+_SHOWN = {chr(c): chr(c).encode().decode("latin-1").translate(_BYTE_LEVEL) for c in range(256)}
 
 #: entries of a dictionary generation; two generations are held
 CACHE_ENTRIES = 400_000
@@ -99,36 +100,51 @@ class _Generations(dict):
 class Encoder:
     """``encode(text)`` gives the ids of a whole text as little-endian bytes,
     two bytes an id if the vocabulary fits, else four. No special tokens are
-    added, and their strings in a text are ordinary text. (Machines that Spark
-    runs on are little-endian, as ``array`` then is.)"""
+    added; where a text holds the string of one, that is its id, as the library
+    has it, and the text before and after is encoded by itself. (Machines that
+    Spark runs on are little-endian, as ``array`` then is.)"""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         self.dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.drops_space = tokenizer.normalizer is not None
         self.normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
         self.split, self.merge = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
         self.code = "H" if self.dtype == "<u2" else "I"
         self.chunks = _Generations(self._chunk)
+        special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.special = {text: array(self.code, [i]).tobytes() for text, i in special.items()}
+        #: the longest beginning that all of them share
+        self.mark = os.path.commonprefix([*special]) if special else None
+        self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
 
     def _chunk(self, chunk: str) -> bytes:
         parts = _WORD_AND_SIGNS.fullmatch(chunk)
         if parts:
-            return self.chunks[parts[1]] + self.chunks[parts[2]]
-        if _LETTERS.fullmatch(chunk):  # one piece, in normal form but for its case
+            word, signs = parts.groups()
+            if signs:
+                return self.chunks[word] + self.chunks[signs]
+            # one piece, in normal form but for its case
             if self.drops_space and not chunk.islower():
                 return self.chunks[chunk.lower()]
-            return self._ids(chunk.encode().decode("latin-1").translate(_BYTE_LEVEL))
+            if chunk.isascii():
+                return self._ids(chunk.replace(" ", _SHOWN[" "]))
+            return self._ids("".join(map(_SHOWN.__getitem__, chunk)))
         return b"".join([self._ids(piece) for piece, _ in self.split(self.normalize(chunk))])
 
     def _ids(self, piece: str) -> bytes:
         return array(self.code, [t.id for t in self.merge(piece)]).tobytes()
 
     def encode(self, text: str) -> bytes:
+        if self.mark is not None and self.mark in text:
+            parts = self.at_special.split(text)
+            return b"".join([self.special.get(part) or self._plain(part) for part in parts if part])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if not self.drops_space:
             parts = _KEEPING.findall(text)
         elif _ONLY_PYTHON.search(text):
