@@ -145,9 +145,9 @@ def choose_head(texts: DataFrame, buckets: int, words: int = HEAD_WORDS, pairs:
             for found in words_of(batch.column(0)):
                 single.update(found)
                 double.update(zip(found, found[1:]))
-                if len(single) > 8 * words:
+                if len(single) > 4 * words:
                     single = _fewer(single, words)
-                if len(double) > 8 * pairs:
+                if len(double) > 4 * pairs:
                     double = _fewer(double, pairs)
         single, double = _fewer(single, words), _fewer(double, pairs)
         release()
