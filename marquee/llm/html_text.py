@@ -17,8 +17,19 @@ it are text even if other pages quote them; only other containers inside an
 article are held against the counts. Pages with equal text count once, so
 mirrored pages don't make each other a template.
 
+Names are read from whole class, id and role tokens: ``sidebar-left`` names a
+sidebar, ``has-sidebar`` and ``nav-open`` say something about their element, and
+an element that calls itself ``content`` is one unless another of its tokens is
+a name as a whole. Headings and ``main`` are never dropped by name, an
+``article`` only by such a whole token, and inside an article names count on
+containers alone. Of text in articles and text in ``main`` outside them, that is
+kept of which there is more.
+
 A block is the text between two block-level tags: references decoded, white
-space runs one space, trimmed; blocks are joined by one line feed.
+space runs one space, trimmed; blocks are joined by one line feed. A subtree's
+hash is made of its own text and its children's hashes, and elements nested
+deeper than ``DEPTH`` lie beside each other there, as in browsers; so reading a
+page takes time in proportion to its length.
 
 Edge cases: NULL or empty html gives the empty text, as does a page without
 any text; markup cut off anywhere is read up to its end; a NULL url is a host
@@ -75,9 +86,18 @@ _NAMES = frozenset(
     " popup promo promoted promotion recommended related remark remarks replies reply respond rail share sharing sidebar"
     " signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar trending widget".split()
 )
+#: fixed values: words that make a token say something about its element
+_SAYS_FIRST = frozenset("has have with without no not is show hide can supports".split())
+_SAYS_LAST = frozenset("open opened closed active enabled disabled visible collapsed expanded on off".split())
+#: fixed values: tokens of elements that hold the page's content
+_CONTENT = frozenset("content main page wrapper container layout body post entry article story site".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_TELLING = re.compile("class|id|role|hidden|style", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: deepest nesting that is followed
+DEPTH = 512
 #: end tags that a start tag implies, and the elements that shield them
 _IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -93,28 +113,69 @@ _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
 class _Node:
-    __slots__ = ("tag", "parts", "dropped", "article", "counted", "hash")
+    __slots__ = ("tag", "parts", "dropped", "article", "counted", "hash", "own")
 
     def __init__(self, tag: str, dropped: bool, article: int, counted: bool) -> None:
         self.tag, self.dropped, self.article, self.counted = tag, dropped, article, counted
+        #: hashes of its children and pieces of its own text, in order
         self.parts: list[str] = []
+        self.own: list[str] = []
         self.hash = 0
 
-    def close(self, parent: _Node | None) -> None:
-        text = " ".join("".join(self.parts).split())
-        if self.counted and text:
-            self.hash = xxhash.xxh3_64_intdigest(f"{self.tag}\n{text}") - (1 << 63)
-        if parent is not None:
-            parent.parts.append(f"<{self.tag}>{text}</>" if self.tag in _BLOCKS else text)
-
-
-def _boilerplate(attributes: str) -> bool:
-    if _HIDDEN.search(attributes):
+    def text(self, piece: str) -> None:
+        self.own.append(piece)
+
+    def settle(self) -> None:
+        """What was text up to here becomes one part."""
+        if self.own:
+            text = " ".join("".join(self.own).split())
+            self.own.clear()
+            if text:
+                self.parts.append(text)
+
+    def close(self, parent: _Node) -> None:
+        self.settle()
+        if not self.parts:
+            return
+        digest = xxhash.xxh3_64_intdigest(f"{self.tag}\n" + "\n".join(self.parts))
+        if self.counted:
+            self.hash = digest - (1 << 63)
+        parent.settle()
+        parent.parts.append(f"<{digest}>")
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Names in lower case; of a name that is there twice the first counts."""
+    out: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), value.strip("\"'"))
+    return out
+
+
+def _named(token: str) -> bool:
+    """Whether a class, id or role token names a part that is no article text."""
+    words = [w.lower() for w in _NAME_WORDS.findall(token)]
+    if not words or words[0] in _SAYS_FIRST or words[-1] in _SAYS_LAST:
+        return False
+    return any(w in _NAMES for w in words)
+
+
+def _boilerplate(tag: str, attributes: str, article: int) -> bool:
+    """Whether an element's attributes say that it is hidden or no part of an
+    article. ``article``: whether it stands in one."""
+    if not _TELLING.search(attributes):
+        return False
+    found = _attributes(attributes)
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(found.get("style", "")):
+        return True
+    if tag in _HEADINGS or tag == "main" or (article and tag in _LONE):
+        return False
+    tokens = [t for name in ("class", "id", "role") for t in found.get(name, "").split()]
+    if any(t.lower() in _NAMES for t in tokens):
         return True
-    for values in _NAMED.findall(attributes):
-        if any(w.lower() in _NAMES for w in _NAME_WORDS.findall("".join(values))):
-            return True
-    return False
+    if tag == "article" or any(t.lower() in _CONTENT for t in tokens):
+        return False
+    return any(map(_named, tokens))
 
 
 def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
@@ -140,7 +201,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         if "&" in piece:
             piece = entities.unescape(piece)
         top = stack[-1]
-        top.parts.append(piece)
+        top.text(piece)
         if not top.dropped:
             buffer.append(piece)
 
@@ -191,11 +252,13 @@ def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         if tag in _RAW:
             m = _RAW[tag].search(page, at)
             at = m.start() if m else end
+        if len(stack) >= DEPTH:
+            pop_to(DEPTH - 1)
         parent = stack[-1]
         article = parent.article or (2 if tag == "article" else 1 if tag == "main" else 0)
         if tag == "article":
             article = 2
-        dropped = parent.dropped or tag in _DROPPED or (tag == "header" and parent.article == 0) or bool(attributes.strip() and _boilerplate(attributes))
+        dropped = parent.dropped or tag in _DROPPED or (tag == "header" and parent.article == 0) or bool(attributes and _boilerplate(tag, attributes, parent.article))
         counted = tag in _BLOCKS and tag not in ("article", "main") and tag not in _LONE and not (article and tag in _TEXT_BLOCKS)
         node = _Node(tag, dropped, article, counted)
         if counted:
@@ -203,7 +266,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         stack.append(node)
     flush()
     pop_to(1)
-    level = max((article for _, article, _ in found), default=0)
+    sizes = [sum(len(t) for t, article, _ in found if article == level) for level in (0, 1, 2)]
+    level = (2 if sizes[2] >= sizes[1] else 1) if sizes[1] or sizes[2] else 0
     kept = [(t, [n.hash for n in around if n.hash]) for t, article, around in found if article == level]
     return kept, sorted({n.hash for n in nodes if n.hash})
 

@@ -23,12 +23,32 @@ def page(body):
     (page("<p title='a>b'>q</p><script>if (a<b) '<p>'</script><ul><li>i<li>j</ul><!-- <p>no</p> --><p hidden>h</p>cut &am"), "q\ni\nj\ncut &am"),
     (page("<article><p>keep</p><section class='comments'><p>nice</p></section><div id=sidebar-left>x</div></article>"), "keep"),
     ("<article><p>x</p>" * 3000, "\n".join("x" for _ in range(3000))),
-    ("<div>" * 500 + "deep", "deep"), ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"), ("<script>never closed", ""),
+    ("<main class='with-sidebar'><p>m</p></main>", "m"), ("<div class='content has-sidebar'><p>m</p></div>", "m"),
+    ("<div class='page nav-open'>m</div>", "m"), ("<div title='A hidden gem'>m</div>", "m"),
+    ("<div class='content sidebar-right'><p>m</p><div class='sidebar content'>s</div></div>", "m"),
+    ("<article><h2 id='social-structure'>S</h2><p class='notice'>n</p><div class='notice'>gone</div></article>", "S\nn"),
+    ("<p class='copyright'>c</p><h3 id='related-work'>R</h3><p aria-hidden=true>h</p><p style='display: none'>h</p><p>x</p>", "R\nx"),
+    ("<main><h1>H</h1><p>the long body of the page</p><article>teaser</article></main>", "H\nthe long body of the page"),
+    ("<article><p>long text of the article</p></article><article class=comment>me too, and much more than that</article>", "long text of the article"),
+    ("<div>" * 500 + "deep", "deep"), ("<div>" * 9000 + "deep" + "</div>" * 9000 + "<p>x", "deep\nx"), ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"), ("<script>never closed", ""),
 ])
 def test_blocks(html, text):
     assert "\n".join(t for t, _ in html_text.blocks_of(html or "")[0]) == text
 
 
+def test_reading_is_linear_in_nesting():
+    import time
+
+    def seconds(n, unit):
+        start = time.perf_counter()
+        html_text.blocks_of(unit * n)
+        return time.perf_counter() - start
+
+    for unit in ("<div>a", "<b>a", "<div class=x><p>a"):
+        seconds(2000, unit)
+        assert seconds(40_000, unit) < 60 * max(seconds(2000, unit), 0.01)
+
+
 def test_templates_of_a_host_are_removed(spark):
     def site(i, host="https://a.example"):
         menu = "<div><span>Home</span> <span>About us</span></div>"
