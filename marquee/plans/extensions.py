@@ -161,8 +161,8 @@ def drift_report(histograms: Sequence[DataFrame], limit: float = 0.2) -> DataFra
     )
     index = shares.groupBy(*of, "period").agg(F.round(F.sum(F.expr("(p - q) * ln(p / q)")), 6).alias("psi"))
     return periods.join(index, [*of, "period"], "left").selectExpr(
-        *of, "period", "n_rows", "round(n_null / n_rows, 6) AS null_share", "round(mean, 4) AS mean_value",
-        "round(mean - mean_before, 4) AS mean_change", "psi", f"coalesce(psi > {limit}D, false) AS drifted",
+        *of, "period", "n_rows", "n_null / n_rows AS null_share", "mean AS mean_value", "mean - mean_before AS mean_change",
+        "psi", f"coalesce(psi > {limit}D, false) AS drifted",
     )
 
 

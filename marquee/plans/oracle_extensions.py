@@ -91,8 +91,7 @@ _cte("drift_index", """SELECT table_name, column_name, period, round(sum((p - q)
       SELECT table_name, column_name, period, bin, CAST(n AS DOUBLE) AS n, CAST(m AS DOUBLE) AS m,
         CAST(n_rows AS DOUBLE) AS n_rows, CAST(rows_before AS DOUBLE) AS rows_before FROM drift_pairs)))
 GROUP BY ALL""", "drift_pairs")
-_cte("drift", """SELECT table_name, column_name, period, n_rows, round(n_null / n_rows, 6) AS null_share, round(mean, 4) AS mean_value,
-  round(mean - mean_before, 4) AS mean_change, psi, coalesce(psi > 0.2, false) AS drifted
+_cte("drift", """SELECT table_name, column_name, period, n_rows, n_null / n_rows AS null_share, mean AS mean_value, mean - mean_before AS mean_change, psi, coalesce(psi > 0.2, false) AS drifted
 FROM drift_periods LEFT JOIN drift_index USING (table_name, column_name, period)""", "drift_periods", "drift_index")
 
 
