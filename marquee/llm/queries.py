@@ -66,7 +66,7 @@ def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "p")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,4 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_nra": op13_nra,
 }
 
-ORACLE_SQL: dict[str, str] = {"op11_importance": importance.ORACLE_SQL, "op13_nra": nra.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op9_mixing": mixing.ORACLE_SQL,
+    "op11_importance": importance.ORACLE_SQL,
+    "op13_nra": nra.ORACLE_SQL,
+}

@@ -388,6 +388,36 @@ def test_mix_prefers_heavier_documents(docs_of):
     assert heavy > 1.4 * sum(r.copies for r in got if r.doc_id >= 1000)
 
 
+def test_mix_includes_by_its_odds(docs_of):
+    """Over many seeds a document is drawn about as often as its p says."""
+    rng = random.Random(4)
+    docs = docs_of(*[(i, "w " * rng.choice([4, 16, 36]), f"s{i % 3}") for i in range(1500)]).cache()
+    seeds = range(4)
+    drawn = collections.defaultdict(list)
+    for seed in seeds:
+        for r in mixing.mix(docs, seed=seed, keep=["doc_id", "source"]).collect():
+            drawn[r.source, r.size].append((r.copies - math.floor(r.target / r.source_size), r.p))
+    odds = set()
+    for got in drawn.values():
+        p = got[0][1]
+        odds.add(p)
+        assert sum(n for n, _ in got) / len(got) == pytest.approx(p, abs=0.06)
+    assert len(odds) > 5  # they differ inside a source
+
+
+def test_mix_divides_rows_that_tie(docs_of):
+    """Rows without key and with the same text share a draw, not their lot."""
+    rows = [(None, "w " * 20, "s1")] * 6000 + [(i, "w " * 20, "s0") for i in range(6000)]
+    rows += [(7, "w " * 20, "s2")] * 6000
+    got = mixing.mix(docs_of(*rows).repartition(5), keep=["doc_id", "source"]).collect()
+    assert len(got) == len(rows)
+    taken, target = collections.Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 10 for s in target)
+
+
 def test_mix_of_an_empty_table_and_of_empty_texts(docs_of):
     assert mixing.mix(docs_of().where("false")).count() == 0
     got = mixing.mix(docs_of((1, None), (2, ""))).collect()
