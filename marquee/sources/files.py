@@ -27,6 +27,27 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+class Opened:
+    """A file opened for reads of stated ranges of bytes."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        fs, where = _at(spark, path)
+        self.size = fs.getFileStatus(where).getLen()
+        self._stream, self._bytes = fs.open(where), spark._jvm.org.apache.commons.io.IOUtils.toByteArray
+
+    def read(self, at: int, n: int) -> bytes:
+        if not n:
+            return b""
+        self._stream.seek(at)
+        return bytes(self._bytes(self._stream, n))
+
+    def __enter__(self) -> Opened:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._stream.close()
+
+
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
     """A file that is there whole or not at all: written under a hidden name,
     then renamed. Fails if ``path`` exists."""
