@@ -47,8 +47,9 @@ def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "token-files")
-    token_files.write_token_files(read(spark, sf_dir, "documents"), folder)
-    rows = token_files.read_token_files(spark, folder)
+    docs = read(spark, sf_dir, "documents")
+    token_files.write_token_files(docs, folder)
+    rows = token_files.read_token_files(spark, folder, docs)
     return rows.selectExpr("key as doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -50,8 +50,9 @@ def test_token_files_round_trip(spark, docs_of):
 
     rows = [*ODD, (4, "one more of the same key"), (None, "no key"), *enumerate(sentences(1, 40), 100)]
     folder = run_folder(spark, "test-token-files")
-    token_files.write_token_files(docs_of(*rows), folder, shards=3)
-    got = token_files.read_token_files(spark, folder).collect()
+    docs = docs_of(*rows)
+    token_files.write_token_files(docs, folder, shards=3)
+    got = token_files.read_token_files(spark, folder, docs).collect()
     tokenizer = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
     start, want = 0, []
     for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
@@ -62,12 +63,48 @@ def test_token_files_round_trip(spark, docs_of):
     found = {(r.key, r.copy): r.ids for r in token_files.lookup(spark, folder, [4, 101, 999_999, -5]).collect()}
     assert set(found) == {(4, 0), (4, 1), (101, 0)}
     assert found[4, 0] == [*tokenizer.encode("one", add_special_tokens=False).ids, 2]
+    assert [len(token_files.get(spark, folder, k)) for k in (4, 101, 999_999, -5, 50)] == [2, 1, 0, 0, 0]
+    for key in (8, 10, 139):
+        ids = tokenizer.encode(dict(rows)[key], add_special_tokens=False).ids
+        assert [g.tolist() for g in token_files.get(spark, folder, key)] == [[*ids, 2]]
+    some = spark.createDataFrame([(101,), (101,), (50,), (None,)], "doc_id long")
+    assert sorted(str(r.key) for r in token_files.read_token_files(spark, folder, some).collect()) == ["101", "None"]
+
+
+def test_token_files_hold_no_keys_and_any_end_id(spark, docs_of):
+    key = 0x0123456789ABCDEF
+    folder = run_folder(spark, "test-token-files")
+    token_files.write_token_files(docs_of((key, "one two"), (5, "x"), (key + 9, "y")), folder, end_id=50_256, shards=1)
+    content = b"".join(bytes(r.content) for r in spark.read.format("binaryFile").load(folder).collect())
+    # the footer names its first and last key only
+    assert key.to_bytes(8, "little") not in content
+    assert [g.tolist()[-1] for g in token_files.get(spark, folder, key)] == [50_256]
+    assert token_files.lookup(spark, folder, [key]).collect()[0].ids[-1] == 50_256
+
+
+def test_one_probe_reads_as_many_bytes_of_a_large_index():
+    rng = np.random.RandomState(2)
+    for n in (1_000, 300_000):
+        keys = np.unique(rng.randint(-(1 << 62), 1 << 62, n))
+        table, read = token_files.PerfectHash.build(keys), []
+        data, slots = table.to_bytes(), table.slots(keys)
+        for i in range(0, n, n // 50):
+            read.append(0)
+
+            def some(at, size):
+                read[-1] += size
+                return data[at : at + size]
+
+            assert token_files.PerfectHash.probe(keys[i : i + 1], some) == slots[i]
+        assert max(read) < 1_500
 
 
 def test_token_files_of_an_empty_table(spark, docs_of):
     folder = run_folder(spark, "test-token-files")
-    token_files.write_token_files(docs_of().where("false"), folder)
-    assert token_files.read_token_files(spark, folder).count() == 0
+    docs = docs_of().where("false")
+    token_files.write_token_files(docs, folder)
+    assert token_files.read_token_files(spark, folder, docs).count() == 0
+    assert token_files.get(spark, folder, 3) == [] and token_files.lookup(spark, folder, [3]).count() == 0
 
 
 def test_perfect_hash_is_minimal_and_tells_foreign_keys():
