@@ -11,7 +11,11 @@ unknown is a calibrated class of its own.
 
 A predicted family is confirmed if one of its templates covers the paragraph's
 licence wording: enough of the template's n-grams must stand in the paragraph.
-What isn't confirmed is unknown. Wording that a named family's templates hold
+What isn't confirmed is unknown. A family of Creative Commons or GNU licences
+must moreover have its own mark: exactly its conditions (BY, NC, ND, SA), or
+plain, lesser or affero before "general public". So wording with a condition
+more or less is never taken for a more permissive licence. Nothing is named
+where the paragraph denies it ("not licensed under"). Wording that a named family's templates hold
 is set aside and the rest is judged again, until nothing more is named: a
 paragraph of two licences names both.
 
@@ -64,6 +68,16 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "you may obtain a copy of the apache license at apache.org licenses license-2.0",
         "spdx-license-identifier apache-2.0",
     ),
+    "artistic": (
+        "released under the artistic license 2.0",
+        "you may redistribute it under the same terms as perl itself",
+        "spdx-license-identifier artistic-2.0",
+    ),
+    "boost": (
+        "distributed under the boost software license version 1.0",
+        "boost software license 1.0",
+        "spdx-license-identifier bsl-1.0",
+    ),
     "bsd": (
         "licensed under the bsd 3-clause license",
         "released under the bsd 2-clause license",
@@ -73,19 +87,58 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "cc-by": (
         "licensed under cc by 4.0",
+        "cc by 4.0",
         "licensed under a creative commons attribution 4.0 international license",
         "this work is licensed under cc-by 4.0",
     ),
     "cc-by-nc": (
         "licensed under cc by-nc 4.0",
+        "cc by-nc 4.0",
         "licensed under a creative commons attribution-noncommercial 4.0 international license",
         "this work is licensed under cc-by-nc 4.0",
     ),
+    "cc-by-nc-nd": (
+        "licensed under cc by-nc-nd 4.0",
+        "cc by-nc-nd 4.0",
+        "licensed under a creative commons attribution-noncommercial-noderivatives 4.0 international license",
+        "this work is licensed under cc-by-nc-nd 4.0",
+    ),
+    "cc-by-nc-sa": (
+        "licensed under cc by-nc-sa 4.0",
+        "cc by-nc-sa 4.0",
+        "licensed under a creative commons attribution-noncommercial-sharealike 4.0 international license",
+        "this work is licensed under cc-by-nc-sa 4.0",
+    ),
+    "cc-by-nd": (
+        "licensed under cc by-nd 4.0",
+        "cc by-nd 4.0",
+        "licensed under a creative commons attribution-noderivatives 4.0 international license",
+        "this work is licensed under cc-by-nd 4.0",
+    ),
     "cc-by-sa": (
         "licensed under cc by-sa 4.0",
+        "cc by-sa 4.0",
         "licensed under a creative commons attribution-sharealike 4.0 international license",
         "this work is licensed under cc-by-sa 4.0",
     ),
+    "cddl": (
+        "subject to the terms of the common development and distribution license",
+        "licensed under the cddl 1.0",
+        "spdx-license-identifier cddl-1.0",
+    ),
+    "epl": (
+        "made available under the terms of the eclipse public license v2.0",
+        "licensed under the eclipse public license 2.0",
+        "spdx-license-identifier epl-2.0",
+    ),
+    "eupl": (
+        "licensed under the european union public license eupl v1.2",
+        "spdx-license-identifier eupl-1.2",
+    ),
+    "gfdl": (
+        "permission is granted to copy distribute and/or modify this document under the terms of the gnu free documentation license",
+        "licensed under the gfdl 1.3",
+    ),
     "gpl": (
         "this work is licensed under the gnu general public license version 3",
         "this program is free software you can redistribute it under the terms of the gnu general public license",
@@ -93,6 +146,11 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "licensed under the gnu gpl version 2 or later",
         "spdx-license-identifier gpl-3.0",
     ),
+    "isc": (
+        "licensed under the isc license",
+        "permission to use copy modify and/or distribute this software for any purpose with or without fee is hereby granted",
+        "spdx-license-identifier isc",
+    ),
     "lgpl": (
         "licensed under the gnu lesser general public license version 3",
         "released under the lgpl v2.1 license",
@@ -109,10 +167,43 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "licensed under the mozilla public license mpl 2.0",
         "spdx-license-identifier mpl-2.0",
     ),
+    "ms-pl": (
+        "licensed under the microsoft public license ms-pl",
+        "spdx-license-identifier ms-pl",
+    ),
+    "odbl": (
+        "made available under the open database license",
+        "licensed under the odbl 1.0",
+    ),
+    "ofl": (
+        "this font software is licensed under the sil open font license version 1.1",
+        "spdx-license-identifier ofl-1.1",
+    ),
+    "postgresql": (
+        "released under the postgresql license",
+        "spdx-license-identifier postgresql",
+    ),
+    "psf": (
+        "licensed under the python software foundation license version 2",
+        "spdx-license-identifier psf-2.0",
+    ),
     "public-domain": (
         "released into the public domain",
         "dedicated to the public domain under cc0 1.0 universal",
         "this is free and unencumbered software released into the public domain unlicense",
+        "licensed under cc0 1.0",
+        "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+        "spdx-license-identifier cc0-1.0",
+        "spdx-license-identifier unlicense",
+    ),
+    "wtfpl": (
+        "released under the do what the fuck you want to public license",
+        "licensed under the wtfpl",
+    ),
+    "zlib": (
+        "released under the zlib license",
+        "in no event will the authors be held liable for any damages arising from the use of this software",
+        "spdx-license-identifier zlib",
     ),
 }
 #: paragraphs that use the terms for something else
@@ -130,12 +221,21 @@ _OTHERS = (
     "copyright law was changed last year", "the redistribution of land took many years",
     "confidential talks went on under the table", "the licence to practise medicine was revoked",
     "please read the license before you install the program", "the terms of the contract are free to both parties",
+    "the python slept in the warm sand", "a boost for the local economy was promised", "the eclipse was visible from the coast",
+    "her artistic work is shown in the public library", "the database was open on every screen", "the font of the old church is made of stone",
+    "the european union agreed on a common public budget", "the foundation gave money for the development of the school",
+    "the authors were held liable for the damages of the flood", "the perl and the python programs were slow",
+    "microsoft released the documentation of the program", "the distribution of the software took a week",
+    "attribution of the painting is open", "he waived all rights to the house", "the library was zlib or another one",
 )
 #: words of the templates that say nothing by themselves
 _PLAIN = frozenset(
     "a all and any are at be by can charge copy file for forms free general in into is it may modification no obtain obtaining of"
     " or other part person program released later strictly subject terms the this to under use version with without work you"
-    " your source binary 1.0 2 2.0 2.1 3 4.0 hereby person international v2.1 v3 universal license-2.0".split()
+    " your source binary 1.0 2 2.0 2.1 3 4.0 hereby person international v2.1 v3 universal license-2.0"
+    " redistribute same made available common development distribution public union european document any purpose fee open"
+    " database foundation what do want extent possible law has author related no event will held from authors arising and/or"
+    " modify distribute granted 1.1 1.2 1.3 v1.2 v2.0 font".split()
 )
 _WORD = re.compile(r"[a-z0-9][a-z0-9.+\-]*[a-z0-9]|[a-z0-9]")
 TERMS = frozenset(w for texts in TEMPLATES.values() for t in texts for w in _WORD.findall(t)) - _PLAIN | {"licence", "licenced"}
@@ -165,12 +265,47 @@ def _features(words: list[str]) -> set[str]:
                 words[j] = _SPDX
             break
     is_term = [w in TERMS for w in words]
-    return {
+    found = {
         " ".join(words[i : i + n])
         for n in (1, 2, 3)
         for i in range(len(words) - n + 1)
         if any(is_term[i : i + n])
     }
+    return found | set(marks(words)) if found else found
+
+
+#: fixed values: the conditions of Creative Commons licences as they are written
+_CONDITIONS = {
+    "nc": "nc", "noncommercial": "nc", "commercial": "nc", "nd": "nd", "noderivatives": "nd", "noderivs": "nd", "derivatives": "nd",
+    "derivs": "nd", "sa": "sa", "sharealike": "sa", "alike": "sa", "non": "", "no": "", "share": "", "by": "", "cc": "", "and": "",
+}
+_GNU = re.compile(r"(a|l)?gpl(?![a-z]{2})")
+_DENIED = frozenset("licensed relicensed released distributed offered covered published available under".split())
+_NOT = "+not"
+
+
+def marks(words: list[str]) -> Iterator[str]:
+    """Marks of what a few words more or less turn into another licence: the
+    conditions of a Creative Commons licence and the kind of a GNU licence, as
+    "+" and the family's name; and that something is denied."""
+    parts = [p for w in words for p in w.split("-")]
+    i = 0
+    while i < len(parts):
+        begins = parts[i] == "attribution" or (parts[i] == "by" and i and parts[i - 1] == "cc")
+        i += 1
+        if begins:
+            held = set()
+            while i < len(parts) and parts[i] in _CONDITIONS:
+                held.add(_CONDITIONS[parts[i]])
+                i += 1
+            yield "+" + "-".join(["cc-by", *(c for c in ("nc", "nd", "sa") if c in held)])
+    for i, w in enumerate(words):
+        if kind := _GNU.match(w):
+            yield f"+{kind[1] or ''}gpl"
+        elif w == "general" and i and words[i + 1 : i + 2] == ["public"]:
+            yield {"lesser": "+lgpl", "library": "+lgpl", "affero": "+agpl"}.get(words[i - 1], "+gpl")
+        elif w in ("not", "never", "longer", "neither") and not _DENIED.isdisjoint(words[i + 1 : i + 4]):
+            yield _NOT
 
 
 _TEMPLATE_FEATURES = {f: [features(t) for t in TEMPLATES[f]] for f in FAMILIES}
@@ -179,6 +314,10 @@ _TEMPLATE_FEATURES = {f: [features(t) for t in TEMPLATES[f]] for f in FAMILIES}
 _FAMILY_FEATURES = {f: frozenset().union(*_TEMPLATE_FEATURES[f]) for f in FAMILIES}
 
 
+#: families that only their own mark tells from each other
+_MARKED = frozenset(f for f in FAMILIES if f.startswith("cc-by") or f.endswith("gpl"))
+
+
 def covered(paragraph: set[str], family: str, named: frozenset[str] = frozenset()) -> float:
     """Largest part of a template's n-grams, those ``named`` aside, that the
     paragraph holds."""
@@ -258,8 +397,10 @@ class Classifier:
         z = self.weights[known].sum(0) + self.weights[-1]
         p = _softmax(z[None] / self.temperature)[0]
         best = int(p[:-1].argmax())
-        if p[best] >= self.least and covered(found, FAMILIES[best], named) >= COVERED:
-            return FAMILIES[best], float(p[best])
+        family = FAMILIES[best]
+        told = _NOT not in found and (family not in _MARKED or "+" + family in found)
+        if told and p[best] >= self.least and covered(found, family, named) >= COVERED:
+            return family, float(p[best])
         return UNKNOWN, float(p[-1])
 
     def families(self, found: set[str]) -> dict[str, float]:

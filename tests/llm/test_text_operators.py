@@ -477,12 +477,43 @@ def classifier():
     ("This work is licensed under the GNU General Public License, version 3.", "gpl"),
     ("The driver's license of the witness had expired", "unknown"),
     ("Das Brot mit Butter schmeckt", "unknown"),
+    ("Text and figures: CC BY-NC-SA 4.0", "cc-by-nc-sa"),
+    ("Licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "cc-by-nc-nd"),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "cc-by-nd"),
+    ("Creative Commons Attribution Non-Commercial Share-Alike license", "unknown"),
+    ("This project is not licensed under the MIT license", "unknown"),
+    ("The code is no longer distributed under the Apache License, Version 2.0", "unknown"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("Distributed under the Boost Software License, Version 1.0.", "boost"),
+    ("In no event will the authors be held liable for any damages arising from the use of this software.", "zlib"),
+    ("are made available under the terms of the Eclipse Public License v2.0 which is available at", "epl"),
+    ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work", "public-domain"),
+    ("This Font Software is licensed under the SIL Open Font License, Version 1.1.", "ofl"),
+    ("SPDX-License-Identifier: LGPL-2.1", "lgpl"),
+    ("SPDX-License-Identifier: CC0-1.0", "public-domain"),
+    ("the python and the eclipse plugin were released", "unknown"),
     ("Under a license of our own", "unknown"),
 ])
 def test_licence_families(classifier, text, family):
     assert classifier.classify(licences.features(text))[0] == family
 
 
+def test_no_licence_is_taken_for_a_more_permissive_one(classifier):
+    """Whatever conditions are written, in whatever form: their family or none."""
+    for held in ((), ("nc",), ("nd",), ("sa",), ("nc", "nd"), ("nc", "sa")):
+        family = "-".join(["cc-by", *held])
+        long = {"nc": "NonCommercial", "nd": "NoDerivatives", "sa": "ShareAlike"}
+        spaced = {"nc": "Non-Commercial", "nd": "No Derivatives", "sa": "Share Alike"}
+        for text in (
+            f"licensed under CC BY{''.join('-' + c.upper() for c in held)} 4.0", f"CC-BY{''.join('-' + c.upper() for c in held)} 3.0",
+            f"Creative Commons Attribution{''.join('-' + long[c] for c in held)} 4.0 International License",
+            f"a Creative Commons Attribution {' '.join(spaced[c] for c in held)} license",
+        ):
+            assert classifier.classify(licences.features(text))[0] in (family, "unknown"), text
+    lesser = licences.features("under the terms of the GNU Lesser General Public License as published by the Free Software Foundation")
+    assert "gpl" not in classifier.families(lesser)
+
+
 def test_licence_scan_rows(docs_of):
     docs = docs_of(*ODD, (30, "intro\nReleased under the MIT License.\ntext\nAll rights reserved.\nReleased under the MIT License."),
                    (30, "the license plate"), (None, "Licensed under the Apache License, Version 2.0."))
