@@ -5,9 +5,9 @@ hold at least one licence term. A softmax regression over these sparse features
 gives the probability of each licence family and of "unknown". It is fitted on
 the driver to variants of the families' usual notices (words around them, words
 left out, other versions of the wording) against paragraphs that use the same
-words for other things; a part of the variants is kept back to fit the
-temperature and the least probability at which a family is named, so that
-unknown is a calibrated class of its own.
+words for other things. Temperature and the least probability of all families
+together at which one is named come from paragraphs judged by weights that never saw their wording,
+so that unknown is a calibrated class of its own.
 
 A predicted family is confirmed if one of its templates covers the paragraph's
 licence wording: enough of the template's n-grams must stand in the paragraph.
@@ -83,6 +83,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "released under the bsd 2-clause license",
         "released under the bsd license",
         "redistribution and use in source and binary forms with or without modification are permitted",
+        "governed by a bsd-style license that can be found in the license file",
         "spdx-license-identifier bsd-3-clause",
     ),
     "cc-by": (
@@ -165,6 +166,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "mpl": (
         "subject to the terms of the mozilla public license version 2.0",
         "licensed under the mozilla public license mpl 2.0",
+        "subject to the terms of the mozilla public license v 2.0",
         "spdx-license-identifier mpl-2.0",
     ),
     "ms-pl": (
@@ -192,6 +194,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "dedicated to the public domain under cc0 1.0 universal",
         "this is free and unencumbered software released into the public domain unlicense",
         "licensed under cc0 1.0",
+        "cc0 1.0 universal",
         "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
         "spdx-license-identifier cc0-1.0",
         "spdx-license-identifier unlicense",
@@ -242,10 +245,14 @@ TERMS = frozenset(w for texts in TEMPLATES.values() for t in texts for w in _WOR
 _ANY_TERM = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(map(re.escape, TERMS), key=len, reverse=True)) + r")(?![a-z0-9])")
 FAMILIES = sorted(TEMPLATES)
 COVERED = 0.6
+#: families less probable than this are not held against their templates
+LEAST_SHARE = 0.1
 #: words on either side of a line break
 AROUND = 24
 #: n-grams in fewer training paragraphs are no features
 LEAST_SEEN = 4
+#: training paragraphs made of each wording, and parts that wordings are judged in
+VARIANTS, FOLDS = 20, 3
 _SPDX = "spdx-license-identifier"
 SEED = 5
 
@@ -280,7 +287,7 @@ _CONDITIONS = {
     "derivs": "nd", "sa": "sa", "sharealike": "sa", "alike": "sa", "non": "", "no": "", "share": "", "by": "", "cc": "", "and": "",
 }
 _GNU = re.compile(r"(a|l)?gpl(?![a-z]{2})")
-_DENIED = frozenset("licensed relicensed released distributed offered covered published available under".split())
+_DENIED, _EXCEPT = frozenset("licensed relicensed under".split()), frozenset("except unless only".split())
 _NOT = "+not"
 
 
@@ -304,8 +311,10 @@ def marks(words: list[str]) -> Iterator[str]:
             yield f"+{kind[1] or ''}gpl"
         elif w == "general" and i and words[i + 1 : i + 2] == ["public"]:
             yield {"lesser": "+lgpl", "library": "+lgpl", "affero": "+agpl"}.get(words[i - 1], "+gpl")
-        elif w in ("not", "never", "longer", "neither") and not _DENIED.isdisjoint(words[i + 1 : i + 4]):
-            yield _NOT
+        elif w in ("not", "never", "longer", "neither"):
+            near = words[i + 1 : i + 5]
+            if not _DENIED.isdisjoint(near) and _EXCEPT.isdisjoint(near):
+                yield _NOT
 
 
 _TEMPLATE_FEATURES = {f: [features(t) for t in TEMPLATES[f]] for f in FAMILIES}
@@ -362,32 +371,28 @@ class Classifier:
             return " ".join(pick() + words + pick())
 
         classes = [*FAMILIES, UNKNOWN]
-        rows = [(vary(t), c) for c, f in enumerate(FAMILIES) for t in TEMPLATES[f] for _ in range(30)]
-        rows += [(vary(t), len(FAMILIES)) for t in _OTHERS for _ in range(30)]
+        rows = [(vary(t), c) for c, f in enumerate(FAMILIES) for t in TEMPLATES[f] for _ in range(VARIANTS)]
+        rows += [(vary(t), len(FAMILIES)) for t in _OTHERS for _ in range(VARIANTS)]
         sets = [features(t) for t, _ in rows]
-        order = rng.permutation(len(rows))
-        back, fitted = order[: len(rows) // 5], order[len(rows) // 5 :]
-        seen = Counter(f for i in fitted for f in sets[i])
+        seen = Counter(f for s in sets for f in s)
         self.index = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= LEAST_SEEN))}
         x = np.zeros((len(rows), len(self.index) + 1), np.float32)
         x[:, -1] = 1
         for r, s in enumerate(sets):
             x[r, [self.index[f] for f in s if f in self.index]] = 1
         y = np.eye(len(classes), dtype=np.float32)[[c for _, c in rows]]
-        w = np.zeros((x.shape[1], len(classes)), np.float32)
-        m, v = np.zeros_like(w), np.zeros_like(w)
-        for step in range(1, 301):  # Adam on all rows at once
-            g = x[fitted].T @ (_softmax(x[fitted] @ w) - y[fitted]) / len(fitted) + 1e-4 * w
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        self.weights, z = w, x[back] @ w
-        losses = {t: -np.log((_softmax(z / t) * y[back]).sum(1) + 1e-9).mean() for t in np.geomspace(0.3, 5, 40)}
+        # every wording is judged once by weights that never saw it
+        wording = np.arange(len(rows)) // VARIANTS % FOLDS
+        unseen = np.empty((len(rows), len(classes)), np.float32)
+        for fold in range(FOLDS):
+            unseen[wording == fold] = x[wording == fold] @ _fit(x[wording != fold], y[wording != fold])
+        losses = {t: -np.log((_softmax(unseen / t) * y).sum(1) + 1e-9).mean() for t in np.geomspace(0.3, 5, 40)}
         self.temperature = min(losses, key=losses.get)
-        # the least probability that keeps 99 of 100 kept-back unknowns unknown
-        p = _softmax(z / self.temperature)
-        wrong = p[y[back][:, -1] == 1, :-1].max(1)
-        self.least = float(max(0.5, np.quantile(wrong, 0.99)))
+        # the least probability of any family that keeps 95 of 100 unseen unknowns unknown; the templates judge the rest
+        self.unseen = _softmax(unseen / self.temperature), y
+        wrong = 1 - self.unseen[0][y[:, -1] == 1, -1]
+        self.least = float(np.clip(np.quantile(wrong, 0.95), 0.5, 0.9))
+        self.weights = _fit(x, y)
 
     def classify(self, found: set[str], named: frozenset[str] = frozenset()) -> tuple[str, float]:
         """Family and probability of a paragraph's n-grams, template confirmed;
@@ -396,11 +401,14 @@ class Classifier:
         known = [self.index[f] for f in found if f in self.index]
         z = self.weights[known].sum(0) + self.weights[-1]
         p = _softmax(z[None] / self.temperature)[0]
-        best = int(p[:-1].argmax())
-        family = FAMILIES[best]
-        told = _NOT not in found and (family not in _MARKED or "+" + family in found)
-        if told and p[best] >= self.least and covered(found, family, named) >= COVERED:
-            return family, float(p[best])
+        if 1 - p[-1] >= self.least and _NOT not in found:
+            for best in np.argsort(-p[:-1], kind="stable"):
+                if p[best] < LEAST_SHARE:
+                    break
+                family = FAMILIES[best]
+                told = family not in _MARKED or "+" + family in found
+                if told and covered(found, family, named) >= COVERED:
+                    return family, float(p[best])
         return UNKNOWN, float(p[-1])
 
     def families(self, found: set[str]) -> dict[str, float]:
@@ -415,6 +423,18 @@ class Classifier:
         return all_
 
 
+def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights after Adam on all rows at once."""
+    w = np.zeros((x.shape[1], y.shape[1]), np.float32)
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    for step in range(1, 201):
+        g = x.T @ (_softmax(x @ w) - y) / len(x) + 1e-4 * w
+        m += 0.1 * (g - m)
+        v += 0.001 * (g * g - v)
+        w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    return w
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)

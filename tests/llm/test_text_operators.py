@@ -491,6 +491,8 @@ def classifier():
     ("This Font Software is licensed under the SIL Open Font License, Version 1.1.", "ofl"),
     ("SPDX-License-Identifier: LGPL-2.1", "lgpl"),
     ("SPDX-License-Identifier: CC0-1.0", "public-domain"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed", "mpl"),
+    ("you may not use it except under the terms of the Apache License 2.0", "apache-2.0"),
     ("the python and the eclipse plugin were released", "unknown"),
     ("Under a license of our own", "unknown"),
 ])
@@ -498,6 +500,14 @@ def test_licence_families(classifier, text, family):
     assert classifier.classify(licences.features(text))[0] == family
 
 
+def test_licence_probabilities_hold_for_unseen_wordings(classifier):
+    p, y = classifier.unseen
+    top, right = p.max(1), p.argmax(1) == y.argmax(1)
+    assert abs(top.mean() - right.mean()) < 0.1
+    assert 0.3 < classifier.temperature < 5 and 0.5 <= classifier.least <= 0.9
+    assert right[top >= 0.5].mean() > 0.7 > 0.5 > right[top < 0.5].mean()
+
+
 def test_no_licence_is_taken_for_a_more_permissive_one(classifier):
     """Whatever conditions are written, in whatever form: their family or none."""
     for held in ((), ("nc",), ("nd",), ("sa",), ("nc", "nd"), ("nc", "sa")):
