@@ -24,8 +24,10 @@ the whole sets, exactly. Cells and groups over a size bound are split into
 pairs of blocks that are joined alike.
 
 Equal sets are one node throughout. Links between nodes are kept as spanning
-edges of their groups, never as all pairs. Shingles and sets are known by
-64-bit hashes.
+edges of their groups, never as all pairs; a row's number of links is counted
+where its group is joined. There a set is held as its difference from what most
+of the group's sets have in common, so near copies compare by what they differ
+in. Shingles and sets are known by 64-bit hashes.
 
 The order of the pivots only steers how much meets in a cell, not the result:
 the most common shingles of a sample of documents go last.
@@ -330,19 +332,49 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Sets:
-    """Whole sets of a group, for exact overlaps with one of them."""
+    """Whole sets of a group, for exact overlaps with one of them.
+
+    With B, the members of more than half of the sets, and a set's difference
+    from B: |x & y| = |B| - |B without x| - |B without y| + |the differences'
+    intersection|."""
 
     def __init__(self, sets: list[np.ndarray]) -> None:
         self.sizes = np.array([len(s) for s in sets])
-        values, self.ids = np.unique(np.concatenate(sets), return_inverse=True)
-        self.begin = np.concatenate(([0], np.cumsum(self.sizes)))
-        self.mark = np.zeros(len(values), bool)
+        values, ids, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        usual = 2 * holders > len(sets)
+        self.usual = int(usual.sum())
+        places = np.flatnonzero(usual)
+        place = np.cumsum(usual) - 1
+        begin = np.concatenate(([0], np.cumsum(self.sizes)))
+        # a last entry that is never marked, so that no difference is empty
+        end = np.array([len(values)])
+        self.differences, missing = [], []
+        for i in range(len(sets)):
+            own = ids[begin[i] : begin[i + 1]]
+            is_usual = usual[own]
+            lacks = np.ones(self.usual, bool)
+            lacks[place[own[is_usual]]] = False
+            missing.append(int(lacks.sum()))
+            self.differences.append(np.concatenate((own[~is_usual], places[lacks], end)))
+        self.missing = np.array(missing)
+        self.mark = np.zeros(len(values) + 1, bool)
         self._hold(np.arange(len(sets)))
 
     def _hold(self, nodes: np.ndarray) -> None:
         self.held = nodes
-        self.held_ids = np.concatenate([self.ids[self.begin[i] : self.begin[i + 1]] for i in nodes])
-        self.held_begin = np.concatenate(([0], np.cumsum(self.sizes[nodes])))[:-1]
+        held = [self.differences[i] for i in nodes]
+        self.held_ids = np.concatenate(held)
+        self.held_begin = np.concatenate(([0], np.cumsum([len(d) for d in held])))[:-1]
+
+    def linked(self, x: int) -> np.ndarray:
+        """Which of the held sets link with x, itself included."""
+        mine = self.differences[x][:-1]
+        self.mark[mine] = True
+        both = np.add.reduceat(self.mark[self.held_ids], self.held_begin, dtype=np.int64)
+        self.mark[mine] = False
+        shared = self.usual - self.missing[x] - self.missing[self.held] + both
+        total = self.sizes[self.held] + self.sizes[x]
+        return DENOMINATOR * shared >= NUMERATOR * (total - shared)
 
     def reach(self, x: int, open_: np.ndarray) -> np.ndarray:
         left = self.held[open_[self.held]]
@@ -350,31 +382,52 @@ class _Sets:
             return left
         if 2 * len(left) < len(self.held):
             self._hold(left)
-        mine = self.ids[self.begin[x] : self.begin[x + 1]]
-        self.mark[mine] = True
-        shared = np.add.reduceat(self.mark[self.held_ids], self.held_begin, dtype=np.int64)
-        self.mark[mine] = False
-        total = self.sizes[self.held] + len(mine)
-        links = DENOMINATOR * shared >= NUMERATOR * (total - shared)
-        return self.held[links & open_[self.held]]
+        return self.held[self.linked(x) & open_[self.held]]
+
+
+class _Counted:
+    """Reach over whole sets that counts every set's links on the way: all
+    sets are compared with each one, also those that are taken already."""
+
+    def __init__(self, sets: _Sets, rows: np.ndarray, block: np.ndarray, blocks: int) -> None:
+        self.sets, self.rows, self.block = sets, rows, block
+        self.links = np.zeros(len(rows), np.int64)
+        # a block meets every other one; links inside it count beside the next
+        distinct = set(block.tolist())
+        self.inside = {b: len(distinct) == 1 or blocks <= 2 or (b + 1) % blocks in distinct for b in distinct}
+
+    def reach(self, x: int, open_: np.ndarray) -> np.ndarray:
+        linked = self.sets.linked(x)
+        linked[x] = False
+        counted = linked if self.inside[int(self.block[x])] else linked & (self.block != self.block[x])
+        self.links[x] = self.rows[counted].sum()
+        return np.flatnonzero(linked & open_)
 
 
-def _join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning edges of the exact links inside each group."""
+def _join_groups(count: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact links inside each group: every linked node with the smallest of
+    its component and, if wanted, its links (rows, not nodes)."""
     _Generations.drop()
     for columns in by_key(batches, "task"):
         nodes, first = np.unique(np.array(columns["node"], np.int64), return_index=True)
         if len(nodes) > 1:
             sets = _Sets([np.frombuffer(columns["members"][i], "<u8") for i in first])
-            edges = star_edges(nodes, _search(len(nodes), sets.reach))
-            if edges.num_rows:
-                yield edges
-
-
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+            rows, block = (np.array([columns[c][i] for i in first], np.int64) for c in ("m", "block"))
+            counted = _Counted(sets, rows, block, columns["blocks"][0])
+            labels = _search(len(nodes), counted.reach if count else sets.reach)
+            # nodes ascend, so a label's first is its smallest
+            _, root, index, n = np.unique(labels, return_index=True, return_inverse=True, return_counts=True)
+            several = n[index] > 1
+            if several.any():
+                found = {"a": nodes[several], "b": nodes[root[index]][several], "links": counted.links[several]}
+                yield pa.record_batch({name: pa.array(c, pa.int64()) for name, c in found.items()})
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", count: bool = True) -> DataFrame:
     """One row per row of ``docs``: key, n_shingles, component_id (smallest key
-    reachable by links), node (the hash of its set; NULL if it is empty) and
-    component (the smallest node reachable)."""
+    reachable by links), n_links (other rows that it links with; only with
+    ``count``, which compares all sets of a group), node (the hash of its set;
+    NULL if it is empty) and component (the smallest node reachable)."""
     spark = docs.sparkSession
     ship_package(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -391,13 +444,15 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     )
     # the same documents often meet in many cells
     cells = stage(cells.groupBy("cell").agg(F.first("nodes").alias("nodes")), "cells")
-    nodes = full.groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("parity").alias("parity"))
-    meeting = cells.select("cell", F.explode("nodes").alias("node")).join(nodes.drop("key"), "node")
+    nodes = full.groupBy("node").agg(
+        F.min("key").alias("key"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.count("*").alias("m")
+    )
+    meeting = cells.select("cell", F.explode("nodes").alias("node")).join(nodes.drop("key", "m"), "node")
     near = meeting.repartition("cell").sortWithinPartitions("cell").mapInArrow(_join_cells, "a long, b long")
     # written first: two Python steps in one task would keep twice the workers, and their memory
     groups = components(stage(near, "near"))
 
-    grouped = stage(groups.join(nodes.drop("parity"), "node").select("node", "component", "key", "n"), "groups")
+    grouped = stage(groups.join(nodes.drop("parity"), "node").select("node", "component", "key", "n", "m"), "groups")
     blocks = grouped.groupBy("component").agg(F.ceil(2 * F.sum("n") / GROUP_SHINGLES).alias("blocks"))
     facts = blocks.join(grouped, "component").agg(F.count("*").alias("nodes"), F.max("blocks").alias("blocks")).first()
     wanted = grouped.select(F.col("key").alias("wanted")).distinct()
@@ -407,7 +462,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     sets = sets.mapInArrow(_sets, "node long, members binary")
     # a group in one block is one task; else each node meets every block
     placed = grouped.join(blocks, "component").withColumn("block", F.expr("pmod(xxhash64(node), blocks)")).select(
-        "node",
+        "node", "m", "block", "blocks",
         F.explode(
             F.expr(
                 "if(blocks <= 2, array(component), transform(filter(sequence(0, blocks - 1), o -> o <> block),"
@@ -416,18 +471,23 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         ).alias("task"),
     )
     links = stage(
-        sets.join(placed, "node").repartition("task").sortWithinPartitions("task").mapInArrow(_join_groups, "a long, b long"),
+        sets.join(placed, "node").repartition("task").sortWithinPartitions("task").mapInArrow(
+            partial(_join_groups, count), "a long, b long, links long"
+        ),
         "links",
     )
     if (facts["blocks"] or 0) > 2:
-        linked = components(links)
-    else:  # the edges are stars already, one for each component
-        linked = links.selectExpr("a as node", "b as component").union(links.selectExpr("b as node", "b as component")).distinct()
+        linked = components(links.where("a <> b").select("a", "b"))
+    else:  # every node is in one task, and named with its component there
+        linked = links.selectExpr("a as node", "b as component")
+    counts = links.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
 
     named = linked.join(nodes.select("node", "key"), "node")
     smallest = named.groupBy("component").agg(F.min("key").alias("smallest"))
-    linked = named.join(smallest, "component").select(F.col("node").alias("linked"), "smallest", "component")
-    own = nodes.select(F.col("node").alias("own"), F.col("key").alias("own_key"))
+    linked = named.join(smallest, "component").join(counts, "node", "left")
+    linked = linked.select(F.col("node").alias("linked"), "smallest", "component", "links")
+    own = nodes.select(F.col("node").alias("own"), F.col("key").alias("own_key"), "m")
+    n_links = F.coalesce("links", F.lit(0)) + F.coalesce(F.col("m") - 1, F.lit(0))
     rows = sketch.select("key", "n", "node")
     return (
         rows.join(own, F.col("node") == F.col("own"), "left").join(linked, F.col("node") == F.col("linked"), "left")
@@ -435,6 +495,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
             F.col("key").alias(key),
             F.col("n").alias("n_shingles"),
             F.coalesce("smallest", "own_key", "key").alias("component_id"),
+            *([n_links.cast("long").alias("n_links")] if count else []),
             "node",
             F.coalesce("component", "node").alias("component"),
         )
@@ -450,7 +511,7 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     names = [f"c{i}" for i in range(len(docs.columns))]
     key_as, text_as = names[docs.columns.index(key)], names[docs.columns.index(text)]
     rows = docs.toDF(*names)
-    found = stage(jaccard_components(rows, key_as, text_as).withColumnRenamed(key_as, "key"), "jaccard")
+    found = stage(jaccard_components(rows, key_as, text_as, count=False).withColumnRenamed(key_as, "key"), "jaccard")
     several = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1 or key is null")
     several = stage(several.select(F.col("key").alias("several")), "jaccard-repeated")
     gone = found.where(F.col("key") != F.col("component_id")).select(F.col("key").alias("gone")).distinct()
@@ -478,3 +539,32 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     first = kept.groupBy(own.alias("k"), "node").agg(F.min(F.struct(text_as, *[n for n in names if n != text_as])).alias("m"))
     out = single.unionByName(first.select(*[F.col(f"m.{n}").alias(n) for n in names]))
     return out.toDF(*docs.columns)
+
+
+ORACLE_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), places AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM places
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * i >= 75 * (a.n + b.n - i)
+), reached AS (
+  SELECT x, y FROM links
+  UNION
+  SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles,
+  least(d.doc_id, coalesce((SELECT min(y) FROM reached r WHERE r.x = d.doc_id), d.doc_id)) AS component_id,
+  (SELECT count(*) FROM links l WHERE l.x = d.doc_id) AS n_links
+FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id
+"""

@@ -104,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_jaccard": jaccard.ORACLE_SQL,
     "op9_mixing": mixing.ORACLE_SQL,
     "op11_importance": importance.ORACLE_SQL,
     "op13_nra": nra.ORACLE_SQL,

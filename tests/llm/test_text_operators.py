@@ -186,6 +186,12 @@ def near_copies(seed):
     return texts
 
 
+def links_of(sets, i):
+    return sum(
+        100 * len(sets[i] & s) >= 75 * len(sets[i] | s) for j, s in enumerate(sets) if j != i and s and sets[i]
+    )
+
+
 def components_of(rows):
     parent = list(range(len(rows)))
 
@@ -211,10 +217,46 @@ def test_jaccard_components_match_brute_force(docs_of, monkeypatch, block, shing
     monkeypatch.setattr(jaccard, "GROUP_SHINGLES", shingles)
     rows = [*ODD, *enumerate(near_copies(5), 100)]
     random.Random(9).shuffle(rows)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs_of(*rows)).collect()}
+    found = jaccard.jaccard_components(docs_of(*rows)).collect()
+    sets, groups = components_of(rows)
+    want = {rows[i][0]: (len(sets[i]), min(rows[j][0] for j in g), links_of(sets, i)) for g in groups for i in g}
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in found} == want
+    assert max(r.n_links for r in found) > 5
+
+
+@pytest.mark.parametrize("block, shingles", [(8192, 4_000_000), (64, 2000)])
+def test_links_of_one_large_group_of_near_copies(docs_of, monkeypatch, block, shingles):
+    """A third of the rows are copies of one text; some differ so much that
+    they link with a part of the group only."""
+    monkeypatch.setattr(jaccard, "CELL_BLOCK", block)
+    monkeypatch.setattr(jaccard, "GROUP_SHINGLES", shingles)
+    rng = random.Random(4)
+    base, texts = sentences(8, 1, 80, 4000)[0].split(), []
+    for _ in range(150):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 4])):
+            words[rng.randrange(80)] = f"x{rng.randrange(9999)}"
+        texts.append(" ".join(words))
+    rows = [*enumerate(texts), *enumerate(sentences(9, 300, 60), 1000), (5, texts[7]), (None, texts[3])]
+    found = jaccard.jaccard_components(docs_of(*rows)).collect()
     sets, groups = components_of(rows)
-    want = {rows[i][0]: (len(sets[i]), min(rows[j][0] for j in g)) for g in groups for i in g}
-    assert got == want
+    want = [
+        (rows[i][0], min(rows[j][0] for j in g if rows[j][0] is not None), links_of(sets, i)) for g in groups for i in g
+    ]
+    assert sorted(((r.doc_id, r.component_id, r.n_links) for r in found), key=str) == sorted(want, key=str)
+    assert len({r.n_links for r in found}) > 10
+
+
+def test_overlaps_by_differences_are_those_of_whole_sets():
+    rng = np.random.RandomState(5)
+    base = np.arange(100, dtype=np.uint64)
+    sets = [np.sort(rng.permutation(base)[: 100 - rng.randint(30)]) for _ in range(20)]
+    sets += [np.sort(rng.choice(400, rng.randint(1, 120), replace=False)).astype(np.uint64) for _ in range(20)]
+    sets += [base, np.array([3], np.uint64), base + np.uint64(1000)]
+    held = jaccard._Sets(sets)
+    for i, a in enumerate(sets):
+        want = [100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b)) for b in sets]
+        assert held.linked(i).tolist() == want
 
 
 def test_one_document_of_each_group_stays(docs_of):
