@@ -113,8 +113,8 @@ def _window(values: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _parity(values: np.ndarray) -> bytes:
-    """Parity of the set's members in each of 2n to 4n classes by hash."""
-    m = max(64, 1 << (2 * len(values) - 1).bit_length())
+    """Parity of the set's members in each of n to 2n classes by hash."""
+    m = max(64, 1 << (len(values) - 1).bit_length())
     odd = np.bincount((values & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
     return np.packbits(odd.astype(bool)).tobytes()
 
@@ -140,7 +140,7 @@ def _sample(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     for batch in _pieces(batches):
         sets = [shingles(v.as_py()) for v in batch.column(0)]
         if sets:
-            yield from _dealt(buckets, np.concatenate(sets))
+            yield from _dealt(buckets, values := np.concatenate(sets), values)
 
 
 def _common(group: pa.Table) -> pa.Table:
@@ -187,12 +187,13 @@ def _sketch(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _dealt(buckets: int, shingle: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The columns, as blobs by bucket of their shingles."""
     bucket = (shingle >> np.uint64(20)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     begins = np.searchsorted(bucket[order], np.arange(buckets + 1).astype(np.uint64))
     full = np.flatnonzero(begins[1:] > begins[:-1])
     data = {"bucket": pa.array(full, pa.int64())}
-    for i, c in enumerate((shingle, *columns)):
+    for i, c in enumerate(columns):
         c = c[order]
         data[f"c{i}"] = pa.array([c[begins[b] : begins[b + 1]].tobytes() for b in full], pa.binary())
     if len(full):
@@ -201,9 +202,15 @@ def _dealt(buckets: int, shingle: np.ndarray, *columns: np.ndarray) -> Iterator[
 
 def _postings(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(shingle, node) of every window, dealt by shingle; a task's repeated
-    sets count once."""
+    sets count once. Inside a bucket four bytes tell shingles apart: two that
+    share them share a cell, which adds candidates and loses none."""
     _Generations.drop()
     seen, windows, nodes, held = set(), [], [], 0
+
+    def dealt() -> Iterator[pa.RecordBatch]:
+        shingle = np.concatenate(windows)
+        yield from _dealt(buckets, shingle, (shingle >> np.uint64(32)).astype("<u4"), np.concatenate(nodes))
+
     for batch in batches:
         for node, window in zip(batch.column(0).to_pylist(), batch.column(1)):
             if node in seen:
@@ -214,17 +221,17 @@ def _postings(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
             nodes.append(np.full(len(window), node, np.int64))
             held += len(window)
             if held > _POSTINGS_AT_ONCE:
-                yield from _dealt(buckets, np.concatenate(windows), np.concatenate(nodes))
+                yield from dealt()
                 windows, nodes, held = [], [], 0
     if held:
-        yield from _dealt(buckets, np.concatenate(windows), np.concatenate(nodes))
+        yield from dealt()
 
 
 def _cells(group: pa.Table) -> pa.Table:
     """The cells of a bucket that hold two nodes or more, equal ones once; too
     large ones as pairs of blocks."""
     _Generations.drop()
-    shingle = np.frombuffer(b"".join(group["c0"].to_pylist()), "<u8")
+    shingle = np.frombuffer(b"".join(group["c0"].to_pylist()), "<u4")
     node = np.frombuffer(b"".join(group["c1"].to_pylist()), "<i8")
     order = np.lexsort((node, shingle))
     shingle, node = shingle[order], node[order]
