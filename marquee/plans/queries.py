@@ -18,7 +18,7 @@ from marquee.operators.quality import FAILURES, expectation_metrics
 from marquee.plans import extensions, layered, marts, silver
 from marquee.plans.catalog import ENTITIES, INGESTED_AT, Tables
 from marquee.plans.views import create_user_view, user_view
-from marquee.session import run_folder
+from marquee.session import TABLE_OPTIONS, run_folder
 from marquee.sources import conform
 from marquee.sources.landing import CORRUPT, bronze, read_json, write_json, write_with_cut_lines
 from marquee.streaming import runs
@@ -42,7 +42,7 @@ def _bronze(entity: str) -> Query:
         """Batch JSON scan of the landed files against the declared contract."""
         landing = f"{run_folder(spark, 'landing')}/{entity}"
         write_json(conform.landed(spark, sf_dir, entity), landing)
-        return bronze(read_json(spark, f"{landing}/*.json", entity), entity, INGESTED_AT)
+        return bronze(read_json(spark, landing, entity), entity, INGESTED_AT)
 
     run.__name__ = f"bronze_{entity}"
     return run
@@ -54,7 +54,7 @@ def _outcomes(spark: SparkSession, sf_dir: str, root: str, entity: str) -> DataF
     write_with_cut_lines(conform.landed(spark, sf_dir, entity), f"{root}/{entity}", entity)
     lines = bronze(read_json(spark, f"{root}/{entity}", entity), entity, INGESTED_AT)
     landed = Observation(f"landed_{entity}")
-    lines.observe(landed, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/bronze_{entity}")
+    lines.observe(landed, F.count(F.lit(1)).alias("n")).write.options(**TABLE_OPTIONS).parquet(f"{root}/bronze_{entity}")
     checked = silver.checked(spark.read.schema(lines.schema).parquet(f"{root}/bronze_{entity}"), entity)
     return checked.agg(
         F.lit(entity).alias("entity"),

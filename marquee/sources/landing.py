@@ -16,6 +16,9 @@ from marquee import contracts as C
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 CORRUPT = "_corrupt_record"
 JSON_OPTIONS = {"timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_FORMAT}
+# a landed line repeats every field's name, so it is many times its table row:
+# files are compressed, and short, as a compressed file is read by one task
+FILE_OPTIONS = {"compression": "gzip", "maxRecordsPerFile": "250000"}
 
 
 def add_ingestion_metadata(df: DataFrame, source_system: str, ingested_at: str | Column | None = None) -> DataFrame:
@@ -38,7 +41,7 @@ def with_corrupt_column(schema: StructType) -> StructType:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").options(**JSON_OPTIONS).json(path)
+    df.write.mode("errorifexists").options(**JSON_OPTIONS, **FILE_OPTIONS).json(path)
 
 
 # by entity, which landed rows are landed once more with their line cut off
@@ -61,7 +64,8 @@ def write_with_cut_lines(df: DataFrame, path: str, entity: str) -> None:
     leaves it."""
     line = F.to_json(F.struct(*df.columns), JSON_OPTIONS)
     cut = f"CASE WHEN {CUT_LINES[entity]} THEN array(line, left(line, CAST(length(line) / 2 AS INT))) ELSE array(line) END"
-    df.withColumn("line", line).select(F.explode(F.expr(cut)).alias("value")).write.mode("errorifexists").text(path)
+    lines = df.withColumn("line", line).select(F.explode(F.expr(cut)).alias("value"))
+    lines.write.mode("errorifexists").options(**FILE_OPTIONS).text(path)
 
 
 def read_json(spark: SparkSession, path: str, entity: str, keep_corrupt: bool = True) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee import contracts as C
+from marquee.session import TABLE_OPTIONS
 from marquee.sources.landing import CORRUPT, JSON_OPTIONS, add_ingestion_metadata, with_corrupt_column
 
 
@@ -42,7 +43,7 @@ def ingest_available(
     """Append every new landed file of ``entity`` to the bronze Parquet table."""
     stream = add_ingestion_metadata(read_landing_stream(spark, landing_dir, entity), C.SOURCE_SYSTEMS[entity], ingested_at)
     query = (
-        stream.writeStream.format("parquet")
+        stream.writeStream.format("parquet").options(**TABLE_OPTIONS)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start(bronze_dir)

@@ -8,8 +8,8 @@ from lake_rows import rows, ts
 from marquee.plans.catalog import INGESTED_AT, Tables
 from marquee.plans.layered import incremental_dim_venue, upsert_scd2_dim
 from marquee.session import run_folder
-from marquee.sources import files
-from marquee.sources.landing import CORRUPT, read_json, write_json
+from marquee.sources import conform, files
+from marquee.sources.landing import CORRUPT, read_json, write_json, write_with_cut_lines
 from marquee.sources.snapshots import SnapshotStore
 from marquee.streaming import runs
 
@@ -29,6 +29,21 @@ def test_json_landing_round_trip_keeps_microseconds(spark):
     assert back.updated_at == ts("2026-01-01T00:00:00.123456")
 
 
+@pytest.mark.parametrize("land", [write_json, lambda df, path: write_with_cut_lines(df, path, "payments")])
+def test_landed_files_are_small_and_short(spark, land):
+    path, plain = run_folder(spark, "test-size"), run_folder(spark, "test-plain")
+    df = conform.landed(spark, SF, "payments").repartition(1)
+    land(df, path)
+    df.write.json(plain)
+    size = lambda folder: sum(os.path.getsize(f"{folder}/{n}") for n in os.listdir(folder))
+    assert size(path) * 4 < size(plain)
+    assert sum(r[CORRUPT] is None for r in read_json(spark, path, "payments").collect()) == df.count()
+    # a compressed file is one task's work, so it ends after so many lines
+    many = run_folder(spark, "test-many")
+    land(df.limit(3).crossJoin(spark.range(100_000).select()).coalesce(1), many)
+    assert len([n for n in os.listdir(many) if n.startswith("part-")]) >= 2
+
+
 def test_malformed_json_line_is_kept_as_corrupt_record(spark):
     folder = tempfile.mkdtemp(prefix="marquee-json-")
     with open(os.path.join(folder, "batch.json"), "w") as fh:
