@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from marquee.session import TABLE_OPTIONS
 from marquee.sources import files
 
 BUCKET = "state_bucket"
@@ -115,27 +116,26 @@ class Change:
     ) -> tuple[DataFrame, DataFrame]:
         """Bring ``rows`` into ``table``: the rows that the touched buckets hold,
         together with the new ones, go through ``combine`` (which has to leave
-        one row per key) and are the buckets' new version. ``buckets`` counts
-        only for a table that isn't there yet. Returns the touched buckets' rows
-        before and after."""
+        one row per bucket and key) and are the buckets' new version. ``rows``
+        are read twice, the first time for their keys alone. A bucket's rows
+        stay with the tasks that combined them, a file for each. ``buckets``
+        counts only for a table that isn't there yet. Returns the touched
+        buckets' rows before and after."""
         spark, store = self.store.spark, self.store
         count = self.before.buckets(table) or buckets
-        placed = rows.withColumn(BUCKET, bucket_of(keys, count)).persist()
-        try:
-            # small ints, one per bucket at most
-            touched = sorted(r[0] for r in placed.select(BUCKET).distinct().collect())
-            held = self.before.versions(table)
-            old = store.read(table, self.before, touched)
-            if old is None:
-                old = spark.createDataFrame([], rows.schema)
-            if touched:
-                both = old.withColumn(BUCKET, bucket_of(keys, count)).unionByName(placed)
-                folder = f"{store.root}/{table}/{VERSION}={self.commit_no}"
-                # a folder that an attempt without commit left is cleared as a whole
-                writer = combine(both.repartition(F.col(BUCKET))).write.mode("overwrite").option("partitionOverwriteMode", "static")
-                writer.partitionBy(BUCKET).parquet(folder)
-        finally:
-            placed.unpersist()
+        placed = rows.withColumn(BUCKET, bucket_of(keys, count))
+        # small ints, one per bucket at most
+        touched = sorted(r[0] for r in placed.select(BUCKET).distinct().collect())
+        held = self.before.versions(table)
+        old = store.read(table, self.before, touched)
+        if old is None:
+            old = spark.createDataFrame([], rows.schema)
+        if touched:
+            both = old.withColumn(BUCKET, bucket_of(keys, count)).unionByName(placed)
+            folder = f"{store.root}/{table}/{VERSION}={self.commit_no}"
+            # a folder that an attempt without commit left is cleared as a whole
+            writer = combine(both).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            writer.options(**TABLE_OPTIONS).partitionBy(BUCKET).parquet(folder)
         entry = self.tables.setdefault(table, {"buckets": count, "held": {}, "columns": json.loads(rows.schema.json())})
         self.replaced += [store._folder(table, held[b], b) for b in touched if b in held]
         entry["held"].update({str(b): self.commit_no for b in touched})

@@ -22,12 +22,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marquee import contracts as C
-from marquee.operators.cdc import latest_by_key
+from marquee.operators.cdc import keys_present, latest_by_key
 from marquee.operators.quality import FAILURES
 from marquee.plans import silver
 from marquee.plans.catalog import ENTITIES
+from marquee.session import TABLE_OPTIONS
 from marquee.sources import files
 from marquee.sources.buckets import BUCKET, BucketStore
 from marquee.sources.landing import CORRUPT, add_ingestion_metadata
@@ -53,29 +55,43 @@ class Incremental:
     def _rejects(self, entity: str) -> str:
         return f"{self.root}/rejects/{entity}"
 
+    def _batch_folders(self, entity: str, batch_id: int) -> list[str]:
+        """Bronze's folders of one batch."""
+        root, mine = self._bronze(entity), f"{BY[2]}={batch_id}"
+        outer = [f"{root}/{date}/{system}" for date in files.names(self.spark, root) if "=" in date
+                 for system in files.names(self.spark, f"{root}/{date}")]
+        return [f"{folder}/{mine}" for folder in outer if mine in files.names(self.spark, folder)]
+
+    def _written(self, entity: str, batch_id: int, schema: StructType) -> DataFrame:
+        """The rows of a batch as bronze has them: what follows reads columns
+        of these files, and the landed lines are parsed once."""
+        folders = self._batch_folders(entity, batch_id)
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).option("basePath", self._bronze(entity)).parquet(*folders)
+        return rows.select(*schema.names)
+
     def _apply(self, entity: str, batch: DataFrame, batch_id: int) -> None:
         change = self.store(entity).change()
         if batch_id <= change.before.note:
             return
-        batch = batch.persist()
-        try:
-            landed = batch.withColumns({"_ingest_date": F.to_date("_ingested_at"), "_batch": F.lit(batch_id)})
-            appended = landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*BY)
-            appended.parquet(self._bronze(entity))
-            own = silver.alone(batch, entity)
-            rejected = silver.judged(batch.where(own), entity)
-            rejected.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-                f"{self._rejects(entity)}/batch={batch_id}"
-            )
-            keys, order = C.KEYS[entity], C.version_order(entity)
-            newest = latest_by_key(batch.where(~own).drop(CORRUPT), keys, order, null_keys="drop")
-            change.merge(
-                "newest", newest, keys,
-                lambda both: latest_by_key(both, [BUCKET, *keys], order, null_keys="drop"), self.buckets,
-            )
-            change.commit(batch_id)
-        finally:
-            batch.unpersist()
+        for folder in self._batch_folders(entity, batch_id):  # an attempt without commit, perhaps on another date
+            files.delete(self.spark, folder)
+        landed = batch.withColumns({BY[0]: F.to_date("_ingested_at"), BY[2]: F.lit(batch_id)})
+        appended = landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**TABLE_OPTIONS)
+        appended.partitionBy(*BY).parquet(self._bronze(entity))
+        rows = self._written(entity, batch_id, batch.schema)
+        own = silver.alone(rows, entity)
+        rejected = silver.judged(rows.where(own), entity).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        rejected.options(**TABLE_OPTIONS).parquet(f"{self._rejects(entity)}/batch={batch_id}")
+        keys, order = C.KEYS[entity], C.version_order(entity)
+        keyed = rows.where(~own & keys_present(keys)).drop(CORRUPT)
+        # the merge leaves the newest of the batch's and the held versions
+        change.merge(
+            "newest", keyed, keys,
+            lambda both: latest_by_key(both, [BUCKET, *keys], order, null_keys="drop"), self.buckets,
+        )
+        change.commit(batch_id)
 
     def ingest(self, landing: str, entity: str, ingested_at: str | None = None) -> None:
         """What has landed under ``<landing>/<entity>/`` since the last run."""

@@ -114,10 +114,14 @@ class LatestStateSink:
             return mine.select(live.by, F.expr(f"{sign}CAST({live.adds} AS BIGINT)").alias("n"))
 
         moved = added(new, "").unionByName(added(old, "-")).groupBy(live.by).agg(F.sum("n").alias("n"))
-        change.merge(
-            live.name, moved.where("n <> 0"), [live.by],
-            lambda both: both.groupBy(BUCKET, live.by).agg(F.sum("n").alias("n")), live.buckets,
-        )
+        moved = moved.where("n <> 0").persist()
+        try:
+            change.merge(
+                live.name, moved, [live.by],
+                lambda both: both.groupBy(BUCKET, live.by).agg(F.sum("n").alias("n")), live.buckets,
+            )
+        finally:
+            moved.unpersist()
 
     def read(self) -> DataFrame:
         """The committed state."""

@@ -180,6 +180,64 @@ def test_silver_follows_a_small_delivery_at_its_cost(spark):
     assert "PartitionFilters: [isnotnull(_ingest_date" in plan and "_ingest_date#" in plan
 
 
+def test_a_batch_is_parsed_once_and_held_nowhere(spark):
+    """An attempt that breaks off, and its repetition on the next day."""
+    root = run_folder(spark, "test-attempts")
+    lake = Incremental(spark, root, buckets=2)
+    lines = [dict(payment_id=i % 3, booking_id=1, amount=float(i), payment_status="paid", updated_at=ts(f"2024-01-01T00:00:{i:02d}"))
+             for i in range(9)] + [dict(payment_id=None, amount=1.0, updated_at=ts("2024-01-01T00:00:00"))]
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(amount):
+        parsed.add(1)
+        return amount
+
+    batch = rows(spark, "payments", lines).withColumns({"amount": counted.asNondeterministic()("amount"), CORRUPT: F.lit(None).cast("string"),
+                                                        "_source_system": F.lit("007")})
+    store, held = lake.store("payments"), len(spark.sparkContext._jsc.getPersistentRDDs())
+    lake.store = lambda _: Broken(store)
+    with pytest.raises(RuntimeError):
+        lake._apply("payments", batch.withColumn("_ingested_at", F.lit("2024-06-01").cast("timestamp_ntz")), 0)
+    del lake.store
+    assert parsed.value == len(lines)
+    lake._apply("payments", batch.withColumn("_ingested_at", F.lit("2024-06-02").cast("timestamp_ntz")), 0)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == held
+    assert lake.bronze("payments").count() == len(lines) and lake.quarantine("payments").count() == 1
+    assert {(r.payment_id, r.amount, r._source_system) for r in lake.silver("payments").collect()} == {(0, 6.0, "007"), (1, 7.0, "007"), (2, 8.0, "007")}
+
+
+class Broken:
+    """A store whose changes are never committed."""
+
+    def __init__(self, store):
+        self.store = store
+
+    def change(self):
+        change = self.store.change()
+
+        def commit(note):
+            raise RuntimeError("broken off")
+
+        change.commit = commit
+        return change
+
+
+def test_a_bucket_is_the_work_of_many_tasks(spark):
+    store = BucketStore(spark, run_folder(spark, "test-tasks"))
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        change = store.change()
+        change.merge("t", spark.range(1000).selectExpr("id AS k", "id AS n"), ["k"], sums, 1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    change.commit()
+    (folder,) = [store._folder("t", v, b) for b, v in store.manifest().versions("t").items()]
+    assert len([n for n in files.names(spark, folder) if n.endswith(".parquet")]) > 1
+    assert as_dict(store.read("t")) == {k: k for k in range(1000)}
+
+
 @pytest.mark.parametrize("entity", ["bookings", "seat_holds", "users"])
 def test_two_deliveries_give_what_one_pass_gives(spark, entity):
     root = run_folder(spark, "test-two")
