@@ -96,6 +96,21 @@ def test_hot_show_is_split_off_the_shuffled_join(spark, conf):
     assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
 
 
+def test_keys_that_cannot_be_hot_are_not_shuffled(spark):
+    rows = spark.range(50_000).selectExpr("IF(id < 9, -1L, id) AS k")
+    tracker, group = spark.sparkContext.statusTracker(), "test-hot-keys"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert skew.hot_keys(rows, "k", 10) is None
+        quiet = len(tracker.getJobIdsForGroup(group))
+        assert [r.k for r in skew.hot_keys(rows, "k", 9).collect()] == [-1]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert quiet < len(tracker.getJobIdsForGroup(group)) - quiet
+    # keys that share a slot with others are told apart by the exact count
+    assert [r.k for r in skew.hot_keys(rows, "k", 9, slots=2).collect()] == [-1]
+
+
 def test_hot_keys_are_bounded_and_commonest_first(spark):
     rows = spark.createDataFrame([(k,) for k in range(6) for _ in range(k + 1)] + [(None,)] * 50, "k int")
     assert [r.k for r in skew.hot_keys(rows, "k", 3, most=2).collect()] == [5, 4]
