@@ -94,13 +94,17 @@ def velocity(
     Events are first counted per user, item and slide, map-side and then once;
     only these counts are dealt to the windows that cover the slide. So the
     shuffle by user has a row per slide and item at most, and no user's events
-    are ever sorted.
+    are ever sorted. A count becomes a row in each of its windows, so counts are
+    dealt to so many times more tasks than other shuffles have; left to its own,
+    Spark sizes the tasks by the counts and brings small ones together.
     """
     if window_seconds % slide_seconds:
         raise ValueError("the window must be a multiple of the slide")
     known = events.where(F.col(user).isNotNull() & F.col(at).isNotNull())
     slide = F.window(F.col(at).cast("timestamp"), f"{slide_seconds} seconds")["start"].alias("_slide")
     counts = known.groupBy(user, F.col(item).alias("_item"), slide).agg(F.count(F.lit(1)).alias("_n"))
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")) * (window_seconds // slide_seconds)
+    counts = counts.repartition(tasks, user, "_item")
     first = F.expr(f"_slide - INTERVAL {window_seconds - slide_seconds} SECONDS")
     covering = F.explode(F.sequence(first, F.col("_slide"), F.expr(f"INTERVAL {slide_seconds} SECONDS")))
     per_item = counts.withColumn("_start", covering).groupBy(user, "_start", "_item").agg(F.sum("_n").alias("_n"))

@@ -184,6 +184,14 @@ def test_velocity_counts_every_window_that_covers_an_event(spark):
         activity.velocity(clicks(spark, rows), "user_id", "ts", "event_type", 5000, 3600, 3)
 
 
+def test_velocity_deals_its_counts_to_as_many_more_tasks_as_windows(spark):
+    rows = [(u, T0 + timedelta(minutes=u), "a", 1.0) for u in range(40)]
+    df = activity.velocity(clicks(spark, rows), "user_id", "ts", "event_type", 12 * 3600, 3600, 1)
+    assert df.count() == 12 * len(rows)
+    n = 12 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert f", {n}), REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_velocity_never_sorts_events(spark):
     df = activity.velocity(spark.read.parquet(f"{SF}/events.parquet"), "user_id", "ts", "event_type", 7200, 3600, 3)
     physical = df._jdf.queryExecution().executedPlan().toString()
