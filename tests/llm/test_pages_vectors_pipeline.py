@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from marquee.llm import html_text, permutation_index
+from marquee.llm.common import stage
 from marquee.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -161,3 +162,9 @@ def test_pipeline_runs_as_registered(spark):
     assert [n for n, _ in pipeline.STAGES] == [
         "quality classifier", "quality rules", "n-gram Jaccard join", "mixing sources to target weights", "packing",
     ]
+
+
+def test_staged_rows_are_zstd_whatever_the_session_says(spark):
+    back = stage(spark.range(3).selectExpr("id AS doc_id", "'a' AS text"), "test-stage")
+    assert sorted(r.doc_id for r in back.collect()) == [0, 1, 2]
+    assert all(name.endswith(".zstd.parquet") for name in back.inputFiles())
