@@ -45,6 +45,29 @@ def test_chunks_give_the_ids_of_whole_texts(name):
         assert ids == whole.encode(text, add_special_tokens=False).ids, text[:80]
 
 
+def test_plain_spaces_are_cut_without_a_pattern(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from marquee.llm import tokens
+
+    path = vocabulary("byte_bpe_50k.json")
+    whole, mine = Tokenizer.from_file(path), tokens.Encoder(path)
+    searched = []
+
+    class Pattern:
+        def findall(self, text, pattern=tokens._KEEPING):
+            searched.append(text)
+            return pattern.findall(text)
+
+    monkeypatch.setattr(tokens, "_KEEPING", Pattern())
+    for text in ["one two, Three.\nfour\n\nfive été six\n", " a b ", "a  b", "a\n b", "a \n\t b", "a \n", "\n \n", "x\x1c y", "a\xa0 b c"]:
+        ids = np.frombuffer(mine.encode(text), mine.dtype).tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids, text
+    searched.clear()
+    text = " ".join(sentences(5, 9))
+    assert mine.encode(text) and text not in searched
+
+
 def test_token_files_round_trip(spark, docs_of):
     from tokenizers import Tokenizer
 
