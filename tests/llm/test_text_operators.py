@@ -435,6 +435,44 @@ def test_pitman_yor_probabilities_add_up_to_one():
         assert p.sum() == pytest.approx(1, abs=1e-9) and (p > 0).all()
 
 
+@pytest.mark.parametrize("customers", [2, 3, 6, 60])
+def test_pitman_yor_seats_have_their_posterior(customers):
+    room, d, p = 2.0, 0.6, 0.3
+    # joint weights of all seatings, by number of tables, customer by customer
+    law = np.zeros(customers + 2)
+    law[1] = 1
+    tables = np.arange(customers + 2)
+    for seated in range(1, customers):
+        stay, opened = law * (seated - d * tables), law * (room + d * tables) * p
+        law = np.where(tables <= seated, stay, 0) + np.append(0, opened[:-1])
+        law /= law.sum()
+    n, rng, found = 6000, np.random.RandomState(4), np.zeros(customers + 2)
+    full = lambda x: np.full(n, x)
+    # a third of the customers come later, and some leave again
+    seats = pitman_yor.Arrivals(full(max(customers * 2 // 3, 1)))
+    seats.sit_again(full(customers + 2), full((room - 1) / d), full(d), full(p), rng)
+    for sweep in range(200):
+        t = seats.sit_again(full(customers), full((room - 1) / d), full(d), full(p), rng)
+        if sweep >= 50:
+            found += np.bincount(t.astype(int), minlength=customers + 2)
+    found /= found.sum()
+    assert np.abs(found - law).max() < 0.01 and found @ tables == pytest.approx(law @ tables, rel=0.02)
+
+
+def test_reader_keeps_words_over_many_texts():
+    reader = pitman_yor._Reader()
+    texts = sentences(6, 60, words=50, pool=4000)
+    seen = [(text.split(), *reader.tokens(text)) for text in texts]
+    hashes = []
+    for words, ids, restaurant in seen:
+        hashes += reader.hashes[ids].tolist()
+        alone = pitman_yor._Reader()
+        own, own_restaurant = alone.tokens(" ".join(words))
+        assert reader.hashes[ids].tolist() == alone.hashes[own].tolist()
+        assert restaurant.tolist() == own_restaurant.tolist()
+    assert len(set(hashes)) == reader.known
+
+
 def test_pitman_yor_of_an_empty_table(docs_of):
     assert pitman_yor.score(docs_of().where("false")).count() == 0
 
