@@ -204,7 +204,8 @@ def judged(newest: DataFrame, entity: str) -> DataFrame:
     the valid ones; deleted bookings are gone and valid statuses normalised."""
     if entity == "bookings":
         newest = drop_tombstones(newest)
-    failures = F.nullif(F.array_join(failed_rules(RULES[entity]), ","), F.lit(""))
+    rules = RULES[entity]
+    failures = F.when(~passes_all(rules), F.array_join(failed_rules(rules), ","))  # names are for the few that fail
     if CORRUPT in newest.columns:
         failures = F.when(F.col(CORRUPT).isNotNull(), F.lit(PARSE_FAILURE)).otherwise(failures)
     out = newest.withColumn(FAILURES, failures)

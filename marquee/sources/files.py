@@ -18,6 +18,14 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
+def state(spark: SparkSession, path: str) -> list[int]:
+    """What changes if files below a path are added, replaced or deleted: their
+    number, their bytes, and when the path itself was last changed."""
+    fs, where = _at(spark, path)
+    below = fs.getContentSummary(where)
+    return [below.getFileCount(), below.getLength(), fs.getFileStatus(where).getModificationTime()]
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, where = _at(spark, path)
     stream = fs.open(where)

@@ -16,8 +16,10 @@ a batch that is in isn't applied again.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,15 +31,17 @@ from marquee.operators.cdc import keys_present, latest_by_key
 from marquee.operators.quality import FAILURES
 from marquee.plans import silver
 from marquee.plans.catalog import ENTITIES
-from marquee.session import TABLE_OPTIONS
+from marquee.session import TABLE_OPTIONS, drop_shuffles, open_writers
 from marquee.sources import files
-from marquee.sources.buckets import BUCKET, BucketStore
+from marquee.sources.buckets import BucketStore
 from marquee.sources.landing import CORRUPT, add_ingestion_metadata
 from marquee.streaming.bronze import read_landing_stream
 
 #: bronze's folders, outermost first
 BY = ("_ingest_date", "_source_system", "_batch")
-PARALLEL = 8
+PARALLEL = 9
+#: bytes of a batch in bronze from which it is merged while no other such batch is: one shuffle lies on disk, not many
+LARGE_BATCH = 32 << 20
 
 
 class Incremental:
@@ -45,6 +49,7 @@ class Incremental:
         """``buckets`` of each entity's table, for tables that aren't there yet
         (``sources.buckets.buckets_for`` of the size that is expected)."""
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self._large = threading.Lock()
 
     def store(self, entity: str) -> BucketStore:
         return BucketStore(self.spark, f"{self.root}/latest/{entity}")
@@ -79,19 +84,21 @@ class Incremental:
             files.delete(self.spark, folder)
         landed = batch.withColumns({BY[0]: F.to_date("_ingested_at"), BY[2]: F.lit(batch_id)})
         appended = landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**TABLE_OPTIONS)
-        appended.partitionBy(*BY).parquet(self._bronze(entity))
+        with open_writers(batch.sparkSession, 1):  # a batch mostly has one date and one source
+            appended.partitionBy(*BY).parquet(self._bronze(entity))
         rows = self._written(entity, batch_id, batch.schema)
         own = silver.alone(rows, entity)
         rejected = silver.judged(rows.where(own), entity).write.mode("overwrite").option("partitionOverwriteMode", "static")
         rejected.options(**TABLE_OPTIONS).parquet(f"{self._rejects(entity)}/batch={batch_id}")
         keys, order = C.KEYS[entity], C.version_order(entity)
         keyed = rows.where(~own & keys_present(keys)).drop(CORRUPT)
-        # the merge leaves the newest of the batch's and the held versions
-        change.merge(
-            "newest", keyed, keys,
-            lambda both: latest_by_key(both, [BUCKET, *keys], order, null_keys="drop"), self.buckets,
-        )
-        change.commit(batch_id)
+        size = sum(files.state(self.spark, folder)[1] for folder in self._batch_folders(entity, batch_id))
+        with self._large if size >= LARGE_BATCH else nullcontext():
+            # the merge leaves the newest of the batch's and the held versions; a key has
+            # one bucket, so rows are sorted by the key alone, which tells them apart at once
+            change.merge("newest", keyed, keys, lambda both: latest_by_key(both, keys, order, null_keys="drop"), self.buckets)
+            change.commit(batch_id)
+            drop_shuffles(self.spark)
 
     def ingest(self, landing: str, entity: str, ingested_at: str | None = None) -> None:
         """What has landed under ``<landing>/<entity>/`` since the last run."""
@@ -124,11 +131,14 @@ class Incremental:
     def silver(self, entity: str) -> DataFrame:
         return self._newest(entity).where(F.col(FAILURES).isNull()).drop(FAILURES)
 
+    def rejects(self, entity: str) -> DataFrame:
+        """Rejected rows of all deliveries."""
+        return self.spark.read.parquet(self._rejects(entity)).drop("batch")
+
     def quarantine(self, entity: str) -> DataFrame:
         """Rejected rows of all deliveries, and keys whose newest version fails."""
         failing = self._newest(entity).where(F.col(FAILURES).isNotNull())
-        rejects = self.spark.read.parquet(self._rejects(entity)).drop("batch")
-        return rejects.unionByName(failing, allowMissingColumns=True)
+        return self.rejects(entity).unionByName(failing, allowMissingColumns=True)
 
     def bucket_folders(self, entity: str) -> list[str]:
         """The folders that hold an entity's newest versions."""
@@ -142,11 +152,18 @@ class Incremental:
 
 
 def row_counts(lake: Incremental) -> DataFrame:
-    """layer, table_name and row_count of bronze and silver."""
+    """layer, table_name and row_count of bronze and silver. The newest versions
+    are read once for both of their outcomes."""
     counted = []
     for entity in ENTITIES:
-        tables = {("bronze", f"bronze_{entity}"): lake.bronze(entity), ("silver", f"silver_{entity}"): lake.silver(entity),
-                  ("silver", f"quarantine_{entity.removeprefix('promotion_')}"): lake.quarantine(entity)}
-        for (layer, name), rows in tables.items():
-            counted.append(rows.agg(F.count(F.lit(1)).alias("row_count")).selectExpr(f"'{layer}' layer", f"'{name}' table_name", "row_count"))
-    return reduce(DataFrame.unionByName, counted)
+        silver_table, quarantine = f"silver_{entity}", f"quarantine_{entity.removeprefix('promotion_')}"
+        for rows, tables in (
+            (lake.bronze(entity), {f"bronze_{entity}": "true"}),
+            (lake._newest(entity), {silver_table: f"{FAILURES} IS NULL", quarantine: f"{FAILURES} IS NOT NULL"}),
+            (lake.rejects(entity), {quarantine: "true"}),
+        ):
+            counts = rows.agg(*[F.expr(f"count_if({which})").alias(name) for name, which in tables.items()])
+            each = ", ".join(f"struct('{name.partition('_')[0]}' AS layer, '{name}' AS table_name, {name} AS row_count)" for name in tables)
+            counted.append(counts.selectExpr(f"inline(array({each}))"))
+    rows = reduce(DataFrame.unionByName, counted).groupBy("layer", "table_name").agg(F.sum("row_count").alias("row_count"))
+    return rows.withColumn("layer", F.when(F.col("layer") == "bronze", "bronze").otherwise("silver"))
