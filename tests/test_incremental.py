@@ -1,5 +1,7 @@
 """Tables that change in place: bucketed upserts, live counts, deliveries."""
 
+from urllib.parse import unquote
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from marquee.session import run_folder
 from marquee.sources import files
 from marquee.sources.buckets import BucketStore
 from marquee.sources.landing import CORRUPT, write_json
+from marquee.sources.snapshots import SnapshotStore
 from marquee.streaming import runs
 from marquee.streaming.incremental import Incremental
 
@@ -261,3 +264,88 @@ def test_malformed_lines_are_rejects_and_stay_in_bronze(spark):
     assert lake.bronze("users").count() == 3 and lake.silver("users").count() == 1
     rejected = {r._dq_failures: r[CORRUPT] for r in lake.quarantine("users").collect()}
     assert rejected == {"record_parsed": line[:40], "user_id_present": None}
+
+
+# --- layered runs -----------------------------------------------------------------
+
+
+def test_a_merge_is_sorted_by_the_key_alone(spark):
+    """A key has one bucket; sorted by bucket first, rows would be compared whole."""
+    lake, seen = Incremental(spark, run_folder(spark, "test-sort"), buckets=4), []
+    store = lake.store("payments")
+
+    class Watched:
+        def change(self):
+            change = store.change()
+            merge = change.merge
+
+            def watched(table, rows, keys, combine, buckets):
+                def kept(both):
+                    seen.append(combine(both))
+                    return seen[-1]
+
+                return merge(table, rows, keys, kept, buckets)
+
+            change.merge = watched
+            return change
+
+    lake.store = lambda _: Watched()
+    batch = rows(spark, "payments", [dict(payment_id=i % 3, amount=float(i), updated_at=ts(f"2024-01-01T00:00:{i:02d}")) for i in range(9)])
+    batch = batch.withColumns({CORRUPT: F.lit(None).cast("string"), "_source_system": F.lit("s"), "_ingested_at": F.lit("2024-06-01").cast("timestamp_ntz")})
+    lake._apply("payments", batch, 0)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [payment_id" in plan and "Sort [state_bucket" not in plan
+    assert sorted((r.payment_id, r.amount) for r in store.read("newest").collect()) == [(0, 6.0), (1, 7.0), (2, 8.0)]
+
+
+def test_landed_entries_are_parsed_once(spark):
+    """Bronze of a later run reads the last version and the new entries; all of
+    them if one has changed."""
+    root = run_folder(spark, "test-landed")
+    line = lambda i, day: dict(user_id=i, name=f"n{i}", updated_at=ts(f"2024-01-{day:02}T00:00:00"))
+    store = SnapshotStore(spark, f"{root}/store")
+
+    def run():
+        entries = layered.landed_entries(spark, f"{root}/landing", "users")
+        bronze = layered.landed_bronze(spark, store, f"{root}/landing", entries, None, "users")
+        parsed = {unquote(name).rpartition("/")[0].rpartition("/")[2] for name in bronze.inputFiles() if ".json" in name}
+        version = store.stage(bronze, "bronze_users")
+        layered.note_landed(spark, store, "users", version, entries)
+        store.commit({"bronze_users": version})
+        return parsed, sorted((r.user_id, r.name) for r in store.read("bronze_users").collect())
+
+    write_json(rows(spark, "users", [line(1, 1), line(2, 1)]), f"{root}/landing/users/delivery-1")
+    assert run() == ({"delivery-1"}, [(1, "n1"), (2, "n2")])
+    write_json(rows(spark, "users", [line(1, 2)]), f"{root}/landing/users/delivery [2]")
+    assert run() == ({"delivery [2]"}, [(1, "n1"), (1, "n1"), (2, "n2")])
+    assert run() == (set(), [(1, "n1"), (1, "n1"), (2, "n2")])
+    files.delete(spark, f"{root}/landing/users/delivery-1")
+    write_json(rows(spark, "users", [line(3, 1)]), f"{root}/landing/users/delivery-1")
+    assert run() == ({"delivery-1", "delivery [2]"}, [(1, "n1"), (3, "n3")])
+    # an attempt that was never committed leaves nothing that counts
+    entries = layered.landed_entries(spark, f"{root}/landing", "users")
+    write_json(rows(spark, "users", [line(4, 1)]), f"{root}/landing/users/delivery-3")
+    layered.note_landed(spark, store, "users", 5, layered.landed_entries(spark, f"{root}/landing", "users"))
+    again = layered.landed_bronze(spark, SnapshotStore(spark, f"{root}/store"), f"{root}/landing",
+                                  layered.landed_entries(spark, f"{root}/landing", "users"), None, "users")
+    assert again.count() == 3 and len(entries) == 2
+
+
+def test_bookings_are_dealt_to_their_buckets_by_the_dedup(spark):
+    """Silver's bookings lie in the buckets that fact_bookings has, one file
+    each, so neither table is shuffled for them; another store finds them."""
+    root = run_folder(spark, "test-dealt")
+    report = layered.run_layers(spark, SF, root)
+    n = layered.bucket_count(spark)
+    for folder in ("checked_bookings/v=00000001/_dq_valid=true", "fact_bookings/v=00000001"):
+        assert 1 < len([f for f in files.names(spark, f"{root}/{folder}") if f.endswith(".parquet")]) <= n
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    assert spark.conf.get(key, "0") == "0"  # as it was
+    # as another process would open it: the catalog doesn't know the table
+    spark.sql(f"DROP TABLE {SnapshotStore(spark, root)._name('checked_bookings', 1)}")
+    held = SnapshotStore(spark, root).read("checked_bookings", partition_types=layered.CHECKED_PARTITIONS)
+    assert held.where("_dq_valid").count() == report["silver_bookings"][2]
+    assert held.where("NOT _dq_valid").count() == report["quarantine_bookings"][2] > 0
+    want = layered.checked_table(Tables(spark, SF).bronze("bookings"), "bookings")
+    columns = [c for c in want.columns if c != "_ingested_at"]
+    assert sorted(map(str, held.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
