@@ -473,6 +473,43 @@ def test_reader_keeps_words_over_many_texts():
     assert len(set(hashes)) == reader.known
 
 
+def test_pitman_yor_knows_two_preceding_words(docs_of):
+    """A held-out copy of a training text is told word by word, the same words in
+    another order are not."""
+    rng = np.random.RandomState(5)
+    words = np.array([f"w{i}" for i in range(3000)])
+    rows = [(i, " ".join(words[rng.randint(0, 3000, 60)])) for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2][:40]
+    held_out = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 7 == 2]
+    copied = rows[3][1].split()
+    rows += [(held_out[0], " ".join(copied)), (held_out[1], " ".join(rng.permutation(copied)))]
+    got = {r.doc_id: r for r in pitman_yor.score(docs_of(*rows)).collect()}
+    same, shuffled = (got[k].score / got[k].n_tokens for k in held_out[:2])
+    assert got[held_out[0]].held_out and same > -1 and shuffled < -2.5
+    assert got[held_out[0]].base_score == pytest.approx(got[held_out[1]].base_score)
+
+
+def test_pitman_yor_contexts_add_up_to_one():
+    """All words in the restaurants of some pairs of words, whether seen there or not."""
+    rng = np.random.RandomState(3)
+    n_words, firsts, seconds = 200, 5, 4
+    first, second, word = np.meshgrid(np.arange(firsts), np.arange(seconds), np.arange(n_words), indexing="ij")
+    pair_of = (first * n_words + word).ravel()
+    customers = np.where(rng.random_sample(pair_of.shape) < 0.2, rng.zipf(1.6, pair_of.shape), 0).clip(0, 500)
+    customers[(second == 3).ravel()] = 0  # two words that no training text has
+    seated = pitman_yor.Contexts(pair_of, (first * seconds + second).ravel(), customers, np.repeat(np.arange(firsts), n_words))
+    p = np.tile(rng.dirichlet(np.ones(n_words)), firsts)
+    sums, discounts = [np.zeros(firsts * n_words), np.zeros(len(pair_of)), np.zeros(firsts * n_words)], (0.7, 0.5)
+    for _ in range(4):
+        seated.sweep(discounts, p, p, rng)
+        assert (seated.tables[0] <= seated.tokens).all() and (seated.tables[1] <= seated.customers).all()
+        assert (seated.customers == np.bincount(pair_of, seated.tables[0])).all()
+        assert ((seated.tables[0] > 0) == (customers > 0)).all()
+        for total, x in zip(sums, (seated.customers, *seated.tables)):
+            total += x / 4
+    got = seated.probabilities(discounts, p, sums[0], sums[1:])
+    assert (got > 0).all() and np.abs(np.bincount(seated.context, got) - 1).max() < 1e-9
+
+
 def test_pitman_yor_of_an_empty_table(docs_of):
     assert pitman_yor.score(docs_of().where("false")).count() == 0
 
